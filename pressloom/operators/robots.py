@@ -13,11 +13,11 @@ _ENTRY = f"struct<agents:array<string>,rules:array<{_RULE}>>"
 
 
 def _line(raw: Column) -> Column:
-    """One line as struct(blank, name, value)."""
+    """One line as struct(blank, key, value)."""
     plain = strip(F.regexp_replace(raw, "#.*$", ""))
     return F.struct(
         (raw == "").alias("blank"),
-        F.lower(strip(F.regexp_extract(plain, "^([^:]*):", 1))).alias("name"),
+        F.lower(strip(F.regexp_extract(plain, "^([^:]*):", 1))).alias("key"),
         strip(F.regexp_extract(plain, "^[^:]*:(.*)$", 1)).alias("value"),
     )
 
@@ -43,17 +43,17 @@ def rule_entries(text: Column) -> Column:
         )
 
     def step(state: Column, line: Column) -> Column:
-        agent = line.name == "user-agent"
-        rule = line.name.isin("allow", "disallow", "crawl-delay", "request-rate") & (
+        agent = line.key == "user-agent"
+        rule = line.key.isin("allow", "disallow", "crawl-delay", "request-rate") & (
             F.size(state.agents) > 0
         )
         ends = line.blank | (agent & (F.size(state.rules) > 0))
         # Delay and rate lines end the agent list as rules do; they hold for
         # nothing here, which a rule that no path starts with expresses.
         new_rule = F.when(
-            line.name.isin("allow", "disallow"),
+            line.key.isin("allow", "disallow"),
             F.struct(
-                ((line.name == "allow") | (line.value == "")).alias("allow"),
+                ((line.key == "allow") | (line.value == "")).alias("allow"),
                 F.when(line.value == "*", "*").otherwise(robots_path(line.value)).alias("path"),
             ),
         ).otherwise(F.struct(F.lit(True).alias("allow"), F.lit(None).cast("string").alias("path")))
