@@ -735,11 +735,11 @@ _NAV = f"""nav AS MATERIALIZED (
   FROM nodes d WHERE d.tag = 'a' AND d.href IS NOT NULL
    AND EXISTS (SELECT 1 FROM nodes v WHERE v.tag = 'nav' AND {inside('d', 'v')})
 )"""
-ORACLE["links_top5"] = with_nodes(GIVEN, "SELECT page_id, pos, href FROM nav WHERE pos < 5", _NAV)
+ORACLE["links_top5"] = with_nodes(GIVEN, "SELECT page_id, CAST(unnest(range(len(five))) AS BIGINT) AS pos, unnest(five) AS href FROM (SELECT page_id, list(href ORDER BY pos)[1:5] AS five FROM nav GROUP BY page_id) t", _NAV)
 ORACLE["links_distinct"] = with_nodes(
     GIVEN,
-    """SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY at) - 1 AS pos, href
-       FROM (SELECT page_id, href, min(pos) AS at FROM nav GROUP BY page_id, href) u""",
+    """SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY place) - 1 AS pos, href
+       FROM (SELECT page_id, href, min(pos) AS place FROM nav GROUP BY page_id, href) u""",
     _NAV,
 )
 _SHAPES = """CASE (page_id + pos) % 10 WHEN 0 THEN href WHEN 1 THEN word WHEN 2 THEN '../' || word

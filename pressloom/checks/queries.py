@@ -195,7 +195,7 @@ def _element_texts(build: Callable[[Column, Column], Column]) -> Query:
             )
 
         rows = site_pages(spark, sf_dir).select(
-            "page_id", F.inline(text.let(html.nodes(F.col("html")), per_element))
+            "page_id", F.inline(text.let(html.nodes_of(), per_element))
         )
         return rows.select("page_id", big("node_id").alias("node_id"), "tag", "value")
 
@@ -227,7 +227,7 @@ def _node_rows(source, find: Callable[[Column], Column], rows=pages) -> Query:
             )
 
         found = rows(spark, sf_dir).select(
-            "page_id", F.inline(text.let(html.nodes(F.col("html")), per_page))
+            "page_id", F.inline(text.let(html.nodes_of(), per_page))
         )
         return found.select("page_id", big("node_id").alias("node_id"), "value")
 
@@ -334,7 +334,7 @@ def _nav_hrefs(spark, sf_dir) -> DataFrame:
     """Navigation links of each page, twisted into every shape a link can have."""
     found = pages(spark, sf_dir).select(
         "page_id", "url",
-        F.posexplode(text.let(html.nodes(F.col("html")), lambda d: links.nav_links(d))).alias("pos", "href"),
+        F.posexplode(text.let(html.nodes_of(), lambda d: links.nav_links(d))).alias("pos", "href"),
     )
     word = F.substring("href", F.lit(2), F.length("href"))
     shape = (F.col("page_id") + F.col("pos")) % 10
@@ -366,7 +366,7 @@ def links_distinct(spark, sf_dir):
     rows = pages(spark, sf_dir).select(
         "page_id",
         F.posexplode(
-            text.let(html.nodes(F.col("html")), lambda d: links.distinct_first(_doubled_hrefs(d)))
+            text.let(html.nodes_of(), lambda d: links.distinct_first(_doubled_hrefs(d)))
         ).alias("pos", "href"),
     )
     return rows.withColumn("pos", big("pos"))
@@ -377,7 +377,7 @@ def links_top5(spark, sf_dir):
     rows = pages(spark, sf_dir).select(
         "page_id",
         F.posexplode(
-            text.let(html.nodes(F.col("html")), lambda d: links.preview(links.nav_links(d)))
+            text.let(html.nodes_of(), lambda d: links.preview(links.nav_links(d)))
         ).alias("pos", "href"),
     )
     return rows.withColumn("pos", big("pos"))
@@ -489,7 +489,7 @@ def crawl_releases(spark, sf_dir):
     """The whole extraction: listings, cuts, followed links, release rows."""
     profiles = site_profiles(spark)
     listings = from_sql(spark, sf_dir, derived.LISTINGS)
-    numbers = listings.select("site", "page_no").join(profiles, "site")
+    numbers = listings.select("site", "page_no").join(profiles, "site").where("page_no >= first_page")
     frontier = numbers.select("site", "page_no", links.page_url(F.col("page_no")).alias("url"))
     addressed = listings.join(frontier, ["site", "page_no"]).select("url", "html")
     found = links.discover(listings, profiles)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressloom.functions.text import NON_SPACE, let
+from pressloom.session import built_once
 
 # Elements that never have content.
 VOID_TAGS = (
@@ -378,14 +379,15 @@ def nodes(html: Column) -> Column:
     return let(tokens(html), build)
 
 
-def with_nodes(pages: DataFrame, html: str = "html", name: str = "nodes") -> DataFrame:
-    """Pages with their node array in place of the markup."""
-    return pages.withColumn(name, nodes(F.col(html))).drop(html)
+@built_once
+def nodes_of(column: str = "html") -> Column:
+    """The node array of a markup column."""
+    return nodes(F.col(column))
 
 
 def node_table(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """One row per node."""
-    return pages.select(key, F.inline(nodes(F.col("html"))))
+    return pages.select(key, F.inline(nodes_of()))
 
 
 def with_sibling_no(node_rows: DataFrame, key: str = "page_id") -> DataFrame:

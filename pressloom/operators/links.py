@@ -10,6 +10,7 @@ from pressloom.functions import select as S
 from pressloom.functions.text import let
 from pressloom.functions.urls import join_url
 from pressloom.operators.selectors import follow, matches
+from pressloom.session import built_once
 
 
 def page_url(page_no: Column) -> Column:
@@ -66,6 +67,11 @@ def listing_hrefs(doc: Column, profile=F.col) -> Column:
     return let(targets, collect)
 
 
+@built_once
+def _page_hrefs() -> Column:
+    return let(html.nodes_of(), lambda doc: listing_hrefs(doc))
+
+
 def discover(listings: DataFrame, profiles: DataFrame) -> DataFrame:
     """Links of captured listing pages: site, page_no, link_pos, href, url.
 
@@ -73,7 +79,7 @@ def discover(listings: DataFrame, profiles: DataFrame) -> DataFrame:
     """
     read = listings.join(profiles, "site").select(
         "site", "page_no", "base_url",
-        let(html.nodes(F.col("html")), lambda doc: listing_hrefs(doc)).alias("hrefs"),
+        _page_hrefs().alias("hrefs"),
     )
     return read.select("site", "page_no", "base_url", F.posexplode("hrefs").alias("pos", "href")).select(
         "site", "page_no", (F.col("pos") + 1).alias("link_pos"), "href",

@@ -9,6 +9,7 @@ from pressloom.functions import html
 from pressloom.functions.content import NO_CONTENT, by_mode
 from pressloom.functions.text import let
 from pressloom.operators.selectors import broken_path, field_text, locate
+from pressloom.session import built_once
 
 RECORD_END = "\n\n==\n"
 NO_TITLE = "No title found"
@@ -24,7 +25,14 @@ def failure(reason: str, url: Column) -> Column:
     return F.concat(F.lit("Error: " + words[reason]), url)
 
 
-def _fields(doc: Column, profile) -> Column:
+@built_once
+def _page_fields() -> Column:
+    """All fields of a page, from its markup and the profile columns beside it."""
+    return let(html.nodes_of(), _fields)
+
+
+def _fields(doc: Column) -> Column:
+    profile = F.col
     content = let(
         locate(doc, profile("selectors"), "content"),
         lambda hit: F.when(
@@ -51,11 +59,7 @@ def extract(pages: DataFrame, profiles: DataFrame, keys: tuple[str, ...] = ()) -
     joined = pages.join(profiles, "site")
     read = joined.select(
         "site", "url", *keys, "extra_label",
-        F.inline(
-            F.array(
-                let(html.nodes(F.col("html")), lambda doc: _fields(doc, F.col))
-            )
-        ),
+        F.inline(F.array(_page_fields())),
     )
     sound = ~F.col("broken")
     extras = F.map_from_arrays(F.array("extra_label"), F.array("extra"))
@@ -71,7 +75,7 @@ def extract(pages: DataFrame, profiles: DataFrame, keys: tuple[str, ...] = ()) -
 
 def extract_field(pages: DataFrame, build, name: str, keys: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """A single expression over each page's nodes; ``build`` maps nodes to a value."""
-    return pages.select(*keys, let(html.nodes(F.col("html")), build).alias(name))
+    return pages.select(*keys, let(html.nodes_of(), build).alias(name))
 
 
 def attach(links: DataFrame, releases: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.operators import crawl, links, releases, robots
+from pressloom.session import cut_lineage
 from pressloom.sources.pages import with_site
 
 USER_AGENT = "Educational Press Release Scraper (educational reasons only)"
@@ -23,6 +24,8 @@ def crawl_links(
     found = links.discover(listings, profiles)
     if robots_files is not None:
         found = robots.permitted(found, files, USER_AGENT)
+    # Counted, cut and followed below: kept, so listing markup is read once.
+    found = cut_lineage(found)
     stats = links.page_stats(frontier, found)
     reached = crawl.cut_by_profile(stats, profiles).select("site", "page_no")
     return found.join(reached, ["site", "page_no"], "left_semi")

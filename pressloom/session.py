@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import SparkContext
+from pyspark.sql import Column, DataFrame, SparkSession
 
 # Settings the jobs rely on.  Shuffle width and split size are left to the
 # cluster: AQE coalesces or splits whatever it starts from.
@@ -45,3 +48,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="pressloom-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def built_once(build: Callable[..., Column]) -> Callable[..., Column]:
+    """Keep the Column a function builds, per application and arguments.
+
+    The page expressions have thousands of nodes; putting them together takes
+    longer than reading a few pages.
+    """
+
+    @functools.lru_cache(maxsize=256)
+    def kept(application: str, *args) -> Column:
+        return build(*args)
+
+    @functools.wraps(build)
+    def cached(*args) -> Column:
+        return kept(SparkContext.getOrCreate().applicationId, *args)
+
+    return cached
