@@ -30,7 +30,9 @@ def query(build: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    long_texts = name in ("pages", "documents")
+    return page_source.read_pages(spark, path) if long_texts else spark.read.parquet(path)
 
 
 def from_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

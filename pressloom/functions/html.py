@@ -313,7 +313,7 @@ def attributes(raw_tag: Column) -> Column:
 
 def class_list(attrs: Column) -> Column:
     value = attrs["class"]
-    found = F.regexp_extract_all(value, F.lit(f"(?U){NON_SPACE}+"), F.lit(0))
+    found = F.regexp_extract_all(value, F.lit(f"{NON_SPACE}+"), F.lit(0))
     return F.when(value.isNull(), F.array().cast("array<string>")).otherwise(found)
 
 

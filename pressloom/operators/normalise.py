@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.functions.text import clean_text
-from pressloom.operators.spelling import corrections, is_checked, unknown
+from pressloom.operators.spelling import corrections, unknown
 from pressloom.session import cut_lineage
 
 
@@ -48,7 +48,7 @@ def normalise(releases: DataFrame, dictionary: DataFrame, key: str | None = None
     base = releases.withColumn("_sections", clean_sections(F.col("text"))).drop("text")
 
     per_release = F.array_distinct(
-        F.flatten(F.transform("_sections", lambda s: F.filter(words(s), is_checked)))
+        F.flatten(F.transform("_sections", lambda s: words(s)))
     )
     used = base.select(name, F.explode(per_release).alias("word"))
     # Read twice below, so kept rather than derived from the corpus again.

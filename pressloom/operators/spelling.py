@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.functions.text import let, split_words
-
-MAX_DISTANCE = 2
+from pressloom.session import cut_lineage
 
 # Numbers are left alone, whatever their notation.
 NUMBER = r"^[+-]?([0-9][0-9_]*\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?inf(inity)?$"
@@ -25,65 +24,85 @@ def is_checked(word: Column) -> Column:
 
 
 def build_dictionary(texts: DataFrame, column: str = "text", min_freq: int = 1) -> DataFrame:
-    """Word frequencies of a trusted corpus: word, freq."""
+    """Word frequencies of a trusted corpus: word, freq.
+
+    Kept as a table: every join below reads it, and none should count again.
+    """
     words = texts.select(F.explode(split_words(F.lower(F.col(column)))).alias("word"))
-    counted = words.where(is_checked(F.col("word"))).groupBy("word").agg(F.count("*").alias("freq"))
-    return counted.where(F.col("freq") >= min_freq)
+    counted = words.groupBy("word").agg(F.count("*").alias("freq"))
+    return cut_lineage(counted.where((F.col("freq") >= min_freq) & is_checked(F.col("word"))))
 
 
-def _one_deleted(word: Column) -> Column:
-    positions = F.sequence(F.lit(1), F.length(word))
-    shorter = F.transform(
-        positions,
-        lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.length(word))),
+def _without(word: Column, position: Column) -> Column:
+    return F.concat(
+        F.substring(word, F.lit(1), position - 1), F.substring(word, position + 1, F.length(word))
     )
-    return F.when(F.length(word) > 0, shorter).otherwise(F.array().cast("array<string>"))
 
 
-def deletion_keys(word: Column, distance: int = MAX_DISTANCE) -> Column:
-    """Hashes of the word with up to ``distance`` letters left out.
+def _positions(first: Column, last: Column) -> Column:
+    return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
 
-    Two words within that many edits share a key.  Hashes only narrow the
-    pairs down; the distance itself is tested on the words.
+def deletion_keys(word: Column) -> Column:
+    """Hashes of the word with up to two letters left out.
+
+    Two words within two edits share a key.  Hashes only narrow the pairs
+    down; the distance itself is tested on the words.
     """
-    level = F.array(word)
-    levels = [level]
-    for _ in range(distance):
-        level = F.array_distinct(F.flatten(F.transform(level, _one_deleted)))
-        levels.append(level)
-    return F.transform(F.array_distinct(F.concat(*levels)), lambda k: F.xxhash64(k))
+    def from_position(i: Column) -> Column:
+        """The word without letter ``i``, and that without any later letter."""
+        return let(
+            _without(word, i),
+            lambda shorter: F.concat(
+                F.array(F.xxhash64(shorter)),
+                F.transform(
+                    _positions(i, F.length(shorter)), lambda j: F.xxhash64(_without(shorter, j))
+                ),
+            ),
+        )
+
+    shorter = F.flatten(F.transform(_positions(F.lit(1), F.length(word)), from_position))
+    return F.array_distinct(F.concat(F.array(F.xxhash64(word)), shorter))
 
 
 def _swapped(word: Column) -> Column:
     """The word with each pair of neighbours swapped."""
-    positions = F.sequence(F.lit(1), F.length(word) - 1)
-    swaps = F.transform(
-        positions,
+    return F.transform(
+        _positions(F.lit(1), F.length(word) - 1),
         lambda i: F.concat(
             F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.lit(1)),
             F.substring(word, i, F.lit(1)), F.substring(word, i + 2, F.length(word)),
         ),
     )
-    return F.when(F.length(word) > 1, swaps).otherwise(F.array().cast("array<string>"))
 
 
-def edit_distance(a: Column, b: Column) -> Column:
-    """Edits between two words, swaps of neighbours counting one; null above two."""
+def _letters(word: Column) -> Column:
+    """The word's letters in order; a swap leaves them as they are."""
+    return F.array_join(F.sort_array(F.split(word, "")), "")
 
-    def near(x: Column, y: Column) -> Column:
-        return F.exists(_swapped(x), lambda s: F.levenshtein(s, y) <= 1)
-
-    # A swap is two plain edits, so swaps matter up to a plain distance of four.
-    def grade(plain: Column) -> Column:
-        return (
-            F.when(plain.between(0, 1), plain)
-            .when((plain == 2) & F.array_contains(_swapped(a), b), 1)
-            .when(plain == 2, 2)
-            .when((plain == 3) & (near(a, b) | near(b, a)), 2)
-            .when((plain == 4) & F.arrays_overlap(_swapped(a), _swapped(b)), 2)
-        )
 
-    return let(F.levenshtein(a, b, 4), grade)
+def edit_distance(a: Column, b: Column, plain: Column) -> Column:
+    """Edits between two words, swaps of neighbours counting one; null above two.
+
+    ``plain`` is the distance without swaps, -1 above four.  A swap is two
+    plain edits, so swaps matter up to four; and since a swap keeps the
+    letters, comparing those settles most pairs before any swap is tried.
+    """
+    same_letters = (F.length(a) == F.length(b)) & (_letters(a) == _letters(b))
+    one_letter_off = (F.abs(F.length(a) - F.length(b)) <= 1) & (
+        F.levenshtein(_letters(a), _letters(b), 2) >= 0
+    )
+
+    def near(x: Column, y: Column) -> Column:
+        return F.exists(_swapped(x), lambda s: F.levenshtein(s, y, 1) >= 0)
+
+    return (
+        F.when(plain.between(0, 1), plain)
+        .when((plain == 2) & same_letters & F.array_contains(_swapped(a), b), 1)
+        .when(plain == 2, 2)
+        .when((plain == 3) & one_letter_off & (near(a, b) | near(b, a)), 2)
+        .when((plain == 4) & same_letters & F.arrays_overlap(_swapped(a), _swapped(b)), 2)
+    )
 
 
 def candidates(words: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -98,10 +117,13 @@ def candidates(words: DataFrame, dictionary: DataFrame) -> DataFrame:
         F.col("word").alias("candidate"), "freq",
         F.explode(deletion_keys(F.col("word"))).alias("key"),
     )
-    pairs = left.join(right, "key").withColumn(
-        "distance", edit_distance(F.col("word"), F.col("candidate"))
+    pairs = left.join(right, "key").select(
+        "word", "candidate", "freq", F.levenshtein("word", "candidate", 4).alias("plain")
+    )
+    graded = pairs.where(F.col("plain") >= 0).withColumn(
+        "distance", edit_distance(F.col("word"), F.col("candidate"), F.col("plain"))
     )
-    return pairs.where(F.col("distance").isNotNull()).drop("key")
+    return graded.where(F.col("distance").isNotNull()).drop("plain")
 
 
 def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -122,7 +144,7 @@ def unknown(words: DataFrame, dictionary: DataFrame, column: str = "word") -> Da
 
 def correct_words(words: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Each distinct word of ``words`` with what it becomes: word, correction."""
-    distinct = words.select("word").distinct()
+    distinct = cut_lineage(words.select("word").distinct())
     missing = unknown(distinct, dictionary).select(F.lower("word").alias("word")).distinct()
     fixed = corrections(missing, dictionary).withColumnRenamed("word", "_lower")
     joined = distinct.join(fixed, F.lower(F.col("word")) == F.col("_lower"), "left")

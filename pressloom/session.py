@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark import SparkContext
@@ -31,23 +32,30 @@ def build_session(app_name: str = "pressloom", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session without that setting gets a folder of its own, since
+    no other machine needs to reach it.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        folder = tempfile.mkdtemp(prefix="pressloom-shared-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back from there.
+    """Write ``df`` as a table in the shared folder and read it back.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``.  Only
-    a local session without that setting gets a folder of its own, since no
-    other machine needs to reach it.
+    What reads it does not compute it again, also after a lost executor, and
+    the planner knows its size when it chooses a join.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="pressloom-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def built_once(build: Callable[..., Column]) -> Callable[..., Column]:

@@ -8,8 +8,20 @@ from pyspark.sql import functions as F
 PAGE_SCHEMA = "page_id BIGINT, url STRING, html STRING"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A table scan in at least as many partitions as there are task slots.
+
+    A few small files would leave most of the cluster idle under per-row work
+    as heavy as parsing.  A scan that fills the cluster is left as it is, so
+    this never shuffles data of any size.
+    """
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= slots else scan.repartition(slots)
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """Captured pages, or any other table of long texts."""
+    return spread(spark.read.parquet(path))
 
 
 def stream_pages(spark: SparkSession, folder: str, schema: str = PAGE_SCHEMA, **options: str) -> DataFrame:
