@@ -285,8 +285,7 @@ def prj_sentinel(spark, sf_dir):
 
 @query
 def extract_releases(spark, sf_dir):
-    rows = pages(spark, sf_dir).withColumn("site", F.lit("generic"))
-    read = releases.extract(rows, site_profiles(spark, (generic(),)), keys=("page_id",))
+    read = releases.extract_one(pages(spark, sf_dir), generic(), keys=("page_id",))
     return read.select(
         "page_id", "url", "title", F.coalesce("date", F.lit(releases.NO_DATE)).alias("date"),
         text.clean_text(F.col("content")).alias("content"),
@@ -393,9 +392,7 @@ def join_link_page(spark, sf_dir):
         F.lit("generic").alias("site"), "page_id",
         F.when(F.col("page_id") % 5 == 0, F.concat("url", F.lit("/gone"))).otherwise(F.col("url")).alias("url"),
     )
-    read = releases.extract(
-        all_pages.withColumn("site", F.lit("generic")), site_profiles(spark, (generic(),))
-    )
+    read = releases.extract_one(all_pages, generic())
     return releases.attach(listed, read).select("page_id", "url", "title", "content")
 
 

@@ -73,14 +73,16 @@ def _entity_tables() -> tuple[Column, Column]:
     return as_map(_COMMON_ENTITIES), as_map(sorted(names))
 
 
+# 128-159 are read as windows-1252, as browsers do; its five gaps stay.
+_CONTROLS = "".join(map(chr, range(128, 160)))
+_LEGACY = "".join(bytes([c]).decode("cp1252", errors="ignore") or chr(c) for c in range(128, 160))
+
+
 def _from_code_point(number: Column) -> Column:
     """The character with this number; numbers outside Unicode give U+FFFD."""
     valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
     encoded = F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(F.lit(0xFFFD))), 8, "0"))
-    # 128-159 are read as windows-1252, as browsers do.
-    single = F.unhex(F.lpad(F.hex(number), 2, "0"))
-    legacy = F.decode(single, "windows-1252")
-    return F.when(number.between(128, 159), legacy).otherwise(F.decode(encoded, "UTF-32"))
+    return F.translate(F.decode(encoded, "UTF-32"), _CONTROLS, _LEGACY)
 
 
 def unescape(text: Column) -> Column:

@@ -9,6 +9,7 @@ from pressloom.functions import html
 from pressloom.functions.content import NO_CONTENT, by_mode
 from pressloom.functions.text import let
 from pressloom.operators.selectors import broken_path, field_text, locate
+from pressloom.profiles import SiteProfile, profile_rows
 from pressloom.session import built_once
 
 RECORD_END = "\n\n==\n"
@@ -56,8 +57,18 @@ def extract(pages: DataFrame, profiles: DataFrame, keys: tuple[str, ...] = ()) -
     columns to keep.  Parsing and selection happen inside the page's row, so
     the plan is a scan, a join with the small profile table and a projection.
     """
-    joined = pages.join(profiles, "site")
-    read = joined.select(
+    return _read(pages.join(profiles, "site"), keys)
+
+
+def extract_one(pages: DataFrame, profile: SiteProfile, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Release rows of pages that all belong to one site; needs no join."""
+    settings = F.get(profile_rows((profile,)), F.lit(0))
+    own = pages.select("url", "html", *keys, settings.alias("_profile"))
+    return _read(own.select("url", "html", *keys, "_profile.*"), keys)
+
+
+def _read(pages: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    read = pages.select(
         "site", "url", *keys, "extra_label",
         F.inline(F.array(_page_fields())),
     )

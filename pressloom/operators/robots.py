@@ -54,7 +54,7 @@ def rule_entries(text: Column) -> Column:
             line.key.isin("allow", "disallow"),
             F.struct(
                 ((line.key == "allow") | (line.value == "")).alias("allow"),
-                F.when(line.value == "*", "*").otherwise(robots_path(line.value)).alias("path"),
+                robots_path(line.value).alias("path"),
             ),
         ).otherwise(F.struct(F.lit(True).alias("allow"), F.lit(None).cast("string").alias("path")))
         return F.struct(
@@ -102,9 +102,7 @@ def allowed(entries: Column, user_agent: str, url: Column) -> Column:
     entry = F.coalesce(F.get(named, F.lit(0)), F.get(catch_all, F.lit(0)))
 
     def decide(path: Column) -> Column:
-        hits = F.filter(
-            entry.rules, lambda r: (r.path == "*") | F.startswith(path, r.path)
-        )
+        hits = F.filter(entry.rules, lambda r: F.startswith(path, r.path))
         return F.get(hits, F.lit(0)).allow
 
     path = let(robots_path(url), lambda p: F.when(p == "", "/").otherwise(p))

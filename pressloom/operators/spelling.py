@@ -100,8 +100,8 @@ def edit_distance(a: Column, b: Column, plain: Column) -> Column:
         F.when(plain.between(0, 1), plain)
         .when((plain == 2) & same_letters & F.array_contains(_swapped(a), b), 1)
         .when(plain == 2, 2)
+        .when(same_letters & F.arrays_overlap(_swapped(a), _swapped(b)), 2)
         .when((plain == 3) & one_letter_off & (near(a, b) | near(b, a)), 2)
-        .when((plain == 4) & same_letters & F.arrays_overlap(_swapped(a), _swapped(b)), 2)
     )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STEP = (
@@ -230,11 +230,15 @@ def generic(content_mode: str = "paragraphs") -> SiteProfile:
     )
 
 
+def profile_rows(profiles: tuple[SiteProfile, ...]) -> Column:
+    """The profiles as an array literal."""
+    return F.from_json(F.lit(json.dumps([asdict(p) for p in profiles])), PROFILE_SCHEMA)
+
+
 def site_profiles(spark: SparkSession, profiles: tuple[SiteProfile, ...] = SITES) -> DataFrame:
     """The profiles as a table.
 
     It is a literal in the plan, so Catalyst knows its few kilobytes and picks
     a broadcast join by itself; no hint that a larger table would inherit.
     """
-    rows = json.dumps([asdict(p) for p in profiles])
-    return spark.range(1).select(F.inline(F.from_json(F.lit(rows), PROFILE_SCHEMA)))
+    return spark.range(1).select(F.inline(profile_rows(profiles)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressloom.operators.releases import RECORD_END
 from pressloom.sources.corpus import STRICT
 
 CHUNK_SIZE = 1000
@@ -21,9 +22,17 @@ def append_releases(releases: DataFrame, path: str) -> None:
 
 
 def append_records(records: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
-    """Add serialised records as text; they bring their own separator."""
-    rows = records.repartitionByRange("site", *order).sortWithinPartitions("site", *order) if order else records
-    rows.select("site", "record").write.mode("append").partitionBy("site").text(path, lineSep="")
+    """Add serialised records as text, the record end standing as line end."""
+    rows = records
+    if order:
+        rows = rows.repartitionByRange("site", *order).sortWithinPartitions("site", *order)
+    body = F.substring("record", F.lit(1), F.length("record") - len(RECORD_END))
+    (
+        rows.select("site", body.alias("record"))
+        .write.mode("append")
+        .partitionBy("site")
+        .text(path, lineSep=RECORD_END)
+    )
 
 
 def write_formatted(releases: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
