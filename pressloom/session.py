@@ -17,6 +17,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Recording the Python call site of every Column call costs more than the
+    # call; the page expressions make thousands.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
