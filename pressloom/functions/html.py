@@ -193,42 +193,53 @@ _SPAN = "struct<node_id:int,end_id:int>"
 
 def _step(state: Column, token: Column) -> Column:
     """Place one token: push an element, pop to an end tag, or add a leaf."""
-    node_id = state.n + 1
-    is_close = token.op == "close"
-    is_open = token.op == "open"
     # The stack is kept top first, so the first match is the nearest open tag.
-    hit = F.when(is_close, F.array_position(state.tags, token.tag).cast("int")).otherwise(0)
+    return (
+        F.when(
+            token.op == "close",
+            let(
+                F.array_position(state.tags, token.tag).cast("int"),
+                lambda hit: F.when(hit > 0, _popped(state, hit)).otherwise(state),
+            ),
+        )
+        .otherwise(_placed(state, token))
+    )
+
+
+def _popped(state: Column, hit: Column) -> Column:
+    closed = F.transform(
+        F.slice(state.ids, F.lit(1), hit),
+        lambda i: F.struct(i.alias("node_id"), (state.n + 1).alias("end_id")),
+    )
+    return F.struct(
+        F.slice(state.ids, hit + 1, F.size(state.ids)).alias("ids"),
+        F.slice(state.tags, hit + 1, F.size(state.tags)).alias("tags"),
+        state.n.alias("n"), state.opened.alias("opened"), state.places.alias("places"),
+        F.concat(state.spans, closed).alias("spans"),
+    )
+
+
+def _placed(state: Column, token: Column) -> Column:
+    is_open = token.op == "open"
     is_text = token.op == "text"
+
+    def under(tags: tuple[str, ...]) -> Column:
+        return is_text & F.arrays_overlap(state.tags, F.array(*map(F.lit, tags)))
+
     place = F.struct(
         F.coalesce(F.get(state.ids, F.lit(0)), F.lit(0)).alias("parent_id"),
         F.size(state.ids).alias("depth"),
-        (is_text & F.arrays_overlap(state.tags, F.array(*map(F.lit, SPECIAL_TEXT_TAGS)))).alias(
-            "special"
-        ),
-        (is_text & F.arrays_overlap(state.tags, F.array(*map(F.lit, PREFORMATTED_TAGS)))).alias(
-            "pre"
-        ),
+        under(SPECIAL_TEXT_TAGS).alias("special"),
+        under(PREFORMATTED_TAGS).alias("pre"),
         F.when(is_open, state.opened + 1).otherwise(0).alias("ordinal"),
     )
-    popped = F.transform(
-        F.slice(state.ids, F.lit(1), hit),
-        lambda i: F.struct(i.alias("node_id"), node_id.alias("end_id")),
-    )
     return F.struct(
-        F.when(is_open, F.concat(F.array(node_id), state.ids))
-        .when(hit > 0, F.slice(state.ids, hit + 1, F.size(state.ids)))
-        .otherwise(state.ids)
-        .alias("ids"),
-        F.when(is_open, F.concat(F.array(token.tag), state.tags))
-        .when(hit > 0, F.slice(state.tags, hit + 1, F.size(state.tags)))
-        .otherwise(state.tags)
-        .alias("tags"),
-        F.when(is_close, state.n).otherwise(node_id).alias("n"),
+        F.when(is_open, F.concat(F.array(state.n + 1), state.ids)).otherwise(state.ids).alias("ids"),
+        F.when(is_open, F.concat(F.array(token.tag), state.tags)).otherwise(state.tags).alias("tags"),
+        (state.n + 1).alias("n"),
         F.when(is_open, state.opened + 1).otherwise(state.opened).alias("opened"),
-        F.when(is_close, state.places)
-        .otherwise(F.concat(state.places, F.array(place)))
-        .alias("places"),
-        F.when(hit > 0, F.concat(state.spans, popped)).otherwise(state.spans).alias("spans"),
+        F.concat(state.places, F.array(place)).alias("places"),
+        state.spans.alias("spans"),
     )
 
 
@@ -246,41 +257,48 @@ def _walk(token_array: Column) -> Column:
     empty_places = F.array().cast(f"array<{_PLACE}>")
     empty_spans = F.array().cast(f"array<{_SPAN}>")
 
-    def chunk_state(outer: Column) -> Column:
+    def resumed(last: Column) -> Column:
+        """The stack and counts after a chunk, with nothing placed yet."""
         return F.struct(
-            outer.ids.alias("ids"), outer.tags.alias("tags"), outer.n.alias("n"),
-            outer.opened.alias("opened"), empty_places.alias("places"),
+            last.ids.alias("ids"), last.tags.alias("tags"), last.n.alias("n"),
+            last.opened.alias("opened"), empty_places.alias("places"),
             empty_spans.alias("spans"),
         )
 
+    def places_of(outer: Column) -> Column:
+        return F.concat(outer.places, F.array(outer.last.places))
+
+    def spans_of(outer: Column) -> Column:
+        return F.concat(outer.spans, F.array(outer.last.spans))
+
     def outer_step(outer: Column, start: Column) -> Column:
-        part = F.aggregate(F.slice(token_array, start, F.lit(CHUNK)), chunk_state(outer), _step)
-        return let(
-            part,
-            lambda p: F.struct(
-                p.ids.alias("ids"), p.tags.alias("tags"), p.n.alias("n"),
-                p.opened.alias("opened"),
-                F.concat(outer.places, F.array(p.places)).alias("places"),
-                F.concat(outer.spans, F.array(p.spans)).alias("spans"),
-            ),
+        chunk = F.slice(token_array, start, F.lit(CHUNK))
+        return F.struct(
+            F.aggregate(chunk, resumed(outer.last), _step).alias("last"),
+            places_of(outer).alias("places"),
+            spans_of(outer).alias("spans"),
         )
 
     start = F.struct(
-        F.array().cast("array<int>").alias("ids"),
-        F.array().cast("array<string>").alias("tags"),
-        F.lit(0).alias("n"), F.lit(0).alias("opened"),
+        F.struct(
+            F.array().cast("array<int>").alias("ids"),
+            F.array().cast("array<string>").alias("tags"),
+            F.lit(0).alias("n"), F.lit(0).alias("opened"),
+            empty_places.alias("places"), empty_spans.alias("spans"),
+        ).alias("last"),
         F.array().cast(f"array<array<{_PLACE}>>").alias("places"),
         F.array().cast(f"array<array<{_SPAN}>>").alias("spans"),
     )
 
     def finish(outer: Column) -> Column:
+        end = outer.last.n + 1
         left_open = F.transform(
-            outer.ids, lambda i: F.struct(i.alias("node_id"), (outer.n + 1).alias("end_id"))
+            outer.last.ids, lambda i: F.struct(i.alias("node_id"), end.alias("end_id"))
         )
         # Every element has one span; sorted by id they stand in open order.
         return F.struct(
-            F.flatten(outer.places).alias("places"),
-            F.array_sort(F.concat(F.flatten(outer.spans), left_open)).alias("spans"),
+            F.flatten(places_of(outer)).alias("places"),
+            F.sort_array(F.concat(F.flatten(spans_of(outer)), left_open)).alias("spans"),
         )
 
     return F.aggregate(starts, start, outer_step, finish)

@@ -32,10 +32,12 @@ OPENING_QUOTES = "\"'“‘"
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and hand the result to ``body``.
 
-    A one-element ``transform`` binds the value to a lambda variable, so the
-    optimiser cannot inline a costly expression at each place it is used.
+    Folding an empty array only binds the start value to a lambda variable, so
+    the optimiser cannot inline a costly expression at each place it is used.
+    Unlike an element of ``transform`` the result is not copied.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    nothing = F.array().cast("array<int>")
+    return F.aggregate(nothing, value, lambda bound, _: bound, lambda bound: body(bound))
 
 
 def strip(text: Column) -> Column:
