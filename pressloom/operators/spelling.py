@@ -100,39 +100,54 @@ def edit_distance(a: Column, b: Column, plain: Column) -> Column:
         F.when(plain.between(0, 1), plain)
         .when((plain == 2) & same_letters & F.array_contains(_swapped(a), b), 1)
         .when(plain == 2, 2)
-        .when(same_letters & F.arrays_overlap(_swapped(a), _swapped(b)), 2)
+        .when(
+            plain.between(3, 4) & same_letters & F.arrays_overlap(_swapped(a), _swapped(b)), 2
+        )
         .when((plain == 3) & one_letter_off & (near(a, b) | near(b, a)), 2)
     )
 
 
-def candidates(words: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Pairs within two edits: word, candidate, freq, distance (may repeat).
+def _graded(words: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Pairs that share a key: word, candidate, freq, distance (may be null, may repeat).
 
     Both sides hold distinct words, and a key is shared only by words at most
     two letters longer than it, so even the shortest keys meet a number of
-    words limited by the alphabet and not by the corpus.
+    words limited by the alphabet and not by the corpus.  The dictionary's keys
+    are many times its words; as a table they show the planner their own size.
     """
     left = words.select("word", F.explode(deletion_keys(F.col("word"))).alias("key"))
-    right = dictionary.select(
-        F.col("word").alias("candidate"), "freq",
-        F.explode(deletion_keys(F.col("word"))).alias("key"),
+    right = cut_lineage(
+        dictionary.select(
+            F.col("word").alias("candidate"), "freq",
+            F.explode(deletion_keys(F.col("word"))).alias("key"),
+        )
     )
     pairs = left.join(right, "key").select(
         "word", "candidate", "freq", F.levenshtein("word", "candidate", 4).alias("plain")
     )
-    graded = pairs.where(F.col("plain") >= 0).withColumn(
-        "distance", edit_distance(F.col("word"), F.col("candidate"), F.col("plain"))
-    )
-    return graded.where(F.col("distance").isNotNull()).drop("plain")
+    distance = edit_distance(F.col("word"), F.col("candidate"), F.col("plain"))
+    return pairs.select("word", "candidate", "freq", distance.alias("distance"))
+
+
+def candidates(words: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Pairs within two edits: word, candidate, freq, distance (may repeat)."""
+    return _graded(words, dictionary).where(F.col("distance").isNotNull())
 
 
 def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Best candidate for each distinct unknown word: word, correction."""
-    rank = F.struct(
-        F.col("distance"), (-F.col("freq")).alias("rarity"), F.col("candidate")
+    """Best candidate for each distinct unknown word: word, correction.
+
+    Far pairs drop out as nulls of the minimum: a filter before it would be
+    pushed into the join and work out every distance several times.
+    """
+    rank = F.when(
+        F.col("distance").isNotNull(),
+        F.struct(F.col("distance"), (-F.col("freq")).alias("rarity"), F.col("candidate")),
+    )
+    best = _graded(words, dictionary).groupBy("word").agg(F.min(rank).alias("best"))
+    return best.where(F.col("best").isNotNull()).select(
+        "word", F.col("best.candidate").alias("correction")
     )
-    best = candidates(words, dictionary).groupBy("word").agg(F.min(rank).alias("best"))
-    return best.select("word", F.col("best.candidate").alias("correction"))
 
 
 def unknown(words: DataFrame, dictionary: DataFrame, column: str = "word") -> DataFrame:
