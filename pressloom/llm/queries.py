@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pressloom.llm import sharding
+from pressloom.llm import quality, sharding
 
 LLM_QUERIES = {
     "op1_stratified_interleaving": sharding.op1_stratified_interleaving,
+    "op3_robust_outliers": quality.op3_robust_outliers,
 }
 
 LLM_ORACLE = {}
