@@ -11,6 +11,7 @@ from pressloom.session import cut_lineage
 
 #: A word is a run of anything but ASCII white space, as ``bytes.split()`` has it.
 SPACE = r"[\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows that a window orders at once, in a small table; in a large one as many
 #: as there are ranges, so that neither a range nor their list becomes long.

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pressloom.llm import quality, sharding
+from pressloom.llm import mixing, quality, sharding
 
 LLM_QUERIES = {
     "op1_stratified_interleaving": sharding.op1_stratified_interleaving,
     "op3_robust_outliers": quality.op3_robust_outliers,
+    "op9_splitting_tree": mixing.op9_splitting_tree,
 }
 
-LLM_ORACLE = {}
+LLM_ORACLE = {
+    "op9_splitting_tree": mixing.OP9_SQL,
+}
