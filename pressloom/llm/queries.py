@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pressloom.llm import mixing, quality, sharding, simhash
+from pressloom.llm import decontamination, mixing, quality, sharding, simhash
 
 LLM_QUERIES = {
     "op1_stratified_interleaving": sharding.op1_stratified_interleaving,
+    "op2_spaced_seeds": decontamination.op2_spaced_seeds,
     "op3_robust_outliers": quality.op3_robust_outliers,
     "op8_pigeonring": simhash.op8_pigeonring,
     "op9_splitting_tree": mixing.op9_splitting_tree,
