@@ -8,15 +8,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import sharding
+from pressloom.llm import decontamination, mixing, quality, sharding, simhash
 from pressloom.session import cut_lineage
 
 
-def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and are no outliers of their language and source."""
+    return quality.keep_good(docs)
+
+
+def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near duplicates."""
+    return simhash.keep_first(docs)
+
+
+def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return decontamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def weighed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: documents as often as their source's target asks for, the last one of a source cut."""
+    return mixing.mix(docs).select(*docs.columns)
+
+
+def dealt(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shards of equal row counts with all sources in each."""
     return sharding.interleave(docs)
 
 
-STAGES = [("sharding", shard)]
+STAGES = [
+    ("quality rules", good),
+    ("near duplicates", different),
+    ("decontamination", unseen),
+    ("mixing", weighed),
+    ("sharding", dealt),
+]
 
 #: SimHash fingerprints need XXH64, which the other engine lacks.
 ORACLE_SQL = None

@@ -219,11 +219,22 @@ def classed(
 
 
 def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = SHINGLE) -> DataFrame:
-    """One row of each group: that with the smallest key; of rows that share this key one."""
-    rows = classed(docs, text=text, key=key, width=width)
-    smallest = rows.where(F.col("node_").eqNullSafe(F.col("component_")))
-    one = Window.partitionBy("group_").orderBy(F.xxhash64("row_"))
-    return smallest.withColumn("n_", F.row_number().over(one)).where("n_ = 1").select("row_.*")
+    """One row of each group: that with the smallest key; of rows that share this key one.
+
+    Only keys and hashes of rows are grouped; the rows themselves move once, to
+    meet those that stay.
+    """
+    same = F.xxhash64(*docs.columns)
+    marked = docs.withColumn("hash_", same)
+    slim = classed(marked.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), "hash_"), ["hash_"], width=width)
+    smallest = slim.where(F.col("node_").eqNullSafe(F.col("component_")))
+    staying = cut_lineage(
+        smallest.groupBy("group_").agg(F.min(F.struct("row_.hash_", "node_")).alias("one_")).select(
+            F.col("one_.hash_").alias("hash_of_"), F.col("one_.node_").alias("node_of_")))
+    met = docs.withColumn("hash_", same).withColumn("node_", F.col(key).cast("bigint")).join(
+        staying, (F.col("hash_") == F.col("hash_of_")) & F.col("node_").eqNullSafe(F.col("node_of_")))
+    repeated = Window.partitionBy("hash_", "node_").orderBy(F.lit(1))
+    return met.withColumn("n_", F.row_number().over(repeated)).where("n_ = 1").select(*docs.columns)
 
 
 def op8_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
