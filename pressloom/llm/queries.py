@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pressloom.llm import decontamination, mixing, quality, sharding, simhash
+from pressloom.llm import decontamination, mixing, quality, sharding, simhash, substrings, suffixes
 
 LLM_QUERIES = {
     "op1_stratified_interleaving": sharding.op1_stratified_interleaving,
     "op2_spaced_seeds": decontamination.op2_spaced_seeds,
     "op3_robust_outliers": quality.op3_robust_outliers,
+    "op6_run_length_index": suffixes.op6_run_length_index,
     "op8_pigeonring": simhash.op8_pigeonring,
     "op9_splitting_tree": mixing.op9_splitting_tree,
+    "op10_super_kmers": substrings.op10_super_kmers,
 }
 
 LLM_ORACLE = {

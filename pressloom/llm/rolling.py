@@ -72,3 +72,40 @@ def batches(texts: list[bytes], limit: int = 2_000_000) -> Iterator[tuple[int, l
         size += len(text) + 1
     if held:
         yield first, held
+
+
+def minimisers(
+    units: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray, size: int, gram: int
+) -> tuple[np.ndarray, ...]:
+    """Runs of consecutive windows of ``size`` units that share a minimiser.
+
+    ``units`` are two independent hashes of each unit, ``starts`` and ``ends``
+    the texts' bounds.  Gives for each run its text, first window, number of
+    windows, place of the minimiser, and two hashes: of the minimiser, and of
+    all the run's units.  The least hash decides, then the leftmost place, so
+    equal windows have their minimiser at the same place in them.
+    """
+    long = ends - starts >= size
+    n = len(units[0])
+    edge = np.zeros(n + 1, np.int8)
+    edge[starts[long]] += 1
+    edge[ends[long] - size + 1] -= 1
+    windows = np.flatnonzero(np.cumsum(edge[:n], dtype=np.int8))
+    if not len(windows):
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
+    grams = Runs(units[0]).hash(slice(0, n - gram + 1), slice(gram, n + 1))
+    low = np.uint64(32)
+    least = (grams >> low << low) | np.arange(len(grams), dtype=np.uint64)
+    span, width = 1, size - gram + 1
+    while 2 * span <= width:
+        least = np.minimum(least[:-span], least[span:])
+        span *= 2
+    if span < width:
+        least = np.minimum(least[: len(least) - (width - span)], least[width - span :])
+    places = (least[windows] & np.uint64(2**32 - 1)).astype(np.int64)
+    new = np.flatnonzero((np.diff(places, prepend=-1) != 0) | (np.diff(windows, prepend=-2) != 1))
+    first, place = windows[new], places[new]
+    count = np.diff(np.append(new, len(windows)))
+    whole = Runs(units[1], 1).hash(first, first + count - 1 + size)
+    owner = np.searchsorted(starts, first, side="right") - 1
+    return owner, first - starts[owner], count, place - first, grams[place], whole
