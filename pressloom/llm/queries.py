@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pressloom.llm import decontamination, mixing, quality, sharding, simhash, substrings, suffixes
+from pressloom.llm import decontamination, language, mixing, quality, sharding, simhash, substrings, suffixes
 
 LLM_QUERIES = {
     "op1_stratified_interleaving": sharding.op1_stratified_interleaving,
     "op2_spaced_seeds": decontamination.op2_spaced_seeds,
     "op3_robust_outliers": quality.op3_robust_outliers,
+    "op4_marginal_unigrams": language.op4_marginal_unigrams,
     "op6_run_length_index": suffixes.op6_run_length_index,
     "op8_pigeonring": simhash.op8_pigeonring,
     "op9_splitting_tree": mixing.op9_splitting_tree,
