@@ -42,10 +42,8 @@ def ranges(n_rows: int) -> int:
     return max(1, -(-n_rows // max(RANGE_ROWS, math.isqrt(n_rows))))
 
 
-def running(
-    rows: DataFrame, group: list[str], part: str, order: list[Column], amount: Column, name: str
-) -> DataFrame:
-    """Adds ``name``: the amounts of all rows before this one in its group, as a long.
+def running(rows: DataFrame, group: list[str], part: str, order: list[Column], amounts: dict[str, Column]) -> DataFrame:
+    """Adds, by name, the sum of an amount over all rows before this one in its group, as a long.
 
     ``part`` is the number of the range a row is in; ranges follow the order.
     A window sees one range of one group, and the ranges are shifted by the
@@ -53,21 +51,19 @@ def running(
     first (a job runs here), so Catalyst knows their size and moves the rows
     for this join only if they are too many to broadcast.
     """
-    spread = rows.withColumn("amount_", amount.cast("bigint"))
-    sums = spread.groupBy(*group, part).agg(F.sum("amount_").alias("sum_"))
+    spread = rows.withColumns({f"{name}_own": amount.cast("bigint") for name, amount in amounts.items()})
+    sums = spread.groupBy(*group, part).agg(*(F.sum(f"{name}_own").alias(f"{name}_sum") for name in amounts))
     before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     shift = sums.select(
         *(F.col(g).alias(f"{g}_of") for g in group), F.col(part).alias("part_of"),
-        F.coalesce(F.sum("sum_").over(before), F.lit(0)).alias("shift_"),
+        *(F.coalesce(F.sum(f"{name}_sum").over(before), F.lit(0)).alias(f"{name}_shift") for name in amounts),
     )
     shift = cut_lineage(shift)
     same = F.col(part) == F.col("part_of")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"{g}_of"))
     within = Window.partitionBy(*group, part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        spread.withColumn("within_", F.coalesce(F.sum("amount_").over(within), F.lit(0)))
-        .join(shift, same)
-        .withColumn(name, F.col("shift_") + F.col("within_"))
-        .drop("amount_", "within_", "shift_", "part_of", *(f"{g}_of" for g in group))
-    )
+    inner = {f"{name}_in": F.coalesce(F.sum(f"{name}_own").over(within), F.lit(0)) for name in amounts}
+    met = spread.withColumns(inner).join(shift, same)
+    return met.withColumns({name: F.col(f"{name}_shift") + F.col(f"{name}_in") for name in amounts}).drop(
+        "part_of", *(f"{g}_of" for g in group), *(f"{name}_{end}" for name in amounts for end in ("own", "in", "shift")))

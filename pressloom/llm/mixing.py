@@ -163,7 +163,7 @@ def drawn(
     )
     known = cut_lineage(sources.join(ends, "place_").drop("place_").withColumnRenamed("source_", "of_"))
 
-    placed = running(rows, ["source_"], "part_", [F.col("digits_"), F.col("tie_")], F.col("size_"), "start_")
+    placed = running(rows, ["source_"], "part_", [F.col("digits_"), F.col("tie_")], {"start_": F.col("size_")})
     placed = placed.join(known, F.col("source_").eqNullSafe(F.col("of_")))
     # The document is met in each epoch that begins before the target is reached.
     last = F.floor((F.col("words_") - F.col("start_") - 1) / F.col("source_size")).cast("int")

@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
-from pressloom.llm import decontamination, language, mixing, quality, sharding, simhash, substrings, suffixes
+from pressloom.llm import (
+    chat,
+    decontamination,
+    language,
+    mixing,
+    quality,
+    sharding,
+    simhash,
+    substrings,
+    suffixes,
+    urls,
+)
 
 LLM_QUERIES = {
     "op1_stratified_interleaving": sharding.op1_stratified_interleaving,
     "op2_spaced_seeds": decontamination.op2_spaced_seeds,
     "op3_robust_outliers": quality.op3_robust_outliers,
     "op4_marginal_unigrams": language.op4_marginal_unigrams,
+    "op5_temporal_lists": urls.op5_temporal_lists,
     "op6_run_length_index": suffixes.op6_run_length_index,
+    "op7_snapshots": chat.op7_snapshots,
     "op8_pigeonring": simhash.op8_pigeonring,
     "op9_splitting_tree": mixing.op9_splitting_tree,
     "op10_super_kmers": substrings.op10_super_kmers,
 }
 
 LLM_ORACLE = {
+    "op5_temporal_lists": urls.OP5_SQL,
+    "op7_snapshots": chat.OP7_SQL,
     "op9_splitting_tree": mixing.OP9_SQL,
 }

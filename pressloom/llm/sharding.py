@@ -42,7 +42,7 @@ def interleave(
     n_parts = ranges(n_rows)
     ranked = running(
         packed.withColumn("part_", F.floor(share(F.col("digits_")) * n_parts)),
-        ["stratum_"], "part_", [F.col("digits_"), F.col("tie_")], F.lit(1), "rank_",
+        ["stratum_"], "part_", [F.col("digits_"), F.col("tie_")], {"rank_": F.lit(1)},
     )
     sizes = cut_lineage(packed.groupBy("stratum_").agg(F.count(F.lit(1)).alias("rows_")))
     fraction = (2 * F.col("rank_") + 1) / (2 * F.col("rows_"))
@@ -56,7 +56,7 @@ def interleave(
     order: list[Column] = [
         F.col("fraction_"), F.col("stratum_").asc_nulls_last(), F.col("digits_"), F.col("tie_"),
     ]
-    at = running(placed, [], "range_", order, F.lit(1), "at_")
+    at = running(placed, [], "range_", order, {"at_": F.lit(1)})
     shard = F.expr(f"(at_ * {n_shards}L) DIV {max(1, n_rows)}L")
     first = F.expr(f"((at_ * {n_shards}L) DIV {max(1, n_rows)}L * {n_rows}L + {n_shards - 1}L) DIV {n_shards}L")
     return at.select("row_.*", shard.cast("int").alias("shard"), (F.col("at_") - first).alias("slot"))
