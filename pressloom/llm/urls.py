@@ -27,7 +27,7 @@ def host(url: Column) -> Column:
 
 def directories(url: Column) -> Column:
     """Path segments that another one or a slash follows."""
-    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*((?:/[^/?#]*)*)", 1)
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)", 1)
     parts = F.split(path, "/")
     return F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0)))
 
@@ -145,7 +145,7 @@ OP5_SQL = r"""
 WITH p AS (
     SELECT page_id, url, DATE '2024-01-01' + CAST(('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 6))::INT % 730 AS INT) AS fetched_at,
            nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '') AS h,
-           string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*((?:/[^/?#]*)*)', 1), '/')[2:-2] AS dirs
+           string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1), '/')[2:-2] AS dirs
     FROM pages
 ), hosts AS (SELECT DISTINCT h AS pattern, ('0x' || substr(md5(h), 1, 6))::INT AS n FROM p WHERE h IS NOT NULL
 ), dirs AS (
