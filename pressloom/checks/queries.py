@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,15 +14,13 @@ from pressloom.functions import select as S
 from pressloom.operators import crawl, links, normalise, numbering, releases, robots, spelling
 from pressloom.plans import extraction
 from pressloom.profiles import generic, site_profiles
+from pressloom.session import shared_folder
 from pressloom.sources import corpus, pages as page_source, sinks
 from pressloom.streaming.extraction import append_stream, extract_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Words this frequent in the documents make up the dictionary of the checks.
-DICTIONARY_FLOOR = 20
-
 
 def query(build: Query) -> Query:
     QUERIES[build.__name__] = build
@@ -30,9 +28,7 @@ def query(build: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    long_texts = name in ("pages", "documents")
-    return page_source.read_pages(spark, path) if long_texts else spark.read.parquet(path)
+    return page_source.read_pages(spark, f"{sf_dir}/{name}.parquet")
 
 
 def from_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
@@ -46,6 +42,11 @@ def from_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql)
 
 
+def _folder(spark: SparkSession) -> str:
+    """A new folder that all executors reach."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_sql(spark, sf_dir, derived.SITE_PAGES)
 
@@ -111,7 +112,7 @@ def src_member_from_file(spark, sf_dir):
 
 @query
 def sink_append(spark, sf_dir):
-    out = tempfile.mkdtemp(prefix="pressloom-append-")
+    out = _folder(spark)
     rows = from_sql(spark, sf_dir, derived.RELEASES).withColumnRenamed("member", "site")
     early = F.col("doc_id") < F.col("doc_id") % 7 * 100
     for part in (rows.where(early), rows.where(~early)):
@@ -122,7 +123,7 @@ def sink_append(spark, sf_dir):
 @query
 def sink_chunks(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    chunked = numbering.chunk_no(numbering.number_rows(docs, "lang", "doc_id", width=256), 100)
+    chunked = numbering.chunk_no(numbering.number_rows(docs, "lang", "doc_id"), 100)
     counted = chunked.groupBy("lang", "chunk_no").agg(
         F.count("*").alias("n_releases"), F.min("row_no").alias("first_no"),
         F.max("doc_id").alias("last_doc"),
@@ -519,7 +520,7 @@ def agg_links_per_page(spark, sf_dir):
 @query
 def agg_progress(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("source").alias("member"), "doc_id")
-    return numbering.number_rows(docs, "member", "doc_id", width=256)
+    return numbering.number_rows(docs, "member", "doc_id")
 
 
 @query
@@ -577,7 +578,9 @@ def norm_words(spark, sf_dir):
 
 
 def _dictionary(spark, sf_dir) -> DataFrame:
-    return spelling.build_dictionary(table(spark, sf_dir, "documents"), min_freq=DICTIONARY_FLOOR)
+    """Every word of the benchmark and of the conversations."""
+    trusted = table(spark, sf_dir, "benchmark").select("text").unionAll(table(spark, sf_dir, "conversations").select("text"))
+    return spelling.build_dictionary(trusted)
 
 
 @query
@@ -597,7 +600,7 @@ def norm_corpus(spark, sf_dir):
 
 def _streamed(spark, sf_dir, runs: int) -> DataFrame:
     """Releases a stream appended, its page files arriving before or between runs."""
-    folder = tempfile.mkdtemp(prefix="pressloom-stream-")
+    folder = _folder(spark)
     source = site_pages(spark, sf_dir)
     for run in range(runs):
         part = source.where(F.col("page_id") % runs == run)

@@ -9,6 +9,7 @@ positions in the array, a subtree is a ``slice``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,8 +31,9 @@ SPECIAL_TEXT_TAGS = ("script", "style", "template", "rt", "rp")
 # Elements in which blank text is kept as it is.
 PREFORMATTED_TAGS = ("pre", "textarea")
 
-# Stands for a "<" that opens no markup while the page is cut into tokens.
-STRAY = "﷐"
+# Begins the stand-in for a "<" that opens no markup, and that for itself, while
+# the page is cut into tokens.
+MARK = "\ufdd0"
 
 _ATTRIBUTES = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
 _OPAQUE = "|".join(
@@ -85,45 +87,89 @@ def _from_code_point(number: Column) -> Column:
     return F.translate(F.decode(encoded, "UTF-32"), _CONTROLS, _LEGACY)
 
 
-def unescape(text: Column) -> Column:
-    """Decode named and numeric character references."""
-    common, full = _entity_tables()
+def _numeric(piece: Column) -> Column:
+    """A decimal or hexadecimal reference; leading zeros say nothing, and more digits than any character has are too many."""
+    hexits = F.regexp_extract(piece, "^&#[xX]0*([0-9a-fA-F]*);?$", 1)
+    digits = F.regexp_extract(piece, "^&#0*([0-9]*);?$", 1)
+
+    def number(found: Column, base: int) -> Column:
+        return F.when(F.length(found) > 8, -1).when(found == "", 0).otherwise(F.conv(found, base, 10).cast("long"))
+
+    is_hex = F.rlike(piece, F.lit("^&#[xX]"))
+    return _from_code_point(F.when(is_hex, number(hexits, 16)).otherwise(number(digits, 10)))
+
+
+_NUMBERS = "&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?"
+
+
+def _decoded(text: Column, names: str, named: Callable[[Column], Column]) -> Column:
+    """The text with its references replaced; ``named`` gives null for what is none."""
 
     def decode(piece: Column) -> Column:
-        name = F.rtrim(F.substr(piece, F.lit(2)), F.lit(";"))
-        digits = F.regexp_extract(piece, "^&#([0-9]{1,9});?$", 1)
-        hexits = F.regexp_extract(piece, "^&#[xX]0*([0-9a-fA-F]{1,8});?$", 1)
-        numeric = F.when(digits != "", digits.cast("long")).otherwise(
-            F.conv(hexits, 16, 10).cast("long")
-        )
+        is_number = F.rlike(piece, F.lit(f"^(?:{_NUMBERS})$"))
         return (
             F.when(~F.startswith(piece, F.lit("&")) | (F.length(piece) == 1), piece)
-            .when(F.startswith(piece, F.lit("&#")), F.coalesce(_from_code_point(numeric), piece))
-            .otherwise(F.coalesce(common[name], full[name], piece))
+            .when(is_number, _numeric(piece))
+            .otherwise(F.coalesce(named(F.substr(piece, F.lit(2))), piece))
         )
 
-    pieces = F.regexp_extract_all(
-        text,
-        F.lit("&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[A-Za-z][A-Za-z0-9]*;?|[^&]+|&"),
-        F.lit(0),
-    )
+    pieces = F.regexp_extract_all(text, F.lit(f"{_NUMBERS}|{names}|[^&]+|&"), F.lit(0))
     decoded = F.array_join(F.transform(pieces, decode), "")
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
+def unescape(text: Column) -> Column:
+    """Decode named and numeric character references of text."""
+    common, full = _entity_tables()
+
+    def named(reference: Column) -> Column:
+        name = F.rtrim(reference, F.lit(";"))
+        return F.coalesce(common[name], full[name])
+
+    return _decoded(text, "&[A-Za-z][A-Za-z0-9]*;?", named)
+
+
+def unescape_attribute(text: Column) -> Column:
+    """Decode the references of an attribute value.
+
+    A name that ends with a semicolon may be any; without one only the old
+    names count, the longest that fits, and the rest of the word stays.
+    """
+    with_end = {name: value for name, value in html5.items() if name.endswith(";")}
+    old = sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True)
+
+    def as_map(entries: dict[str, str]) -> Column:
+        return F.map_from_arrays(
+            F.split(F.lit(" ".join(entries)), " "), F.split(F.lit("\x00".join(entries.values())), "\x00"))
+
+    def named(reference: Column) -> Column:
+        prefix = F.regexp_extract(reference, "^(" + "|".join(old) + ")", 1)
+        rest = F.substring(reference, F.length(prefix) + 1, F.length(reference))
+        return F.coalesce(
+            as_map(with_end)[reference],
+            F.when(prefix != "", F.concat(as_map({n: html5[n] for n in old})[prefix], rest)),
+        )
+
+    return _decoded(text, r"&[^\t\n\f <&#;]{1,32};?", named)
+
+
 # -- tokens -----------------------------------------------------------------
 
 
+STRAY_PATTERN = "<(?![A-Za-z/!?])"
+
+
 def _mask_stray(html: Column) -> Column:
-    marked = F.regexp_replace(html, "<([A-Za-z/!?])", "\x02$1")
-    masked = F.replace(F.replace(marked, F.lit("<"), F.lit(STRAY)), F.lit("\x02"), F.lit("<"))
-    return F.when(F.rlike(html, F.lit("<(?![A-Za-z/!?])")), masked).otherwise(html)
+    """The page with every stray ``<`` as mark and 1, and every mark of its own as mark and 0."""
+    kept = F.replace(html, F.lit(MARK), F.lit(f"{MARK}0"))
+    masked = F.regexp_replace(kept, STRAY_PATTERN, f"{MARK}1")
+    needed = F.contains(html, F.lit(MARK)) | F.rlike(html, F.lit(STRAY_PATTERN))
+    return F.when(needed, masked).otherwise(html)
 
 
 def _unmask(raw: Column) -> Column:
-    return F.when(
-        F.contains(raw, F.lit(STRAY)), F.replace(raw, F.lit(STRAY), F.lit("<"))
-    ).otherwise(raw)
+    back = F.replace(F.replace(raw, F.lit(f"{MARK}1"), F.lit("<")), F.lit(f"{MARK}0"), F.lit(MARK))
+    return F.when(F.contains(raw, F.lit(MARK)), back).otherwise(raw)
 
 
 def _token(op: Column | str, tag: Column, raw: Column) -> Column:
@@ -313,7 +359,7 @@ def attributes(raw_tag: Column) -> Column:
     def entry(name: Column, value: Column) -> Column:
         quoted = F.rlike(value, F.lit("(?s)^(\".*\"|'.*')$"))
         bare = F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
-        return F.struct(F.lower(name).alias("key"), unescape(bare).alias("value"))
+        return F.struct(F.lower(name).alias("key"), unescape_attribute(bare).alias("value"))
 
     entries = F.zip_with(names, values, entry)
 

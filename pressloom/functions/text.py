@@ -19,7 +19,7 @@ WHITESPACE = "".join(
 
 # The same set for the regex engine, spelled out: an explicit class is tested
 # several times faster than a Unicode property.  OTHER_SPACE leaves out " ".
-_OTHER = r"\t-\r\x1c-\x1f\x85\xa0  -     　"
+_OTHER = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE = f"[ {_OTHER}]"
 OTHER_SPACE = f"[{_OTHER}]"
 NON_SPACE = f"[^ {_OTHER}]"
@@ -68,19 +68,21 @@ def collapse_whitespace(text: Column) -> Column:
     return F.regexp_replace(text, f"{OTHER_SPACE}{SPACE}*| {SPACE}+", " ")
 
 
-def space_after(mark: str, text: Column) -> Column:
-    """A space between ``mark`` and a capital letter that follows at once."""
-    return F.regexp_replace(text, f"([{mark}])([A-Z])", "$1 $2")
+def space_before_capitals(before: str, text: Column) -> Column:
+    """A space before each capital letter that follows a character of the class."""
+    return F.regexp_replace(text, f"(?<=[{before}])(?=[A-Z])", " ")
+
+
+SENTENCE_MARKS = ".,!?"
+SMALL_LETTERS = "a-z"
 
 
 def split_sentence_gaps(text: Column) -> Column:
-    for mark in (".", ",", "!", "?"):
-        text = space_after(mark, text)
-    return text
+    return space_before_capitals(SENTENCE_MARKS, text)
 
 
 def split_camel_case(text: Column) -> Column:
-    return F.regexp_replace(text, "([a-z])([A-Z])", "$1 $2")
+    return space_before_capitals(SMALL_LETTERS, text)
 
 
 def _space_before(marks: str, text: Column) -> Column:
@@ -117,7 +119,7 @@ def clean_text(text: Column) -> Column:
     one pass.  Nothing needs doing for newlines: the first step removed them.
     """
     text = collapse_whitespace(text)
-    text = F.regexp_replace(text, "(?<=[.,!?a-z])(?=[A-Z])", " ")
+    text = space_before_capitals(SENTENCE_MARKS + SMALL_LETTERS, text)
     text = space_before_quotes(text)
     text = space_after_quotes(text)
     text = space_before_colons(text)

@@ -22,13 +22,17 @@ def page_url(page_no: Column) -> Column:
 
 
 def listing_pages(profiles: DataFrame, last_page: Column | int | None = None) -> DataFrame:
-    """All listing pages of every site, up to its cap or to ``last_page``."""
+    """All listing pages of every site, up to its cap or to ``last_page``.
+
+    A site that has neither stops the job: where its list ends is not known.
+    """
     cap = F.col("page_cap")
     if last_page is not None:
         cap = F.least(cap, last_page if isinstance(last_page, Column) else F.lit(last_page))
-    numbered = profiles.where(cap >= F.col("first_page")).withColumn(
-        "page_no", F.explode(F.sequence(F.col("first_page"), cap.cast("int")))
-    )
+    unknown = F.raise_error(F.concat(F.lit("no last listing page given for "), F.col("site"))).cast("int")
+    end = F.coalesce(cap.cast("int"), unknown)
+    pages = F.when(end >= F.col("first_page"), F.sequence(F.col("first_page"), end))
+    numbered = profiles.withColumn("page_no", F.explode(pages))
     return numbered.select("site", "page_no", page_url(F.col("page_no")).alias("url"))
 
 

@@ -26,7 +26,7 @@ def is_checked(word: Column) -> Column:
 def build_dictionary(texts: DataFrame, column: str = "text", min_freq: int = 1) -> DataFrame:
     """Word frequencies of a trusted corpus: word, freq.
 
-    Kept as a table: every join below reads it, and none should count again.
+    Saved here as a table: every join below reads it, and none should count again.
     """
     words = texts.select(F.explode(split_words(F.lower(F.col(column)))).alias("word"))
     counted = words.groupBy("word").agg(F.count("*").alias("freq"))
@@ -43,36 +43,91 @@ def _positions(first: Column, last: Column) -> Column:
     return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
 
 
-def deletion_keys(word: Column) -> Column:
-    """Hashes of the word with up to two letters left out.
+#: Dictionary words of at least this many letters are found by pieces instead of
+#: by leaving letters out, whose number grows with the square of the length.
+LONG = 20
+#: Two edits spoil four pieces at most (a swap across a cut spoils two), so one survives.
+PIECES = 5
+#: Words that share one letter only are spread over so many keys.
+SALTS = 16
+
+
+def _one_left_out(word: Column) -> Column:
+    return F.transform(_positions(F.lit(1), F.length(word)), lambda i: _without(word, i))
+
+
+def single_keys(word: Column) -> Column:
+    """Hashes of the word and of it without one letter; two words one edit apart share one."""
+    return F.array_distinct(F.transform(F.concat(F.array(word), _one_left_out(word)), lambda w: F.xxhash64(w)))
+
+
+def _two_left_out(word: Column) -> Column:
+    """The word, and it without one or two letters, but for the empty string."""
 
-    Two words within two edits share a key.  Hashes only narrow the pairs
-    down; the distance itself is tested on the words.
-    """
     def from_position(i: Column) -> Column:
         """The word without letter ``i``, and that without any later letter."""
-        return let(
-            _without(word, i),
-            lambda shorter: F.concat(
-                F.array(F.xxhash64(shorter)),
-                F.transform(
-                    _positions(i, F.length(shorter)), lambda j: F.xxhash64(_without(shorter, j))
-                ),
-            ),
-        )
+        return let(_without(word, i), lambda shorter: F.concat(
+            F.array(shorter),
+            F.transform(_positions(i, F.length(shorter)), lambda j: _without(shorter, j)),
+        ))
 
     shorter = F.flatten(F.transform(_positions(F.lit(1), F.length(word)), from_position))
-    return F.array_distinct(F.concat(F.array(F.xxhash64(word)), shorter))
+    return F.filter(F.array_distinct(F.concat(F.array(word), shorter)), lambda w: w != "")
+
+
+def double_keys(word: Column, salt: Column | None = None) -> Column:
+    """Hashes of a short word without up to two letters; two words two edits apart share one.
+
+    Pairs that share no letter have two letters each at most and need no key.
+    Single letters are shared by many words: with ``salt`` they get the key of
+    that salt, without it all of them.
+    """
+    def hashed(part: Column) -> Column:
+        if salt is not None:
+            single = F.array(F.xxhash64(part, salt))
+        else:
+            single = F.transform(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.xxhash64(part, i))
+        return F.when(F.length(part) == 1, single).otherwise(F.array(F.xxhash64(part)))
+
+    return F.flatten(F.transform(_two_left_out(word), hashed))
+
+
+def _piece(p: Column, length: Column) -> tuple[Column, Column]:
+    """Where a piece of a word of this length begins (from 0), and its letters."""
+    start = F.floor(p * length / PIECES).cast("int")
+    return start, (F.floor((p + 1) * length / PIECES) - start).cast("int")
+
+
+def piece_keys(word: Column) -> Column:
+    """Length, number and letters of the five pieces of a dictionary word, hashed."""
+    def key(p: Column) -> Column:
+        start, size = _piece(p, F.length(word))
+        return F.xxhash64(F.length(word), p, F.substring(word, start + 1, size))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), key)
+
+
+def searched_piece_keys(word: Column) -> Column:
+    """What a piece of a word within two edits can be: of up to two letters more or fewer, moved by two at most."""
+    n = F.length(word)
+
+    def moved(length: Column, p: Column) -> Column:
+        start, size = _piece(p, length)
+        at = F.filter(F.sequence(start - 2, start + 2), lambda i: (i >= 0) & (i + size <= n))
+        return F.transform(at, lambda i: F.xxhash64(length, p, F.substring(word, i + 1, size)))
+
+    every = F.transform(
+        F.sequence(F.greatest(n - 2, F.lit(LONG)), n + 2),
+        lambda length: F.flatten(F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda p: moved(length, p))),
+    )
+    return F.array_distinct(F.flatten(every))
 
 
-def _swapped(word: Column) -> Column:
-    """The word with each pair of neighbours swapped."""
-    return F.transform(
-        _positions(F.lit(1), F.length(word) - 1),
-        lambda i: F.concat(
-            F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.lit(1)),
-            F.substring(word, i, F.lit(1)), F.substring(word, i + 2, F.length(word)),
-        ),
+def _swapped(word: Column, i: Column) -> Column:
+    """The word with letter ``i`` and the next one swapped."""
+    return F.concat(
+        F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.lit(1)),
+        F.substring(word, i, F.lit(1)), F.substring(word, i + 2, F.length(word)),
     )
 
 
@@ -81,6 +136,24 @@ def _letters(word: Column) -> Column:
     return F.array_join(F.sort_array(F.split(word, "")), "")
 
 
+def _swaps(a: Column, b: Column) -> Column:
+    """How many swaps of neighbours, all apart, make one word of the other (one or two); null if not that way."""
+
+    def compared(pair: Column) -> Column:
+        crossed = lambda i, j: (F.get(pair.a, i) == F.get(pair.b, j)) & (F.get(pair.a, j) == F.get(pair.b, i))
+        differ = F.filter(
+            _positions(F.lit(0), F.size(pair.a) - 1), lambda i: F.get(pair.a, i) != F.get(pair.b, i))
+
+        def judged(at: Column) -> Column:
+            couple = lambda k: (F.get(at, F.lit(k + 1)) == F.get(at, F.lit(k)) + 1) & crossed(
+                F.get(at, F.lit(k)), F.get(at, F.lit(k + 1)))
+            return F.when((F.size(at) == 2) & couple(0), 1).when((F.size(at) == 4) & couple(0) & couple(2), 2)
+
+        return let(differ, judged)
+
+    return let(F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b")), compared)
+
+
 def edit_distance(a: Column, b: Column, plain: Column) -> Column:
     """Edits between two words, swaps of neighbours counting one; null above two.
 
@@ -94,60 +167,76 @@ def edit_distance(a: Column, b: Column, plain: Column) -> Column:
     )
 
     def near(x: Column, y: Column) -> Column:
-        return F.exists(_swapped(x), lambda s: F.levenshtein(s, y, 1) >= 0)
+        places = _positions(F.lit(1), F.length(x) - 1)
+        return F.exists(places, lambda i: F.levenshtein(_swapped(x, i), y, 1) >= 0)
 
+    swaps = F.when(plain.between(2, 4) & same_letters, _swaps(a, b))
     return (
         F.when(plain.between(0, 1), plain)
-        .when((plain == 2) & same_letters & F.array_contains(_swapped(a), b), 1)
-        .when(plain == 2, 2)
-        .when(
-            plain.between(3, 4) & same_letters & F.arrays_overlap(_swapped(a), _swapped(b)), 2
-        )
+        .when(plain == 2, F.coalesce(swaps, F.lit(2)))
+        .when(swaps.isNotNull(), swaps)
         .when((plain == 3) & one_letter_off & (near(a, b) | near(b, a)), 2)
     )
 
 
-def _graded(words: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Pairs that share a key: word, candidate, freq, distance (may be null, may repeat).
+def _best(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Best candidate of each word among those that share a key: word, best.
 
-    Both sides hold distinct words, and a key is shared only by words at most
-    two letters longer than it, so even the shortest keys meet a number of
-    words limited by the alphabet and not by the corpus.  The dictionary's keys
-    are many times its words; as a table they show the planner their own size.
+    Far pairs drop out as nulls of the minimum: a filter before it would be
+    pushed into the join and work out every distance several times.  The
+    dictionary's keys are many times its words; as a table they show the
+    planner their own size.
     """
-    left = words.select("word", F.explode(deletion_keys(F.col("word"))).alias("key"))
-    right = cut_lineage(
-        dictionary.select(
-            F.col("word").alias("candidate"), "freq",
-            F.explode(deletion_keys(F.col("word"))).alias("key"),
-        )
-    )
-    pairs = left.join(right, "key").select(
-        "word", "candidate", "freq", F.levenshtein("word", "candidate", 4).alias("plain")
-    )
+    pairs = left.join(cut_lineage(right), "key").select(
+        "word", "candidate", "freq", F.levenshtein("word", "candidate", 4).alias("plain"))
     distance = edit_distance(F.col("word"), F.col("candidate"), F.col("plain"))
-    return pairs.select("word", "candidate", "freq", distance.alias("distance"))
-
-
-def candidates(words: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Pairs within two edits: word, candidate, freq, distance (may repeat)."""
-    return _graded(words, dictionary).where(F.col("distance").isNotNull())
+    graded = pairs.select("word", "candidate", "freq", distance.alias("distance"))
+    rank = F.when(
+        F.col("distance").isNotNull(),
+        F.struct(F.col("distance"), (-F.col("freq")).alias("rarity"), F.col("candidate")),
+    )
+    return graded.groupBy("word").agg(F.min(rank).alias("best")).where(F.col("best").isNotNull())
 
 
 def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Best candidate for each distinct unknown word: word, correction.
 
-    Far pairs drop out as nulls of the minimum: a filter before it would be
-    pushed into the join and work out every distance several times.
+    Words more than two letters longer than any of the dictionary have none and
+    get no keys.  Candidates one edit away, and all long ones, are sought
+    first; only words without one at one edit are sought at two.  The keys of a
+    word grow with its length, not with the square of it.  Tables are saved here.
     """
-    rank = F.when(
-        F.col("distance").isNotNull(),
-        F.struct(F.col("distance"), (-F.col("freq")).alias("rarity"), F.col("candidate")),
-    )
-    best = _graded(words, dictionary).groupBy("word").agg(F.min(rank).alias("best"))
-    return best.where(F.col("best").isNotNull()).select(
-        "word", F.col("best.candidate").alias("correction")
-    )
+    n = F.length("word")
+    longest = dictionary.agg(F.max(n).alias("n")).first().n or 0
+    words = cut_lineage(words.select("word").where(n <= longest + 2))
+    known = dictionary.select(F.col("word").alias("candidate"), "freq")
+    m = F.length("candidate")
+
+    def keyed(rows: DataFrame, keys: Column) -> DataFrame:
+        return rows.withColumn("key", F.explode(keys))
+
+    short, short_known = words.where(n <= LONG + 1), known.where(m < LONG)
+    near = _best(
+        keyed(short, single_keys(F.col("word"))), keyed(short_known, single_keys(F.col("candidate")))
+    ).unionByName(_best(
+        keyed(words.where(n >= LONG - 2), searched_piece_keys(F.col("word"))),
+        keyed(known.where(m >= LONG), piece_keys(F.col("candidate"))),
+    ))
+    near = cut_lineage(near)
+    settled = near.where("best.distance <= 1").select("word")
+    open_words = cut_lineage(short.join(settled, "word", "left_anti"))
+    salt = F.pmod(F.xxhash64("candidate"), F.lit(SALTS)).cast("int")
+    far = _best(
+        keyed(open_words, double_keys(F.col("word"))), keyed(short_known, double_keys(F.col("candidate"), salt)))
+    found = near.unionByName(far)
+    # Any two words of one or two letters are within two edits: the best such word will do.
+    least = known.where(m <= 2).agg(F.min(F.struct((-F.col("freq")).alias("rarity"), "candidate")).alias("least")).first().least
+    if least is not None:
+        default = F.struct(
+            F.lit(2).alias("distance"), F.lit(least.rarity).cast("bigint").alias("rarity"), F.lit(least.candidate).alias("candidate"))
+        found = found.unionByName(open_words.where(n <= 2).select("word", default.alias("best")))
+    best = found.groupBy("word").agg(F.min("best").alias("best"))
+    return best.select("word", F.col("best.candidate").alias("correction"))
 
 
 def unknown(words: DataFrame, dictionary: DataFrame, column: str = "word") -> DataFrame:

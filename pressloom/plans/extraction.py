@@ -51,9 +51,9 @@ def releases_of(
 
 def foreign_targets(followed: DataFrame, profiles: DataFrame) -> DataFrame:
     """Distinct followed addresses on another host than their site's."""
-    hosts = profiles.select("site", F.parse_url("base_url", F.lit("HOST")).alias("_home"))
+    hosts = profiles.select("site", F.try_parse_url("base_url", F.lit("HOST")).alias("_home"))
     away = followed.join(hosts, "site").where(
-        ~F.col("_home").eqNullSafe(F.parse_url("url", F.lit("HOST")))
+        ~F.col("_home").eqNullSafe(F.try_parse_url("url", F.lit("HOST")))
     )
     return away.select("site", "url").distinct()
 

@@ -23,6 +23,10 @@ DEFAULTS = {
 }
 
 
+# Tables written by this process and not yet removed.
+_SAVED: list[str] = []
+
+
 def build_session(app_name: str = "pressloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the package defaults; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
@@ -51,16 +55,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
+    """Write ``df`` as a table in the shared folder and read it back; the job runs here.
 
     What reads it does not compute it again, also after a lost executor, and
-    the planner knows its size when it chooses a join.
+    the planner knows its size when it chooses a join.  ``drop_saved`` removes
+    such tables when nothing reads them any more.
     """
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _SAVED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_saved(spark: SparkSession) -> int:
+    """Remove the tables that ``cut_lineage`` wrote so far; how many there were."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    paths, _SAVED[:] = list(_SAVED), []
+    for path in paths:
+        place = hadoop.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
+
+
 def built_once(build: Callable[..., Column]) -> Callable[..., Column]:
     """Keep the Column a function builds, per application and arguments.
 

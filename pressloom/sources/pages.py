@@ -2,33 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGE_SCHEMA = "page_id BIGINT, url STRING, html STRING"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A table scan in at least as many partitions as there are task slots.
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Captured pages.
 
-    A few small files would leave most of the cluster idle under per-row work
-    as heavy as parsing.  A scan that fills the cluster is left as it is, so
-    this never shuffles data of any size.
+    A page is parsed in the task that reads it and never moves before.  How
+    many tasks read is up to ``spark.sql.files.maxPartitionBytes`` and to the
+    row groups the pages were written in.
     """
-    slots = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= slots else scan.repartition(slots)
-
-
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Captured pages, or any other table of long texts."""
-    return spread(spark.read.parquet(path))
+    return spark.read.parquet(path)
 
 
 def stream_pages(spark: SparkSession, folder: str, schema: str = PAGE_SCHEMA, **options: str) -> DataFrame:
     return spark.readStream.schema(schema).options(**options).parquet(folder)
 
 
+def _host(url: Column) -> Column:
+    """The host of an address, null where it cannot be read."""
+    return F.try_parse_url(url, F.lit("HOST"))
+
+
 def with_site(pages: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Pages of known sites, recognised by the host of their address."""
-    hosts = profiles.select("site", F.parse_url("base_url", F.lit("HOST")).alias("_host"))
-    return pages.withColumn("_host", F.parse_url("url", F.lit("HOST"))).join(hosts, "_host").drop("_host")
+    """Pages of known sites, recognised by the host of their address; ``unplaced`` has the others."""
+    hosts = profiles.select("site", _host(F.col("base_url")).alias("_host"))
+    return pages.withColumn("_host", _host(F.col("url"))).join(hosts, "_host").drop("_host")
+
+
+def unplaced(pages: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Pages of no known site, with the reason: ``no address``, ``malformed`` or ``unknown host``."""
+    hosts = profiles.select(_host(F.col("base_url")).alias("_known")).distinct()
+    lost = pages.withColumn("_host", _host(F.col("url"))).join(hosts, F.col("_host") == F.col("_known"), "left_anti")
+    reason = (
+        F.when(F.col("url").isNull(), "no address").when(F.col("_host").isNull(), "malformed").otherwise("unknown host")
+    )
+    return lost.withColumn("reason", reason).drop("_host")

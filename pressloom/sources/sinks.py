@@ -16,8 +16,13 @@ def run_stamp(at: Column) -> Column:
     return F.date_format(at, "yyyyMMdd_HHmmss")
 
 
-def append_releases(releases: DataFrame, path: str) -> None:
-    """Add releases to the table at ``path``, one folder per site."""
+def append_releases(releases: DataFrame, path: str, at: Column | None = None) -> None:
+    """Add releases to the table at ``path``, one folder per site.
+
+    With ``at``, the time of the run, each row gets its stamp as ``run``.
+    """
+    if at is not None:
+        releases = releases.withColumn("run", run_stamp(at))
     releases.write.mode("append").partitionBy("site").parquet(path)
 
 
@@ -36,7 +41,9 @@ def append_records(records: DataFrame, path: str, order: tuple[str, ...] = ()) -
 
 
 def write_formatted(releases: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
-    """Replace the normalised corpus at ``path``: one folder per member.
+    """Replace the members of ``releases`` in the corpus at ``path``: one folder per member.
+
+    Members that are not among them keep their files.
 
     Files hold at most a thousand releases, each followed by the separator.
     Ranges of member and order keep the sequence and split big members.
@@ -47,6 +54,7 @@ def write_formatted(releases: DataFrame, path: str, order: tuple[str, ...] = ())
     (
         rows.select("member", "text")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("member")
         .option("maxRecordsPerFile", CHUNK_SIZE)
         .text(path, lineSep=STRICT)

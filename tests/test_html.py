@@ -13,6 +13,7 @@ ODD_PAGES = [
     "<p title='a > b' class=\"x  y\" CLASS='z'>t</p>", "<td>1<td>2</tr></table>",
     "<template>in</template>out<ruby>a<rt>b</rt></ruby>", "<pre>  \n </pre> \n <p>  </p>",
     "<a\nhref = 'u' checked>k</a>", "tail <a href=", "<![CDATA[raw <b>]]>x", "<<b>>x</b>", "</ p>x</>",
+    "a < b \ufdd0 \x02 < c", "\ufdd01 \ufdd00 <p>\ufdd0</p>", "x <" * 3000, "<p a=1 < b>t</p> \x02<b>",
 ]
 
 
@@ -122,6 +123,21 @@ def test_entities(one_column):
     assert one_column(values, html.unescape(F.col("v"))) == [html_lib.unescape(v) for v in values]
 
 
+def test_long_numbers(one_column):
+    values = ["&#0000000169;", "&#x00000000A9;", "&#99999999999;", "&#xFFFFFFFFFF;", "&#0;", "&#00000000000065"]
+    assert one_column(values, html.unescape(F.col("v"))) == [html_lib.unescape(v) for v in values]
+
+
+def test_entities_in_attributes(one_column):
+    values = [
+        "/r?id=1&lang=en&num=5&order=asc", "&copy=1", "&notit;&notit&not", "&lang;&num;", "&amp;lt=1&ampx", "&#0000000169;&#x41",
+        "a&b&;&nosuch;", "&eacute&eacutex=&gt", "plain", "&part=2&top&sub=1&image&target&int&real", "&notin;", "&" + "a" * 40 + ";",
+    ]
+    assert one_column(values, html.unescape_attribute(F.col("v"))) == [html_lib.unescape(v) for v in values]
+    tags = [f'<a href="{v}">' for v in values]
+    assert [m["href"] for m in one_column(tags, html.attributes(F.col("v")))] == [html_lib.unescape(v) for v in values]
+
+
 def test_kinds(one_column):
     page = ["<!doctype html><p>a<!--c--><script>s</script></p>"]
     kinds = one_column(page, F.transform(html.nodes(F.col("v")), lambda n: n.kind))

@@ -1,5 +1,7 @@
 """What the plans must look like to hold at any size."""
 
+import pytest
+
 from pressloom.checks.queries import QUERIES
 from pressloom.operators import releases
 from pressloom.profiles import site_profiles
@@ -18,6 +20,13 @@ def test_extraction_moves_no_page(spark):
     assert "PythonUDF" not in plan and "ArrowEval" not in plan
 
 
+@pytest.mark.parametrize("name", [n for n in QUERIES if n == "extract_releases" or n == "extract_sites" or n.startswith("content_")])
+def test_queries_on_pages_move_no_page(spark, name):
+    plan = plan_of(QUERIES[name](spark, SMALL))
+    moved = [line for line in plan.split("\n") if "Exchange" in line and "BroadcastExchange" not in line]
+    assert not moved, moved
+
+
 def test_scans_read_only_what_they_need(spark):
     plan = plan_of(QUERIES["url_robots"](spark, SMALL))
     assert "ReadSchema: struct<page_id:bigint,url:string>" in plan

@@ -26,24 +26,41 @@ def dictionary(spark):
     return spark.createDataFrame(words, "word STRING, freq BIGINT")
 
 
-def test_candidates_agree_with_edit_sets(spark, dictionary):
-    words = spark.createDataFrame([(w,) for w in all_words(5)[::3] + ["aabbccab"]], "word STRING")
-    known = {r.word: r.freq for r in dictionary.collect()}
-    got = {}
-    for row in spelling.candidates(words, dictionary).distinct().collect():
-        got.setdefault(row.word, {})[row.candidate] = row.distance
-    for (word,) in words.collect():
+def best_by_edit_sets(words, known):
+    best = {}
+    for word in words:
         one = edits(word)
         two = set().union(*map(edits, one))
-        expected = {}
-        for candidate in known:
-            if candidate == word:
-                expected[candidate] = 0
-            elif candidate in one:
-                expected[candidate] = 1
-            elif candidate in two:
-                expected[candidate] = 2
-        assert got.get(word, {}) == expected, word
+        ranked = [
+            (0 if c == word else 1 if c in one else 2, -freq, c) for c, freq in known.items() if c == word or c in one or c in two
+        ]
+        if ranked:
+            best[word] = min(ranked)[2]
+    return best
+
+
+@pytest.mark.parametrize("long", [3, 20])
+def test_corrections_agree_with_edit_sets(spark, dictionary, monkeypatch, long):
+    """With either way to find candidates, the pieces being used from three letters on in one case."""
+    monkeypatch.setattr(spelling, "LONG", long)
+    words = all_words(5)[::3] + ["aabbccab"]
+    known = {r.word: r.freq for r in dictionary.collect()}
+    found = spelling.corrections(spark.createDataFrame([(w,) for w in words], "word STRING"), dictionary)
+    assert {r.word: r.correction for r in found.collect()} == best_by_edit_sets(words, known)
+
+
+def test_long_words_and_short_ones_of_other_scripts(spark):
+    long = "abcdefghij" * 1_000
+    known = {long: 3, long[:40] + "zz": 2, "\u65e5\u672c": 9, "\u4e2d": 7, "abc": 1}
+    words = {
+        long[:5_000] + "x" + long[5_001:]: long, long[1:9_000] + "q" + long[9_000:]: long, long + "xyz": None,
+        long[:38] + "jizz": long[:40] + "zz", long[:42]: long[:40] + "zz", long[:60]: None,
+        "\u65e5\u6708": "\u65e5\u672c", "\u65e6": "\u4e2d", "\u4eba\u4eba": "\u65e5\u672c", "abcde": "abc",
+        "x" * 100_000: None,
+    }
+    rows = spark.createDataFrame([(w,) for w in words], "word STRING")
+    found = spelling.corrections(rows, spark.createDataFrame(list(known.items()), "word STRING, freq BIGINT"))
+    assert {r.word: r.correction for r in found.collect()} == {w: c for w, c in words.items() if c}
 
 
 def test_best_candidate(spark):

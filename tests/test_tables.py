@@ -8,7 +8,9 @@ from pressloom.operators import crawl, links, numbering, releases
 from pressloom.plans.corpus import normalise_corpus
 from pressloom.plans.extraction import releases_of
 from pressloom.profiles import SITES, site_profiles
+from pressloom.session import cut_lineage, drop_saved
 from pressloom.sources import corpus, sinks
+from pressloom.sources.pages import unplaced, with_site
 
 
 def stats(spark, counts, site="s"):
@@ -34,14 +36,62 @@ def test_cut(spark, counts, run, last):
 def test_row_numbers_of_a_hot_group(spark):
     rows = [("hot", i * 3) for i in range(1000)] + [("cold", i * 7) for i in range(5)]
     frame = spark.createDataFrame(rows, "g STRING, k BIGINT").repartition(5)
-    got = numbering.number_rows(frame, "g", "k", width=64).collect()
+    got = numbering.number_rows(frame, "g", "k").collect()
     assert sorted((r.k, r.row_no, r.total) for r in got if r.g == "hot") == [(i * 3, i + 1, 1000) for i in range(1000)]
     assert max(r.row_no for r in got if r.g == "cold") == 5
 
 
+def test_row_numbers_of_scattered_and_repeated_keys(spark):
+    rows = [("hot", hash(("k", i)) if i % 3 else 7) for i in range(1000)] + [(None, i) for i in range(3)]
+    frame = spark.createDataFrame(rows, "g STRING, k BIGINT").repartition(5)
+    got = numbering.number_rows(frame, "g", "k").collect()
+    hot = sorted((r.row_no, r.k) for r in got if r.g == "hot")
+    assert [n for n, _ in hot] == list(range(1, 1001)) and [k for _, k in hot] == sorted(k for _, k in hot)
+    assert sorted(r.row_no for r in got if r.g is None) == [1, 2, 3]
+
+
+def test_members_are_replaced_one_by_one(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = spark.createDataFrame([("aoc", "one"), ("lee", "two")], "member STRING, text STRING")
+    sinks.write_formatted(rows, out)
+    sinks.write_formatted(rows.where("member = 'aoc'").withColumn("text", F.lit("new")), out)
+    read = {r.member: r.value.strip() for r in spark.read.text(out, wholetext=True).collect()}
+    assert "new" in read["aoc"] and "one" not in read["aoc"] and "two" in read["lee"]
+
+
+def test_appended_rows_carry_the_run(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = spark.createDataFrame([("aoc", "t")], "site STRING, title STRING")
+    for day in ("2024-05-01 01:02:03", "2024-05-02 00:00:00"):
+        sinks.append_releases(rows, out, F.lit(day).cast("timestamp"))
+    assert sorted(r.run for r in spark.read.parquet(out).collect()) == ["20240501_010203", "20240502_000000"]
+
+
+def test_saved_tables_are_removed(spark, tmp_path):
+    saved = cut_lineage(spark.range(3))
+    folder = saved.inputFiles()[0].removeprefix("file:").lstrip("/").rsplit("/", 1)[0]
+    assert os.path.isdir(f"/{folder}") and drop_saved(spark) >= 1
+    assert not os.path.isdir(f"/{folder}") and drop_saved(spark) == 0
+
+
+def test_pages_without_a_site_are_told(spark):
+    base = {p.site: p.base_url for p in SITES}["lee"]
+    addresses = [base, "http://bad host/|x", "http://[broken", None, "https://unknown.org/", ""]
+    frame = spark.createDataFrame([(u, "") for u in addresses], "url STRING, html STRING")
+    profiles = site_profiles(spark)
+    assert [r.url for r in with_site(frame, profiles).collect()] == [base]
+    reasons = {r.url: r.reason for r in unplaced(frame, profiles).collect()}
+    assert len(reasons) == 5 and reasons[None] == "no address" and reasons["https://unknown.org/"] == "unknown host"
+    assert reasons["http://[broken"] == reasons["http://bad host/|x"] == "malformed"
+
+
 def test_listing_addresses(spark):
-    got = {(r.site, r.page_no): r.url for r in links.listing_pages(site_profiles(spark)).collect()}
+    profiles = site_profiles(spark)
+    with pytest.raises(Exception, match="no last listing page given for"):
+        links.listing_pages(profiles).collect()
+    got = {(r.site, r.page_no): r.url for r in links.listing_pages(profiles.where("page_cap IS NOT NULL")).collect()}
     assert len(got) == 92 + 119 + 298 + 425
+    assert {r.site for r in links.listing_pages(profiles, 2).collect()} == {p.site for p in SITES}
     base = {p.site: p.base_url for p in SITES}
     assert got["hawley", 1] == base["hawley"] and got["hawley", 2] == base["hawley"] + "/page/2/?et_blog"
     assert got["lee", 3] == base["lee"] + "?page=3"
