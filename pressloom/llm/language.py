@@ -152,7 +152,8 @@ def fit(labelled: DataFrame, path: str = VOCABULARY, learn_docs: int = LEARN_DOC
     one number a piece and language; the vocabulary is fixed.  Jobs run here.
     """
     spark = labelled.sparkSession
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
+    # Saved, so that Catalyst knows it for small and no text moves to meet it.
+    sizes = cut_lineage(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")))
     languages = sorted(r.lang for r in sizes.select("lang").collect())
     vocabulary = pieces(path)
     unknown = np.full((1, max(1, len(languages))), UNKNOWN_LETTER)
