@@ -252,8 +252,9 @@ def judged(
     """A struct ``row_`` of the columns to keep, the counts, ``base_failed``, ``distance`` and ``kept``.
 
     No text and an empty one fail the base rules.  Null languages and sources
-    are groups like others.  Repeated rows get equal verdicts.  The counted
-    rows are saved, since fitting reads them several times.
+    are groups like others.  Repeated rows get equal verdicts.  What fitting
+    reads several times is saved: without the texts, which are counted again
+    if they are kept, since counting costs less than another copy of them.
     """
     kept_columns = docs.columns if keep is None else keep
     rows = docs.select(
@@ -262,8 +263,13 @@ def judged(
         F.xxhash64(text, lang, source).alias("row_no_"), F.col(text).alias("text_"),
     )
     rows = counted(rows, "text_").drop("text_").withColumn("base_failed", base_failed())
-    measured = cut_lineage(rows.withColumns({f"x{i}": x for i, x in enumerate(vector())}))
-    estimates = fit(measured.where(~F.col("base_failed")))
+    measured = rows.withColumns({f"x{i}": x for i, x in enumerate(vector())})
+    if text in kept_columns:
+        fitted = cut_lineage(measured.select(
+            "lang_", "source_", "row_no_", "base_failed", *(f"x{i}" for i in range(DIMS))))
+    else:
+        fitted = measured = cut_lineage(measured)
+    estimates = fit(fitted.where(~F.col("base_failed")))
     names = [c for c in estimates.columns if c not in GROUP]
     own = estimates.where(~F.col("pooled_")).select(
         F.col("lang_").alias("lang_o"), F.col("source_").alias("source_o"), F.struct(*names).alias("own_"))
@@ -278,10 +284,12 @@ def judged(
         .select(*measured.columns, "by_.*")
     )
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    far = F.coalesce(F.col("d2_") > LIMIT, F.lit(False))
+    # One condition on both sides of the join: split, its part on the counts
+    # would move below them and be worked out from the text again.
+    stays = F.when(F.col("base_failed"), False).otherwise(F.coalesce(F.col("d2_") <= LIMIT, F.lit(True)))
     return with_distance(met).select(
         "row_", *counts, "base_failed", F.sqrt("d2_").alias("distance"),
-        (~F.col("base_failed") & ~far).alias("kept"),
+        stays.alias("kept"),
     )
 
 

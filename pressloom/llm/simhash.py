@@ -221,20 +221,20 @@ def classed(
 def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = SHINGLE) -> DataFrame:
     """One row of each group: that with the smallest key; of rows that share this key one.
 
-    Only keys and hashes of rows are grouped; the rows themselves move once, to
-    meet those that stay.
+    Only keys and two hashes of whole rows are grouped; the rows themselves move
+    once, to meet those that stay.
     """
-    same = F.xxhash64(*docs.columns)
-    marked = docs.withColumn("hash_", same)
-    slim = classed(marked.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), "hash_"), ["hash_"], width=width)
+    hashes = {"h1_": F.xxhash64(*docs.columns), "h2_": F.xxhash64(F.lit(1), *docs.columns)}
+    marked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), *(h.alias(n) for n, h in hashes.items()))
+    slim = classed(marked, ["h1_", "h2_"], width=width)
     smallest = slim.where(F.col("node_").eqNullSafe(F.col("component_")))
-    staying = cut_lineage(
-        smallest.groupBy("group_").agg(F.min(F.struct("row_.hash_", "node_")).alias("one_")).select(
-            F.col("one_.hash_").alias("hash_of_"), F.col("one_.node_").alias("node_of_")))
-    met = docs.withColumn("hash_", same).withColumn("node_", F.col(key).cast("bigint")).join(
-        staying, (F.col("hash_") == F.col("hash_of_")) & F.col("node_").eqNullSafe(F.col("node_of_")))
-    repeated = Window.partitionBy("hash_", "node_").orderBy(F.lit(1))
-    return met.withColumn("n_", F.row_number().over(repeated)).where("n_ = 1").select(*docs.columns)
+    staying = cut_lineage(smallest.groupBy("group_").agg(F.min("row_").alias("one_")).select(
+        F.col("one_.h1_").alias("h1_of_"), F.col("one_.h2_").alias("h2_of_")))
+    met = docs.select(F.struct(*docs.columns).alias("row_"), *(h.alias(n) for n, h in hashes.items())).join(
+        staying, (F.col("h1_") == F.col("h1_of_")) & (F.col("h2_") == F.col("h2_of_")))
+    # Repeated rows stay once; they already share a partition.
+    repeated = Window.partitionBy("h1_", "h2_").orderBy("h1_")
+    return met.withColumn("n_", F.row_number().over(repeated)).where("n_ = 1").select("row_.*")
 
 
 def op8_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
