@@ -905,8 +905,7 @@ def _keys(word: str) -> str:
 def spelling(used: str) -> str:
     """CTEs ending in ``fixes`` (w, correction) for the words of ``used`` (word)."""
     return rf"""
-corpus AS (SELECT unnest(regexp_extract_all(lower(text), '[^{WS}]+')) AS w
-           FROM (SELECT text FROM benchmark UNION ALL SELECT text FROM conversations) trusted),
+corpus AS (SELECT unnest(regexp_extract_all(lower(text), '[^{WS}]+')) AS w FROM benchmark),
 dict AS MATERIALIZED (
   SELECT w, count(*) AS freq, {_ONE_BYTE.format(w='w')} AS b FROM corpus
   WHERE regexp_matches(w, '\p{{L}}') AND NOT regexp_matches(w, '{_NUMBER}') GROUP BY w

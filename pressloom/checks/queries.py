@@ -578,9 +578,8 @@ def norm_words(spark, sf_dir):
 
 
 def _dictionary(spark, sf_dir) -> DataFrame:
-    """Every word of the benchmark and of the conversations."""
-    trusted = table(spark, sf_dir, "benchmark").select("text").unionAll(table(spark, sf_dir, "conversations").select("text"))
-    return spelling.build_dictionary(trusted)
+    """Every word of the benchmark."""
+    return spelling.build_dictionary(table(spark, sf_dir, "benchmark"))
 
 
 @query
