@@ -273,6 +273,16 @@ ORACLE["src_member_from_file"] = """
 SELECT doc_id, source AS member, source || '_formatted.txt' AS formatted FROM documents
 """
 
+ORACLE["src_site_of_page"] = """
+SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'hawley' END AS site,
+       CASE page_id % 4 WHEN 1 THEN 'malformed' WHEN 2 THEN 'unknown host' WHEN 3 THEN 'no address' END AS reason
+FROM pages
+"""
+
+ORACLE["src_release_files"] = f"""
+SELECT strict, member, text FROM ({derived.RELEASES}) r, (VALUES (TRUE), (FALSE)) modes(strict)
+"""
+
 ORACLE["sink_append"] = f"SELECT doc_id, member AS site, text FROM ({derived.RELEASES}) r"
 
 ORACLE["sink_chunks"] = """
@@ -296,6 +306,9 @@ ORACLE["html_nodes"] = with_nodes(
        row_number() OVER (PARTITION BY page_id, parent_id ORDER BY node_id) AS sibling_no FROM nodes""",
 )
 
+ORACLE["html_nodes_whole"] = with_nodes(
+    GIVEN, "SELECT page_id, node_id, end_id, parent_id, depth, kind, tag, text FROM nodes")
+ORACLE["html_attrs_whole"] = with_nodes(GIVEN, "SELECT page_id, node_id, name, value FROM attrs")
 ORACLE["html_attrs"] = with_nodes(
     SITE,
     """SELECT n.page_id, n.node_id, a.name, a.value, array_to_string(n.cls, '|') AS classes
@@ -305,8 +318,7 @@ ORACLE["html_attrs"] = with_nodes(
 ORACLE["html_unescape"] = f"""
 SELECT page_id, {unescape('raw')} AS decoded
 FROM (SELECT page_id, '&lt;&#169;&#xe9;&nosuch;&#8220;&nbsp;AT&T'
-             || regexp_extract(html, '(?s)<footer>(.*)</footer>', 1)
-             || regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS raw FROM pages) r
+             || html AS raw FROM pages) r
 """
 
 for _name, _column in (
@@ -948,3 +960,4 @@ fixed AS (
 SELECT s.doc_id, s.member, string_agg(coalesce(f.section, ''), {_NL2} ORDER BY s.pos) AS text
 FROM sections s LEFT JOIN fixed f ON f.doc_id = s.doc_id AND f.pos = s.pos GROUP BY s.doc_id, s.member
 """
+ORACLE["corpus_files"] = f"SELECT member, text FROM ({ORACLE['norm_corpus']}) whole"

@@ -13,6 +13,7 @@ from pressloom.functions import content, html, text, urls
 from pressloom.functions import select as S
 from pressloom.operators import crawl, links, normalise, numbering, releases, robots, spelling
 from pressloom.plans import extraction
+from pressloom.plans.corpus import normalise_corpus
 from pressloom.profiles import generic, site_profiles
 from pressloom.session import shared_folder
 from pressloom.sources import corpus, pages as page_source, sinks
@@ -110,6 +111,50 @@ def src_member_from_file(spark, sf_dir):
     )
 
 
+def _placed_pages(spark, sf_dir) -> DataFrame:
+    """Given pages, some of them moved to a site's host, and some to addresses that cannot be read."""
+    return pages(spark, sf_dir).select(
+        "page_id",
+        F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("https://www.hawley.senate.gov/"), "page_id"))
+        .when(F.col("page_id") % 4 == 1, F.concat(F.lit("http://no host|/"), "page_id"))
+        .when(F.col("page_id") % 4 == 2, F.col("url")).alias("url"),
+    )
+
+
+@query
+def src_site_of_page(spark, sf_dir):
+    """Every page with its site, or with the reason why it has none."""
+    placed, profiles = _placed_pages(spark, sf_dir), site_profiles(spark)
+    known = page_source.with_site(placed, profiles).select("page_id", "site", F.lit(None).cast("string").alias("reason"))
+    lost = page_source.unplaced(placed, profiles).select("page_id", F.lit(None).cast("string").alias("site"), "reason")
+    return known.unionByName(lost)
+
+
+def _releases(spark, sf_dir) -> DataFrame:
+    return from_sql(spark, sf_dir, derived.RELEASES)
+
+
+@query
+def src_release_files(spark, sf_dir):
+    """Releases written as text files of each member, and read in both modes."""
+    out = _folder(spark)
+    sinks.write_formatted(_releases(spark, sf_dir), out)
+    read = [
+        corpus.read_releases(spark, out, strict).select(F.lit(strict).alias("strict"), "member", "text") for strict in (True, False)
+    ]
+    # A file ends with a separator, and strictly that is one more, empty release.
+    return read[0].unionByName(read[1]).where("text <> ''")
+
+
+@query
+def corpus_files(spark, sf_dir):
+    """From release files to normalised release files: read, cleaned, corrected, written and read back."""
+    given, out = _folder(spark), _folder(spark)
+    sinks.write_formatted(_releases(spark, sf_dir), given)
+    normalise_corpus(spark, given, _dictionary(spark, sf_dir), out)
+    return corpus.read_releases(spark, out, strict=True).where("text <> ''").select("member", "text")
+
+
 @query
 def sink_append(spark, sf_dir):
     out = _folder(spark)
@@ -133,9 +178,13 @@ def sink_chunks(spark, sf_dir):
 
 @query
 def sink_resume(spark, sf_dir):
+    """A crawl that stopped half-way, and the restarted one that appends the rest."""
     stats = from_sql(spark, sf_dir, derived.PAGE_STATS)
-    done = stats.where(F.col("page_no") < 40)
-    return extraction.union_runs(done, crawl.resume(stats, 40))
+    out = _folder(spark)
+    half = stats.agg(F.max("page_no")).first()[0] // 2
+    for run in (stats.where(F.col("page_no") < half), crawl.resume(stats, half)):
+        sinks.append_releases(run, out)
+    return spark.read.parquet(out).select("site", "page_no", "n_releases")
 
 
 @query
@@ -165,6 +214,20 @@ def html_nodes(spark, sf_dir):
     return numbered.select("page_id", *(big(c).alias(c) for c in ints), "kind", "tag", "text")
 
 
+@query
+def html_nodes_whole(spark, sf_dir):
+    """Nodes of the given pages as they are, scripts, comments and all."""
+    node = html.node_table(pages(spark, sf_dir))
+    ints = ("node_id", "end_id", "parent_id", "depth")
+    return node.select("page_id", *(big(c).alias(c) for c in ints), "kind", "tag", "text")
+
+
+@query
+def html_attrs_whole(spark, sf_dir):
+    node = html.node_table(pages(spark, sf_dir)).where(F.col("kind") == "E")
+    return node.select("page_id", big("node_id").alias("node_id"), F.explode("attrs").alias("name", "value"))
+
+
 @query
 def html_attrs(spark, sf_dir):
     node = html.node_table(site_pages(spark, sf_dir)).where(F.col("kind") == "E")
@@ -180,8 +243,7 @@ def html_unescape(spark, sf_dir):
         "page_id",
         F.concat(
             F.lit("&lt;&#169;&#xe9;&nosuch;&#8220;&nbsp;AT&T"),
-            F.regexp_extract("html", "(?s)<footer>(.*)</footer>", 1),
-            F.regexp_extract("html", "<h1>([^<]*)</h1>", 1),
+            F.col("html"),
         ).alias("raw"),
     )
     return rows.select("page_id", html.unescape(F.col("raw")).alias("decoded"))
@@ -399,12 +461,13 @@ def join_link_page(spark, sf_dir):
 
 @query
 def errors_missing(spark, sf_dir):
-    all_pages = pages(spark, sf_dir).select("page_id", "url")
+    all_pages = pages(spark, sf_dir)
     listed = all_pages.select(
         F.lit("generic").alias("site"), "page_id",
         F.when(F.col("page_id") % 3 == 0, F.concat("url", F.lit("/gone"))).otherwise(F.col("url")).alias("url"),
     )
-    read = all_pages.select(F.lit("generic").alias("site"), "url", F.lit(None).cast("string").alias("error"))
+    read = releases.extract_one(all_pages, generic(), keys=("page_id",))
+    read = releases.one_per_address(read, F.col("page_id")).drop("page_id")
     return releases.attach(listed, read).select("page_id", "url", "error")
 
 
@@ -421,9 +484,14 @@ def order_releases(spark, sf_dir):
 
 @query
 def union_sites(spark, sf_dir):
+    """Tables that the runs of one site and of the others left, as one."""
     stats = _page_stats(spark, sf_dir)
-    aoc, rest = stats.where("site = 'aoc'"), stats.where("site <> 'aoc'")
-    return extraction.union_runs(aoc.select("site", "page_no"), rest.select("site", "page_no"))
+    runs = []
+    for own in (F.col("site") == "aoc", F.col("site") != "aoc"):
+        out = _folder(spark)
+        sinks.append_releases(stats.where(own), out, F.current_timestamp())
+        runs.append(spark.read.parquet(out).select("site", "page_no"))
+    return extraction.union_runs(*runs)
 
 
 @query

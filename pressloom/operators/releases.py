@@ -89,6 +89,13 @@ def extract_field(pages: DataFrame, build, name: str, keys: tuple[str, ...] = ("
     return pages.select(*keys, let(html.nodes_of(), build).alias(name))
 
 
+def one_per_address(releases: DataFrame, rank: Column) -> DataFrame:
+    """One release of each site and address: that of the largest rank."""
+    fields = [c for c in releases.columns if c not in ("site", "url")]
+    best = releases.groupBy("site", "url").agg(F.max_by(F.struct(*fields), rank).alias("_best"))
+    return best.select("site", "url", *(F.col(f"_best.{c}").alias(c) for c in fields))
+
+
 def attach(links: DataFrame, releases: DataFrame) -> DataFrame:
     """Listing links with the release found at their address.
 

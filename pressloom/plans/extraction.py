@@ -16,7 +16,7 @@ def crawl_links(
     pages: DataFrame, profiles: DataFrame, frontier: DataFrame, robots_files: DataFrame | None = None
 ) -> DataFrame:
     """Links a run would follow: robots rules, page limits and stop rules applied."""
-    listings = frontier.join(pages.select("url", "html"), "url")
+    listings = frontier.join(latest_capture(pages, frontier), "url")
     if robots_files is not None:
         guarded = profiles.where("robots").select("site")
         files = robots_files.join(guarded, "site", "left_semi")
@@ -31,20 +31,39 @@ def crawl_links(
     return found.join(reached, ["site", "page_no"], "left_semi")
 
 
+def latest_capture(pages: DataFrame, frontier: DataFrame) -> DataFrame:
+    """One capture of each listing page: url, html.
+
+    Of different captures the one with the largest hash counts, whatever the
+    order they come in; there is no time in a page.
+    """
+    listed = cut_lineage(frontier.select("url").distinct())
+    found = pages.select("url", "html").join(listed, "url", "left_semi")
+    return found.groupBy("url").agg(F.max_by("html", F.xxhash64("html")).alias("html"))
+
+
 def releases_of(
     pages: DataFrame, profiles: DataFrame, frontier: DataFrame, robots_files: DataFrame | None = None
 ) -> DataFrame:
-    """Release rows of every followed link, error rows for pages not captured.
+    """One release row for every followed link, an error row if its page was not captured.
 
-    Pages on a site's own host are read where they lie and only their fields
-    are joined with the links, so their markup is never shuffled.  Links to
-    other hosts, few by nature, fetch their pages by address first.
+    Followed addresses are saved first, so that Catalyst can send them to the
+    pages instead of moving markup; pages nobody follows are not parsed.  Only
+    fields are joined with the links.  Links to other hosts fetch their pages
+    by address.  Of several captures of a page one is used (see
+    ``one_per_address``).  Jobs run here.
     """
     followed = crawl_links(pages, profiles, frontier, robots_files)
-    home = releases.extract(with_site(pages, profiles), profiles)
-    away = foreign_targets(followed, profiles)
-    visited = releases.extract(pages.join(away, "url"), profiles)
-    return releases.attach(followed, home.unionByName(visited)).select(
+    # Small beside the markup; as tables they tell the planner so.
+    followed = cut_lineage(followed)
+    away = cut_lineage(foreign_targets(followed, profiles))
+    targets = cut_lineage(followed.select("url").distinct())
+    # Only pages that are followed are parsed.
+    wanted = pages.join(targets, "url", "left_semi").withColumn("capture", F.xxhash64("html"))
+    home = releases.extract(with_site(wanted, profiles), profiles, keys=("capture",))
+    visited = releases.extract(wanted.join(away, "url"), profiles, keys=("capture",))
+    read = releases.one_per_address(home.unionByName(visited), F.col("capture"))
+    return releases.attach(followed, read).select(
         "site", "page_no", "link_pos", "url", "title", "date", "extras", "content", "error"
     )
 

@@ -17,6 +17,12 @@ def member_of(file_name: Column) -> Column:
     return F.split_part(file_name, F.lit("."), F.lit(1))
 
 
+def member_in_path(path: Column) -> Column:
+    """Member of a file: that of its ``member=`` folder, else by its name."""
+    folder = F.url_decode(F.regexp_extract(path, "/member=([^/]+)/[^/]*$", 1))
+    return F.when(folder != "", folder).otherwise(member_of(F.element_at(F.split(path, "/"), -1)))
+
+
 def formatted_name(file_name: Column) -> Column:
     """Name of the file the normalised releases go to."""
     return F.concat(member_of(file_name), F.lit("_formatted.txt"))
@@ -37,12 +43,14 @@ def split_records(text: Column, strict: bool = False) -> Column:
 def read_releases(spark: SparkSession, paths: str | list[str], strict: bool = False) -> DataFrame:
     """Releases of text files: member, file_path, block_start, line_no, text.
 
+    Files are named by member, or lie in the folders that the writer makes.
+
     The separator is the reader's line separator, so big files are split among
     tasks.  The three position columns order the releases of a file.
     """
     raw = spark.read.text(paths, lineSep=STRICT if strict else TOLERANT)
     rows = raw.select(
-        member_of(F.col("_metadata.file_name")).alias("member"),
+        member_in_path(F.col("_metadata.file_path")).alias("member"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line_no"),

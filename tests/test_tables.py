@@ -169,4 +169,8 @@ def test_crawl_from_pages(spark):
     assert got["https://www.hawley.senate.gov/gone"].error == (
         "Error: Timeout occurred while loading https://www.hawley.senate.gov/gone"
     )
+    twice = releases_of(frame.union(frame).union(spark.createDataFrame([(base, "old")], frame.schema)), profiles, frontier)
+    assert twice.count() in (0, 3) and twice.count() == twice.select("url").distinct().count()
+    twice = releases_of(frame.union(frame), profiles, frontier)
+    assert sorted(twice.collect(), key=lambda r: r.url) == sorted(got.values(), key=lambda r: r.url)
     assert releases.count_releases(releases_of(frame, profiles, frontier)).first().n_releases == 3
