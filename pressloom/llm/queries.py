@@ -29,6 +29,9 @@ LLM_QUERIES = {
 }
 
 LLM_ORACLE = {
+    "op1_stratified_interleaving": sharding.OP1_SQL,
+    "op6_run_length_index": suffixes.OP6_SQL,
+    "op10_super_kmers": substrings.OP10_SQL,
     "op5_temporal_lists": urls.OP5_SQL,
     "op7_snapshots": chat.OP7_SQL,
     "op9_splitting_tree": mixing.OP9_SQL,

@@ -82,3 +82,30 @@ def op1_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "source",
     )
+
+
+#: The checksum is worked out byte by byte from its table.
+OP1_SQL = r"""
+WITH byte AS (
+    SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i::UBIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+            lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) AS c
+        FROM range(256) r(i))
+), d AS (
+    SELECT doc_id, source, hex(encode(coalesce(text, ''))) AS x, md5('20/' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digits
+    FROM documents
+), r AS (
+    SELECT *, (2 * (row_number() OVER (PARTITION BY source ORDER BY digits) - 1) + 1)
+              / (2 * count(*) OVER (PARTITION BY source)) AS fraction, count(*) OVER () AS n
+    FROM d
+), a AS (
+    SELECT *, row_number() OVER (ORDER BY fraction, source NULLS LAST, digits) - 1 AS place FROM r
+)
+SELECT doc_id, length(x) // 2 + 1 AS size,
+       xor(list_reduce(list_prepend(4294967295::UBIGINT,
+               list_transform(range(1, length(x) // 2 + 1), lambda i: ('0x' || substr(x, 2 * i - 1, 2))::UBIGINT)),
+           lambda c, b: xor(c >> 8, t[((xor(c, b) & 255) + 1)::BIGINT])), 4294967295::UBIGINT)::BIGINT AS text_crc32,
+       'rows' AS law, CAST(place * 16 // n AS INT) AS shard,
+       CAST(place - ((place * 16 // n) * n + 15) // 16 AS BIGINT) AS slot, CAST(NULL AS INT) AS grown_shard, source
+FROM a, byte
+"""

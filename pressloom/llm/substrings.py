@@ -40,3 +40,22 @@ def op10_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = without_repeats(table(spark, sf_dir, "documents"), WORDS, sorted_windows, keep=["doc_id"])
     return rows.select(
         "row_.doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Every window spelled out and counted.
+OP10_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), w AS (
+    SELECT doc_id, unnest(range(1, len(ws) - 33)) AS i, ws FROM d WHERE len(ws) >= 35
+), k AS MATERIALIZED (SELECT doc_id, i, md5_number(array_to_string(ws[i:i + 34], ' ')) AS h FROM w
+), again AS (SELECT h FROM k GROUP BY h HAVING count(*) > 1
+), gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM k JOIN again USING (h)
+), s AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM d
+), left_ AS (
+    SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS kept
+    FROM s ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_ USING (doc_id)
+"""

@@ -133,3 +133,28 @@ def op6_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = without_repeats(table(spark, sf_dir, "documents"), BYTES, long_matches, keep=["doc_id"])
     return rows.select(
         "row_.doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Every string of 200 bytes, as hexadecimal digits, counted.
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), w AS (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 199)) AS i FROM d WHERE length(x) >= 400
+), k AS MATERIALIZED (SELECT doc_id, i, md5_number(substr(x, 2 * i + 1, 400)) AS h FROM w
+), again AS (SELECT h FROM k GROUP BY h HAVING count(*) > 1
+), hit AS (
+    SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200, TRUE) AS fresh FROM k JOIN again USING (h)
+), run AS (SELECT doc_id, i, count_if(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM hit
+), span AS (SELECT doc_id, r, min(i) AS a, max(i) + 200 AS b FROM run GROUP BY doc_id, r
+), piece AS (
+    SELECT doc_id, a, b, x, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since,
+           lead(a) OVER (PARTITION BY doc_id ORDER BY a) IS NULL AS ends
+    FROM span JOIN d USING (doc_id)
+), kept AS (
+    SELECT doc_id, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed,
+           string_agg(substr(x, 2 * since + 1, 2 * (a - since)) || CASE WHEN ends THEN substr(x, 2 * b + 1) ELSE '' END, '' ORDER BY a) AS y
+    FROM piece GROUP BY doc_id
+)
+SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(y, x))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
