@@ -135,13 +135,21 @@ class Lattice:
         return total
 
 
+def _frame(lang: str, **columns) -> pd.DataFrame:
+    """Rows of one language, its name held as an object: Arrow takes an empty column of the string type for no array."""
+    frame = pd.DataFrame(columns)
+    frame.insert(0, "lang", pd.Series([lang] * len(frame), dtype=object))
+    return frame
+
+
 def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         counts: dict[str, Counter] = {}
         for lang, text in zip(frame["lang"], frame["text"]):
             counts.setdefault(lang, Counter()).update(WORD.findall(text.lower()))
         for lang, words in counts.items():
-            yield pd.DataFrame({"lang": lang, "word": list(words), "n": list(words.values())})
+            if words:
+                yield _frame(lang, word=pd.Series(list(words), dtype=object), n=list(words.values()))
 
 
 def fit(labelled: DataFrame, path: str = VOCABULARY, learn_docs: int = LEARN_DOCS, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
@@ -174,7 +182,8 @@ def fit(labelled: DataFrame, path: str = VOCABULARY, learn_docs: int = LEARN_DOC
                     words = [START + w for w in part["word"]]
                     used = own.expected(words, part["n"].to_numpy(float), now[:, names.index(lang)])
                     at = np.flatnonzero(used[:-1])
-                    yield pd.DataFrame({"lang": lang, "piece": at, "used": used[at]})
+                    if len(at):
+                        yield _frame(lang, piece=at, used=used[at])
 
         used = counts.mapInPandas(use, "lang string, piece bigint, used double").groupBy("lang", "piece").agg(
             F.sum("used").alias("used")).toPandas()
@@ -207,7 +216,7 @@ def predictor(spark: SparkSession, languages: list[str], model: np.ndarray, path
                 total = each[tokens[i]].sum(0)
                 best = int(total.argmax())
                 lang[i], score[i] = names[best], 1 / np.exp(total - total[best]).sum()
-        return pd.DataFrame({"lang": lang, "score": score})
+        return pd.DataFrame({"lang": pd.Series(lang, dtype=object), "score": score})
 
     return predict
 
