@@ -3,9 +3,11 @@
 Every text gets counts; a few hard limits come first.  The counts of texts that
 pass become a vector of five transformed statistics.  For each language and
 source the minimum covariance determinant is sought: concentration steps from
-three starts keep the three quarters of rows nearest to the current centre, and
-the start whose covariance has the least determinant wins.  A text is rejected
-if its squared Mahalanobis distance from that centre is above a limit.
+three starts keep the half of the rows nearest to the current centre, and the
+start whose covariance has the least determinant wins.  A text is rejected if
+its squared Mahalanobis distance from that centre is above a limit.  Equal
+texts of a group count once in the estimate, so copies of one text cannot make
+up its half, however many they are; every row gets a verdict.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ LEAST_SPREAD = (0.5, 0.3, 0.5, 1.0, 1.0)
 DIMS = len(LEAST_SPREAD)
 #: Share of rows that a concentration step keeps, and what the covariance of
 #: that share must be multiplied by to hold for all (normal data, five dimensions).
-KEPT_SHARE = 0.75
-CONSISTENCY = 1.41
+KEPT_SHARE = 0.5
+CONSISTENCY = 1.916
 #: Squared distance beyond which a text is an outlier: the 0.9999 quantile of
 #: chi-squared with five degrees of freedom.
 LIMIT = 25.74
@@ -165,7 +167,7 @@ def _met(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 
 
 def _step(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """One concentration step: the nearest three quarters, by bins of the distance, give the next estimate."""
+    """One concentration step: the nearest half, by bins of the distance, gives the next estimate."""
     keys = [*GROUP, "start_"]
     near = with_distance(_met(rows, estimates)).withColumn(
         "bin_", F.floor(F.log2(F.col("d2_") + 1e-6) * BINS)
@@ -225,15 +227,16 @@ def fit(measured: DataFrame) -> DataFrame:
     """Centre and triangular factor for each language and source, and for each language.
 
     ``measured`` has ``lang_ source_ row_no_`` and the vector ``x0`` to ``x4``
-    of texts that passed the base rules.  Jobs run here; what they save is one
-    row a group.
+    of texts that passed the base rules; equal rows count once.  Jobs run here;
+    what they save is the distinct vectors and one row a group.
     """
     levels = F.array(
         F.struct(F.col("source_").alias("source_"), F.lit(False).alias("pooled_")),
         F.struct(F.lit(None).cast("string").alias("source_"), F.lit(True).alias("pooled_")),
     )
     vectors = [f"x{i}" for i in range(DIMS)]
-    rows = measured.select("lang_", "row_no_", *vectors, F.explode(levels).alias("level_"))
+    once = cut_lineage(measured.select("lang_", "source_", "row_no_", *vectors).distinct())
+    rows = once.select("lang_", "row_no_", *vectors, F.explode(levels).alias("level_"))
     rows = rows.select("lang_", "level_.source_", "level_.pooled_", "row_no_", *vectors)
     estimates = _starts(rows)
     for _ in range(FIRST_STEPS):

@@ -133,6 +133,26 @@ def test_quality_counts_and_verdicts(spark):
     assert quality.keep_good(empty(spark)).count() == 0
 
 
+def _planted(junk, share):
+    """Rows of one group: 300 clean texts, and a share of junk that passes the base rules."""
+    chance = random.Random(7)
+    word = lambda a, b: "".join(chance.choices("abcdefghijklmnopqrstuvwxyz", k=chance.randint(a, b)))
+    clean = [" ".join(word(2, 9) for _ in range(int(chance.lognormvariate(5, 0.5)) + 20)) for _ in range(300)]
+    junk_text = lambda: " ".join(word(1, 3) + chance.choice(("", "#", "$%", "|<>")) for _ in range(chance.randint(30, 80)))
+    n = round(300 * share / (1 - share))
+    bad = [junk_text()] * n if junk == "copied" else [junk_text() for _ in range(n)]
+    return [(i, t, "en", "s") for i, t in enumerate(clean + bad)]
+
+
+@pytest.mark.parametrize("junk", ["copied", "varied"])
+@pytest.mark.parametrize("share", [0.3, 0.4])
+def test_junk_does_not_shape_its_group(spark, junk, share):
+    rows = quality.judged(spark.createDataFrame(_planted(junk, share), "doc_id bigint, text string, lang string, source string")).collect()
+    assert not any(r.base_failed for r in rows)
+    assert sum(r.kept for r in rows if r.row_.doc_id < 300) >= 297
+    assert not any(r.kept for r in rows if r.row_.doc_id >= 300)
+
+
 def test_outliers_against_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
