@@ -1,5 +1,6 @@
 import glob
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pressloom.profiles import SITES, site_profiles
 from pressloom.session import cut_lineage, drop_saved
 from pressloom.sources import corpus, sinks
 from pressloom.sources.pages import unplaced, with_site
+from tests.conftest import SMALL
 
 
 def stats(spark, counts, site="s"):
@@ -174,3 +176,30 @@ def test_crawl_from_pages(spark):
     twice = releases_of(frame.union(frame), profiles, frontier)
     assert sorted(twice.collect(), key=lambda r: r.url) == sorted(got.values(), key=lambda r: r.url)
     assert releases.count_releases(releases_of(frame, profiles, frontier)).first().n_releases == 3
+
+
+def test_crawl_of_whole_pages_under_robots_rules(spark):
+    """Given pages in full at the addresses of their own links; a blocked listing, a blocked link, repeated captures."""
+    base = {p.site: p.base_url for p in SITES}["markey"]
+    given = [r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").orderBy("page_id").collect()]
+    hrefs = iter(dict.fromkeys(h for g in given for h in re.findall(r'<li><a href="(/[A-Za-z]{4,})">', g)))
+    listed = [[next(hrefs) for _ in range(3)] for _ in range(3)]
+    home = "https://www.markey.senate.gov"
+    whole = dict(zip([home + h for hs in listed for h in hs], given))
+    item = '<a class="ArticleBlock__title__link" href="{}">t</a>'
+    pages = [(f"{base}{n}", "".join(map(item.format, hs))) for n, hs in enumerate(listed)]
+    pages += [(url, f'<div class="RawHTML">{page}</div>') for url, page in whole.items()]
+    frame = spark.createDataFrame(pages, "url STRING, html STRING")
+    frontier = spark.createDataFrame([("markey", n, f"{base}{n}") for n in range(3)], "site STRING, page_no INT, url STRING")
+    blocked = listed[0][1]
+    text = f"User-agent: *\nDisallow: /news/press-releases?pagenum_rs=2\nDisallow: {blocked}\n"
+    files = spark.createDataFrame([("markey", text), ("hawley", "User-agent: *\nDisallow: /\n")], "site STRING, text STRING")
+    profiles = site_profiles(spark)
+    rows = releases_of(frame.union(frame), profiles, frontier, files).collect()
+    assert sorted(r.url for r in rows) == sorted(home + h for hs in listed[:2] for h in hs if h != blocked)
+    for r in rows:
+        texts = re.findall(r">([^<>&]*\w[^<>&]*)", re.search(r"</h1>(.*)</article>", whole[r.url], re.S)[1])
+        content = " ".join(r.content.split())
+        assert r.error is None and texts and all(" ".join(t.split()) in content for t in texts)
+    free = releases_of(frame, profiles, frontier).select("url").collect()
+    assert sorted(r.url for r in free) == sorted(whole)
