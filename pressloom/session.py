@@ -54,6 +54,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A name for files of a job in the shared folder; ``drop_saved`` removes what is there."""
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    _SAVED.append(path)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back; the job runs here.
 
@@ -61,9 +68,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     the planner knows its size when it chooses a join.  ``drop_saved`` removes
     such tables when nothing reads them any more.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
-    _SAVED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
