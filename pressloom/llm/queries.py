@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pressloom.llm import (
+    captures,
+    centroids,
     chat,
     decontamination,
     language,
+    middle,
     mixing,
     quality,
     sharding,
@@ -26,6 +29,9 @@ LLM_QUERIES = {
     "op8_pigeonring": simhash.op8_pigeonring,
     "op9_splitting_tree": mixing.op9_splitting_tree,
     "op10_super_kmers": substrings.op10_super_kmers,
+    "op11_capture_index": captures.op11_capture_index,
+    "op12_middle": middle.op12_middle,
+    "op13_dimension_shards": centroids.op13_dimension_shards,
 }
 
 LLM_ORACLE = {
@@ -35,4 +41,7 @@ LLM_ORACLE = {
     "op5_temporal_lists": urls.OP5_SQL,
     "op7_snapshots": chat.OP7_SQL,
     "op9_splitting_tree": mixing.OP9_SQL,
+    "op11_capture_index": captures.OP11_SQL,
+    "op12_middle": middle.OP12_SQL,
+    "op13_dimension_shards": centroids.OP13_SQL,
 }
