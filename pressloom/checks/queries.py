@@ -209,9 +209,9 @@ def html_tokens(spark, sf_dir):
 
 @query
 def html_nodes(spark, sf_dir):
-    numbered = html.with_sibling_no(html.node_table(site_pages(spark, sf_dir)))
+    node = html.node_table(site_pages(spark, sf_dir))
     ints = ("node_id", "end_id", "parent_id", "depth", "sibling_no")
-    return numbered.select("page_id", *(big(c).alias(c) for c in ints), "kind", "tag", "text")
+    return node.select("page_id", *(big(c).alias(c) for c in ints), "kind", "tag", "text")
 
 
 @query
@@ -255,20 +255,20 @@ def _element_texts(build: Callable[[Column, Column], Column]) -> Query:
     def run(spark, sf_dir):
         def per_element(doc: Column) -> Column:
             return F.transform(
-                S.find_all(doc, S.is_element),
+                S.find_all(doc.nodes, S.is_element),
                 lambda e: F.struct(e.node_id.alias("node_id"), e.tag.alias("tag"), build(doc, e).alias("value")),
             )
 
         rows = site_pages(spark, sf_dir).select(
-            "page_id", F.inline(text.let(html.nodes_of(), per_element))
+            "page_id", F.inline(text.let(html.page_of(), per_element))
         )
         return rows.select("page_id", big("node_id").alias("node_id"), "tag", "value")
 
     return run
 
 
-QUERIES["text_stripped"] = _element_texts(lambda doc, e: S.text_stripped(doc, e))
-QUERIES["text_newline"] = _element_texts(lambda doc, e: S.text_stripped(doc, e, "\n"))
+QUERIES["text_stripped"] = _element_texts(S.text_stripped)
+QUERIES["text_newline"] = _element_texts(S.text_lines)
 QUERIES["text_raw"] = _element_texts(S.text_raw)
 QUERIES["text_single"] = _element_texts(S.single_string)
 
@@ -292,7 +292,7 @@ def _node_rows(source, find: Callable[[Column], Column], rows=pages) -> Query:
             )
 
         found = rows(spark, sf_dir).select(
-            "page_id", F.inline(text.let(html.nodes_of(), per_page))
+            "page_id", F.inline(text.let(html.page_of(), per_page))
         )
         return found.select("page_id", big("node_id").alias("node_id"), "value")
 
@@ -305,29 +305,29 @@ def _only(node: Column) -> Column:
     return F.filter(F.array(node), lambda n: n.isNotNull())
 
 
-_node_rows("sel_first_class", lambda d: _only(S.find_first(d, S.every(S.has_tag("div"), S.has_class("ad")))))
-_node_rows("sel_class_exact", lambda d: S.find_all(d, S.every(S.has_tag("h1", "span"), lambda n: S.class_is("Heading Heading--h2")(n) | S.class_is("date black")(n))), site_pages)
-_node_rows("sel_attr_eq", lambda d: S.find_all(d, lambda n: S.attr_is("id", "ctl00_ctl21_CatTags")(n) | S.attr_is("style", "text-align: center;")(n)), site_pages)
-_node_rows("sel_text_eq", lambda d: S.find_all(d, S.every(S.has_tag("span"), S.has_class("field__label"), S.string_is(d, "Issues:"))), site_pages)
-_node_rows("sel_text_regex", lambda d: _only(S.find_first(d, S.string_matches(r"\w{6,}\s+\w+,"))))
-_node_rows("sel_tag", lambda d: S.find_all(d, S.has_tag("p")))
+_node_rows("sel_first_class", lambda d: _only(S.find_first(d.nodes, S.every(S.has_tag("div"), S.has_class("ad")))))
+_node_rows("sel_class_exact", lambda d: S.find_all(d.nodes, S.every(S.has_tag("h1", "span"), lambda n: S.class_is("Heading Heading--h2")(n) | S.class_is("date black")(n))), site_pages)
+_node_rows("sel_attr_eq", lambda d: S.find_all(d.nodes, lambda n: S.attr_is("id", "ctl00_ctl21_CatTags")(n) | S.attr_is("style", "text-align: center;")(n)), site_pages)
+_node_rows("sel_text_eq", lambda d: S.find_all(d.nodes, S.every(S.has_tag("span"), S.has_class("field__label"), S.string_is(d, "Issues:"))), site_pages)
+_node_rows("sel_text_regex", lambda d: _only(S.find_first(d.nodes, S.string_matches(r"\w{6,}\s+\w+,"))))
+_node_rows("sel_tag", lambda d: S.find_all(d.nodes, S.has_tag("p")))
 _node_rows("sel_descendant", lambda d: S.find_chain(d, S.has_tag("body"), S.has_tag("article"), S.has_tag("p")))
-_node_rows("sel_has_attr", lambda d: S.find_all(d, S.every(S.has_tag("a"), S.has_attr("href"))))
-_node_rows("sel_href_contains", lambda d: S.find_all(d, S.every(S.has_tag("a"), S.attr_contains("href", "/th"))))
-_node_rows("sel_nth", lambda d: _only(S.nth(S.find_all(d, S.has_tag("p")), 2)))
-_node_rows("sel_scoped", lambda d: text.let(S.find_first(d, S.has_tag("nav")), lambda e: _only(S.find_first(S.descendants(d, e), S.has_tag("a")))))
-_node_rows("sel_children", lambda d: text.let(S.find_first(d, S.has_tag("article")), lambda e: S.children(d, e)))
-_node_rows("sel_following", lambda d: text.let(S.find_first(d, S.has_tag("h1")), lambda e: _only(S.find_first(S.following(d, e), S.has_tag("p")))))
-_node_rows("flt_nonblank", lambda d: S.find_all(d, S.every(S.has_tag("p"), lambda n: ~text.is_blank(S.text_raw(d, n)))), site_pages)
+_node_rows("sel_has_attr", lambda d: S.find_all(d.nodes, S.every(S.has_tag("a"), S.has_attr("href"))))
+_node_rows("sel_href_contains", lambda d: S.find_all(d.nodes, S.every(S.has_tag("a"), S.attr_contains("href", "/th"))))
+_node_rows("sel_nth", lambda d: _only(S.nth(S.find_all(d.nodes, S.has_tag("p")), 2)))
+_node_rows("sel_scoped", lambda d: text.let(S.find_first(d.nodes, S.has_tag("nav")), lambda e: _only(S.find_first(S.descendants(d, e), S.has_tag("a")))))
+_node_rows("sel_children", lambda d: text.let(S.find_first(d.nodes, S.has_tag("article")), lambda e: S.children(d, e)))
+_node_rows("sel_following", lambda d: text.let(S.find_first(d.nodes, S.has_tag("h1")), lambda e: _only(S.find_first(S.following(d, e), S.has_tag("p")))))
+_node_rows("flt_nonblank", lambda d: S.find_all(d.nodes, S.every(S.has_tag("p"), lambda n: ~text.is_blank(S.text_raw(d, n)))), site_pages)
 
 
 @query
 def prj_fallback(spark, sf_dir):
     def pick(doc: Column) -> Column:
         node = F.coalesce(
-            S.find_first(doc, S.every(S.has_tag("h1"), S.has_class("elementor-heading-title"))),
-            S.find_first(doc, S.every(S.has_tag("h1"), S.has_class("display-4"))),
-            S.find_first(doc, S.has_tag("h2")),
+            S.find_first(doc.nodes, S.every(S.has_tag("h1"), S.has_class("elementor-heading-title"))),
+            S.find_first(doc.nodes, S.every(S.has_tag("h1"), S.has_class("display-4"))),
+            S.find_first(doc.nodes, S.has_tag("h2")),
         )
         return text.let(node, lambda n: S.text_raw(doc, n))
 
@@ -337,7 +337,7 @@ def prj_fallback(spark, sf_dir):
 @query
 def prj_sentinel(spark, sf_dir):
     def pick(doc: Column) -> Column:
-        node = S.find_first(doc, S.every(S.has_tag("span"), S.has_class("published")))
+        node = S.find_first(doc.nodes, S.every(S.has_tag("span"), S.has_class("published")))
         return text.let(node, lambda n: F.coalesce(S.text_raw(doc, n), F.lit(releases.NO_DATE)))
 
     return releases.extract_field(site_pages(spark, sf_dir), pick, "date")
@@ -367,7 +367,7 @@ def extract_sites(spark, sf_dir):
 def _content(name: str, mode: Callable[[Column, Column], Column], rows, scope: S.Test) -> None:
     def run(spark, sf_dir):
         def read(doc: Column) -> Column:
-            return text.let(S.find_first(doc, scope), lambda e: F.when(e.isNotNull(), mode(doc, e)))
+            return text.let(S.find_first(doc.nodes, scope), lambda e: F.when(e.isNotNull(), mode(doc, e)))
 
         return releases.extract_field(rows(spark, sf_dir), read, "content")
 
@@ -398,7 +398,7 @@ def _nav_hrefs(spark, sf_dir) -> DataFrame:
     """Navigation links of each page, twisted into every shape a link can have."""
     found = pages(spark, sf_dir).select(
         "page_id", "url",
-        F.posexplode(text.let(html.nodes_of(), lambda d: links.nav_links(d))).alias("pos", "href"),
+        F.posexplode(text.let(html.page_of(), lambda d: links.nav_links(d))).alias("pos", "href"),
     )
     word = F.substring("href", F.lit(2), F.length("href"))
     shape = (F.col("page_id") + F.col("pos")) % 10
@@ -430,7 +430,7 @@ def links_distinct(spark, sf_dir):
     rows = pages(spark, sf_dir).select(
         "page_id",
         F.posexplode(
-            text.let(html.nodes_of(), lambda d: links.distinct_first(_doubled_hrefs(d)))
+            text.let(html.page_of(), lambda d: links.distinct_first(_doubled_hrefs(d)))
         ).alias("pos", "href"),
     )
     return rows.withColumn("pos", big("pos"))
@@ -441,7 +441,7 @@ def links_top5(spark, sf_dir):
     rows = pages(spark, sf_dir).select(
         "page_id",
         F.posexplode(
-            text.let(html.nodes_of(), lambda d: links.preview(links.nav_links(d)))
+            text.let(html.page_of(), lambda d: links.preview(links.nav_links(d)))
         ).alias("pos", "href"),
     )
     return rows.withColumn("pos", big("pos"))

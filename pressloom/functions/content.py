@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pressloom.functions import select as S
-from pressloom.functions.text import collapse_newlines, let, strip
+from pressloom.functions.text import collapse_newlines, let, scan, strip
 
 NO_CONTENT = "No content found"
 
@@ -48,19 +48,47 @@ def _string_line(doc: Column, node: Column) -> Column:
     )
 
 
-def all_strings(doc: Column, element: Column) -> Column:
+def all_strings(doc: Column, element: Column, dedupe: Column | None = None) -> Column:
     """Paragraph blocks, breaks, and a line for every other node with one string.
 
     Text inside a paragraph thus comes again from its own string nodes, and
-    once more from each inline element around it.
+    once more from each inline element around it.  Where ``dedupe`` is true, a
+    node says nothing if one around it gave its text already.
     """
+
+    def pieces(found: Column) -> Column:
+        return F.array_join(F.transform(found, lambda p: p.text), "")
+
     emitted = F.transform(
         S.descendants(doc, element),
-        lambda n: F.when(n.tag == "p", _paragraph_block(doc, n))
-        .when(n.tag == "br", "\n")
-        .otherwise(_string_line(doc, n)),
+        lambda n: F.struct(
+            n.node_id.alias("node_id"), n.end_id.alias("end_id"),
+            F.when(n.tag == "p", _paragraph_block(doc, n))
+            .when(n.tag == "br", "\n")
+            .otherwise(_string_line(doc, n)).alias("text"),
+            F.coalesce(n.tag == "br", F.lit(False)).alias("is_break"),
+        ),
     )
-    return strip(collapse_newlines(F.array_join(emitted, "")))
+    whole = pieces(emitted) if dedupe is None else let(
+        emitted, lambda all_of: F.when(dedupe, F.array_join(_once(all_of), "")).otherwise(pieces(all_of)))
+    return strip(collapse_newlines(whole))
+
+
+def _once(emitted: Column) -> Column:
+    """Texts that no node around theirs gave before.
+
+    Nodes come in document order, so a node lies inside an earlier one that
+    gave its text just if it begins before the last of those ends.
+    """
+
+    def step(covered: Column, node: Column) -> Column:
+        gives = (node.text != "") & ~node.is_break & (node.node_id >= covered)
+        return F.struct(
+            F.when(gives, F.greatest(covered, node.end_id)).otherwise(covered).alias("state"),
+            F.when(gives | node.is_break, node.text).otherwise("").alias("out"),
+        )
+
+    return scan(F.filter(emitted, lambda n: n.text != ""), F.lit(0), step, "string")
 
 
 def blocks(doc: Column, element: Column) -> Column:
@@ -90,13 +118,13 @@ def blocks(doc: Column, element: Column) -> Column:
 
 def lines(doc: Column, element: Column) -> Column:
     """All readable strings below, one per line."""
-    return S.text_stripped(doc, element, "\n")
+    return S.text_lines(doc, element)
 
 
 def page_fallback(doc: Column, element: Column | None = None) -> Column:
     """Whole page: its paragraphs, else the press block's divisions, else its text."""
     whole = S.drop_blank(
-        F.transform(S.find_all(doc, S.has_tag("p")), lambda p: S.text_raw(doc, p))
+        F.transform(S.find_all(doc.nodes, S.has_tag("p")), lambda p: S.text_raw(doc, p))
     )
     press = S.attr_is("id", "press")
     nested = S.first(
@@ -114,7 +142,7 @@ def page_fallback(doc: Column, element: Column | None = None) -> Column:
     def joined(texts: Column) -> Column:
         return let(texts, lambda t: F.when(F.size(t) > 0, F.array_join(t, "\n\n")))
 
-    any_press = let(S.find_first(doc, press), lambda e: S.text_raw(doc, e))
+    any_press = let(S.find_first(doc.nodes, press), lambda e: S.text_raw(doc, e))
     return F.coalesce(joined(whole), joined(divisions), any_press)
 
 
@@ -129,10 +157,10 @@ MODES = {
 }
 
 
-def by_mode(mode: Column, doc: Column, element: Column) -> Column:
+def by_mode(mode: Column, doc: Column, element: Column, dedupe: Column | None = None) -> Column:
     """The text under the mode named in a column; only that branch runs."""
     result = None
     for name, build in MODES.items():
-        text = build(doc, element)
+        text = build(doc, element, dedupe) if build is all_strings else build(doc, element)
         result = F.when(mode == name, text) if result is None else result.when(mode == name, text)
     return result

@@ -4,7 +4,9 @@ Everything here is a Column expression over the ``html`` string, so a page is
 parsed where its row lies: no shuffle and no Python worker.  The result is an
 array of nodes in document order with interval numbering: node ``d`` lies
 inside element ``a`` iff ``a.node_id < d.node_id < a.end_id``.  Because ids are
-positions in the array, a subtree is a ``slice``.
+positions in the array, a subtree is a ``slice``.  Beside the nodes stand the
+page's readable texts, joined once, and where each node's begin in them, so
+the text of an element is a piece of a string.
 """
 
 from __future__ import annotations
@@ -12,10 +14,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from html.entities import html5
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.functions.text import NON_SPACE, let
+from pressloom.functions.text import NON_SPACE, let, scan, strip
 from pressloom.session import built_once
 
 # Elements that never have content.
@@ -31,6 +33,25 @@ SPECIAL_TEXT_TAGS = ("script", "style", "template", "rt", "rp")
 # Elements in which blank text is kept as it is.
 PREFORMATTED_TAGS = ("pre", "textarea")
 
+_LIMITS = ("applet", "button", "caption", "html", "marquee", "object", "table", "td", "template", "th")
+
+# The end tags that HTML implies.  A start tag of the first list
+# closes open elements of the second, unless one of the third lies between.
+IMPLIED_ENDS = (
+    (("address", "article", "aside", "blockquote", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt",
+      "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup",
+      "hr", "li", "listing", "main", "menu", "nav", "ol", "p", "plaintext", "pre", "search", "section", "summary",
+      "table", "ul", "xmp"), ("p",), _LIMITS),
+    (("li",), ("li",), (*_LIMITS, "dir", "menu", "ol", "ul")),
+    (("dd", "dt"), ("dd", "dt"), (*_LIMITS, "dl")),
+    (("option", "optgroup"), ("option",), ("optgroup", "select", "datalist", "template")),
+    (("optgroup",), ("optgroup",), ("select", "template")),
+    (("td", "th"), ("td", "th"), ("html", "table", "template", "tr")),
+    (("tr",), ("td", "th", "tr"), ("html", "table", "tbody", "template", "tfoot", "thead")),
+    (("tbody", "tfoot", "thead"), ("caption", "colgroup", "tbody", "td", "tfoot", "th", "thead", "tr"), ("html", "table", "template")),
+    (("rb", "rp", "rt", "rtc"), ("rb", "rp", "rt"), ("ruby", "rtc")),
+)
+
 # Begins the stand-in for a "<" that opens no markup, and that for itself, while
 # the page is cut into tokens.
 MARK = "\ufdd0"
@@ -47,12 +68,12 @@ TOKEN_PATTERN = (
 TAG_NAME = r"^</?([A-Za-z][^\s/>]*)"
 ATTRIBUTE_PATTERN = r"""([^\s/=][^\s/=]*)(\s*=+\s*("[^"]*"|'[^']*'|[^\s]*))?"""
 
-# Tokens per inner step of the tree fold; see ``_walk``.
-CHUNK = 128
+# Tags per inner step of the tree fold; see ``_walk``.
+CHUNK = 64
 
-NODE_TYPE = (
-    "array<struct<node_id:int,end_id:int,parent_id:int,depth:int,kind:string,"
-    "tag:string,attrs:map<string,string>,classes:array<string>,text:string>>"
+NODE = (
+    "struct<node_id:int,end_id:int,parent_id:int,depth:int,kind:string,tag:string,"
+    "attrs:map<string,string>,classes:array<string>,text:string>"
 )
 
 
@@ -234,117 +255,175 @@ def tokens(html: Column) -> Column:
 
 # -- tree -------------------------------------------------------------------
 
-_PLACE = "struct<parent_id:int,depth:int,special:boolean,pre:boolean,ordinal:int>"
+_OPEN = "struct<id:int,special:boolean,pre:boolean,depths:array<int>>"
+_PLACE = "struct<n:int,parent_id:int,depth:int,ordinal:int,within:int,depth_within:int,special:boolean,pre:boolean>"
 _SPAN = "struct<node_id:int,end_id:int>"
 
-def _step(state: Column, token: Column) -> Column:
-    """Place one token: push an element, pop to an end tag, or add a leaf."""
-    # The stack is kept top first, so the first match is the nearest open tag.
-    return (
-        F.when(
-            token.op == "close",
-            let(
-                F.array_position(state.tags, token.tag).cast("int"),
-                lambda hit: F.when(hit > 0, _popped(state, hit)).otherwise(state),
-            ),
-        )
-        .otherwise(_placed(state, token))
-    )
 
+def _rules_by_tag(which: int) -> Column:
+    """For each tag the numbers of the rules that name it in that place."""
+    tags = sorted({tag for rule in IMPLIED_ENDS for tag in rule[which]})
+    numbers = [[i for i, rule in enumerate(IMPLIED_ENDS) if tag in rule[which]] for tag in tags]
+    return F.map_from_arrays(F.array(*map(F.lit, tags)), F.array(*(F.array(*map(F.lit, n)) for n in numbers)))
 
-def _popped(state: Column, hit: Column) -> Column:
-    closed = F.transform(
-        F.slice(state.ids, F.lit(1), hit),
-        lambda i: F.struct(i.alias("node_id"), (state.n + 1).alias("end_id")),
-    )
-    return F.struct(
-        F.slice(state.ids, hit + 1, F.size(state.ids)).alias("ids"),
-        F.slice(state.tags, hit + 1, F.size(state.tags)).alias("tags"),
-        state.n.alias("n"), state.opened.alias("opened"), state.places.alias("places"),
-        F.concat(state.spans, closed).alias("spans"),
+
+def _depths_within(outer: Column, tag: Column, depth: Column) -> Column:
+    """For each rule the depth of the outermost element it would end, inside a new element."""
+    limits, targets = (F.coalesce(_rules_by_tag(i)[tag], F.array().cast("array<int>")) for i in (2, 1))
+    before = F.coalesce(outer, F.array(*(F.lit(0) for _ in IMPLIED_ENDS)))
+    return F.transform(
+        before,
+        lambda d, rule: F.when(F.array_contains(targets, rule), F.when(d == 0, depth).otherwise(d))
+        .when(F.array_contains(limits, rule), 0)
+        .otherwise(d),
     )
 
 
-def _placed(state: Column, token: Column) -> Column:
-    is_open = token.op == "open"
-    is_text = token.op == "text"
+class _Stack:
+    """Open elements inside a chunk: those it opened, innermost first, and those left of what was open before.
 
-    def under(tags: tuple[str, ...]) -> Column:
-        return is_text & F.arrays_overlap(state.tags, F.array(*map(F.lit, tags)))
+    What was open before is only read, and ``gone`` counts how many of them
+    were closed: the state that a fold hands on is copied at each step, so it
+    must not hold what does not change.
+    """
 
-    place = F.struct(
-        F.coalesce(F.get(state.ids, F.lit(0)), F.lit(0)).alias("parent_id"),
-        F.size(state.ids).alias("depth"),
-        under(SPECIAL_TEXT_TAGS).alias("special"),
-        under(PREFORMATTED_TAGS).alias("pre"),
-        F.when(is_open, state.opened + 1).otherwise(0).alias("ordinal"),
-    )
-    return F.struct(
-        F.when(is_open, F.concat(F.array(state.n + 1), state.ids)).otherwise(state.ids).alias("ids"),
-        F.when(is_open, F.concat(F.array(token.tag), state.tags)).otherwise(state.tags).alias("tags"),
-        (state.n + 1).alias("n"),
-        F.when(is_open, state.opened + 1).otherwise(state.opened).alias("opened"),
-        F.concat(state.places, F.array(place)).alias("places"),
-        state.spans.alias("spans"),
+    def __init__(self, state: Column, before: Column):
+        self.state, self.before = state, before
+        self.own = F.size(state.tags)
+        self.depth = self.own + F.size(before.tags) - state.gone
+        self.top = F.coalesce(F.get(state.open, F.lit(0)), F.get(before.open, state.gone))
+
+    def up_to(self, tag: Column) -> Column:
+        """How many levels up the nearest element of that name is, itself counted; 0 if there is none."""
+        state, before = self.state, self.before
+
+        def further() -> Column:
+            rest = F.slice(before.tags, state.gone + 1, F.size(before.tags))
+            return let(F.array_position(rest, tag).cast("int"), lambda at: F.when(at > 0, self.own + at).otherwise(0))
+
+        return let(
+            F.array_position(state.tags, tag).cast("int"),
+            lambda near: F.when(near > 0, near)
+            .when(F.get(before.tags, state.gone) == tag, self.own + 1)
+            .when(F.array_contains(before.tags, tag), further())
+            .otherwise(0),
+        )
+
+    def ended_by(self, tag: Column) -> Column:
+        """How many levels a start tag ends, by the outermost element that a rule of its finds."""
+        found = F.filter(F.transform(_rules_by_tag(0)[tag], lambda rule: F.get(self.top.depths, rule)), lambda d: d > 0)
+        return F.coalesce(self.depth - F.array_min(found) + 1, F.lit(0))
+
+
+def _without(state: Column, before: Column, up: Column) -> Column:
+    """The state without its so many innermost elements."""
+    own = F.size(state.tags)
+
+    def ends(ids: Column) -> Column:
+        return F.concat(state.spans, F.transform(ids, lambda i: F.struct(i.alias("node_id"), (state.n + 1).alias("end_id"))))
+
+    def left(gone: Column, ids: Column) -> Column:
+        near = up < own
+        return F.struct(
+            F.when(near, F.slice(state.tags, up + 1, own)).otherwise(F.array().cast("array<string>")).alias("tags"),
+            F.when(near, F.slice(state.open, up + 1, own)).otherwise(F.array().cast(f"array<{_OPEN}>")).alias("open"),
+            gone.alias("gone"), state.n.alias("n"), state.opened.alias("opened"), state.places.alias("places"),
+            ends(ids).alias("spans"),
+        )
+
+    ids = F.transform(F.slice(state.open, F.lit(1), up), lambda e: e.id)
+    older = F.transform(
+        F.sequence(state.gone, state.gone + up - own - 1), lambda i: F.get(before.open, i).id)
+    return (
+        F.when(up <= 0, state)
+        .when(up <= own, left(state.gone, ids))
+        .otherwise(left(state.gone + up - own, F.concat(F.transform(state.open, lambda e: e.id), older)))
     )
 
 
-def _walk(token_array: Column) -> Column:
-    """Places and spans of all nodes.
+def _step(state: Column, item: Column, before: Column, implied: Column) -> Column:
+    """A tag: it closes what it ends, may open an element, and places the leaves up to the next tag."""
+    is_open = item.op == "open"
+
+    def up(stack: _Stack) -> Column:
+        ended = F.when(item.op == "close", stack.up_to(item.tag))
+        return F.coalesce(ended.when(implied & item.op.isin("open", "void"), stack.ended_by(item.tag)), F.lit(0))
+
+    def placed(now: Column) -> Column:
+        stack = _Stack(now, before)
+        top = stack.top
+        parent = F.coalesce(top.id, F.lit(0))
+        entry = F.struct(
+            (now.n + 1).alias("id"),
+            (F.coalesce(top.special, F.lit(False)) | item.tag.isin(*SPECIAL_TEXT_TAGS)).alias("special"),
+            (F.coalesce(top.pre, F.lit(False)) | item.tag.isin(*PREFORMATTED_TAGS)).alias("pre"),
+            F.when(implied, _depths_within(top.depths, item.tag, stack.depth + 1)).alias("depths"),
+        ).cast(_OPEN)
+        inner = F.when(is_open, entry).otherwise(top)
+        place = F.struct(
+            now.n.alias("n"), parent.alias("parent_id"), stack.depth.alias("depth"),
+            F.when(is_open, now.opened + 1).otherwise(0).alias("ordinal"),
+            F.coalesce(inner.id, F.lit(0)).alias("within"),
+            (stack.depth + F.when(is_open, 1).otherwise(0)).alias("depth_within"),
+            F.coalesce(inner.special, F.lit(False)).alias("special"), F.coalesce(inner.pre, F.lit(False)).alias("pre"),
+        )
+        return F.struct(
+            F.when(is_open, F.concat(F.array(item.tag), now.tags)).otherwise(now.tags).alias("tags"),
+            F.when(is_open, F.concat(F.array(entry), now.open)).otherwise(now.open).alias("open"),
+            now.gone.alias("gone"),
+            (now.n + F.when(item.op.isin("open", "void"), 1).otherwise(0) + item.leaves).alias("n"),
+            F.when(is_open, now.opened + 1).otherwise(now.opened).alias("opened"),
+            F.concat(now.places, F.array(place)).alias("places"),
+            now.spans.alias("spans"),
+        )
+
+    return let(let(up(_Stack(state, before)), lambda levels: _without(state, before, levels)), placed)
+
+
+def _walk(items: Column, implied: Column) -> Column:
+    """Places of all tags, and spans of the elements they open.
 
-    Appending to an array copies it, so one flat fold would cost the square of
-    the token count.  The fold therefore runs over chunks: the inner fold
-    appends to short arrays, the outer one collects them.
+    A fold hands its state on by copying it, and appending copies an array, so
+    one flat fold would cost the square of the number of tags.  It therefore
+    runs over chunks: the inner fold keeps what a chunk made, the outer one
+    collects it, with the elements that are open between two chunks.
     """
-    count = F.size(token_array)
+    count = F.size(items)
     starts = F.when(
         count > 0, F.sequence(F.lit(1), count, F.lit(CHUNK))
     ).otherwise(F.array().cast("array<int>"))
-    empty_places = F.array().cast(f"array<{_PLACE}>")
-    empty_spans = F.array().cast(f"array<{_SPAN}>")
+    no_tags, no_open = F.array().cast("array<string>"), F.array().cast(f"array<{_OPEN}>")
+    no_places, no_spans = F.array().cast(f"array<{_PLACE}>"), F.array().cast(f"array<{_SPAN}>")
 
-    def resumed(last: Column) -> Column:
-        """The stack and counts after a chunk, with nothing placed yet."""
-        return F.struct(
-            last.ids.alias("ids"), last.tags.alias("tags"), last.n.alias("n"),
-            last.opened.alias("opened"), empty_places.alias("places"),
-            empty_spans.alias("spans"),
+    def outer_step(outer: Column, start: Column) -> Column:
+        fresh = F.struct(
+            no_tags.alias("tags"), no_open.alias("open"), F.lit(0).alias("gone"), outer.n.alias("n"),
+            outer.opened.alias("opened"), no_places.alias("places"), no_spans.alias("spans"),
         )
+        made = F.aggregate(
+            F.slice(items, start, F.lit(CHUNK)), fresh, lambda state, item: _step(state, item, outer, implied))
 
-    def places_of(outer: Column) -> Column:
-        return F.concat(outer.places, F.array(outer.last.places))
+        def left(own: Column, before: Column, gone: Column) -> Column:
+            return F.concat(own, F.when(gone > 0, F.slice(before, gone + 1, F.size(before))).otherwise(before))
 
-    def spans_of(outer: Column) -> Column:
-        return F.concat(outer.spans, F.array(outer.last.spans))
-
-    def outer_step(outer: Column, start: Column) -> Column:
-        chunk = F.slice(token_array, start, F.lit(CHUNK))
-        return F.struct(
-            F.aggregate(chunk, resumed(outer.last), _step).alias("last"),
-            places_of(outer).alias("places"),
-            spans_of(outer).alias("spans"),
-        )
+        return let(made, lambda last: F.struct(
+            left(last.tags, outer.tags, last.gone).alias("tags"), left(last.open, outer.open, last.gone).alias("open"),
+            last.n.alias("n"), last.opened.alias("opened"),
+            F.concat(outer.places, F.array(last.places)).alias("places"),
+            F.concat(outer.spans, F.array(last.spans)).alias("spans"),
+        ))
 
     start = F.struct(
-        F.struct(
-            F.array().cast("array<int>").alias("ids"),
-            F.array().cast("array<string>").alias("tags"),
-            F.lit(0).alias("n"), F.lit(0).alias("opened"),
-            empty_places.alias("places"), empty_spans.alias("spans"),
-        ).alias("last"),
-        F.array().cast(f"array<array<{_PLACE}>>").alias("places"),
-        F.array().cast(f"array<array<{_SPAN}>>").alias("spans"),
+        no_tags.alias("tags"), no_open.alias("open"), F.lit(0).alias("n"), F.lit(0).alias("opened"),
+        F.array().cast(f"array<array<{_PLACE}>>").alias("places"), F.array().cast(f"array<array<{_SPAN}>>").alias("spans"),
     )
 
     def finish(outer: Column) -> Column:
-        end = outer.last.n + 1
-        left_open = F.transform(
-            outer.last.ids, lambda i: F.struct(i.alias("node_id"), end.alias("end_id"))
-        )
+        left_open = F.transform(outer.open, lambda e: F.struct(e.id.alias("node_id"), (outer.n + 1).alias("end_id")))
         # Every element has one span; sorted by id they stand in open order.
         return F.struct(
-            F.flatten(places_of(outer)).alias("places"),
-            F.sort_array(F.concat(F.flatten(spans_of(outer)), left_open)).alias("spans"),
+            F.flatten(outer.places).alias("places"),
+            F.sort_array(F.concat(F.flatten(outer.spans), left_open)).alias("spans"),
         )
 
     return F.aggregate(starts, start, outer_step, finish)
@@ -383,9 +462,9 @@ def class_list(attrs: Column) -> Column:
     return F.when(value.isNull(), F.array().cast("array<string>")).otherwise(found)
 
 
-def _node_text(token: Column, place: Column) -> Column:
+def _node_text(token: Column, pre: Column) -> Column:
     raw = token.raw
-    blank = F.rlike(raw, F.lit(r"^[ \n\t\f\r]+$")) & ~place.pre
+    blank = F.rlike(raw, F.lit(r"^[ \n\t\f\r]+$")) & ~pre
     squeezed = F.when(F.contains(raw, F.lit("\n")), "\n").otherwise(" ")
     comment = F.regexp_replace(raw, "(?s)^<!--(.*)-->$|^</(.*)>$", "$1$2")
     return (
@@ -397,66 +476,155 @@ def _node_text(token: Column, place: Column) -> Column:
     )
 
 
-def nodes(html: Column) -> Column:
+def _leaf_kind(op: Column, special: Column) -> Column:
+    return (
+        F.when(op == "void", "E")
+        .when(op == "raw", "S")
+        .when(op.isin("text", "cdata"), F.when(special & (op == "text"), "S").otherwise("T"))
+        .when(op == "comment", "C")
+        .otherwise("D")
+    )
+
+
+def _node(token: Column, node_id: Column, end_id: Column, parent: Column, depth: Column, kind: Column, pre: Column) -> Column:
+    is_element = kind == "E"
+    return let(
+        F.when(is_element, attributes(token.raw)),
+        lambda a: F.struct(
+            node_id.alias("node_id"), end_id.alias("end_id"), parent.alias("parent_id"), depth.alias("depth"),
+            kind.alias("kind"), F.when(is_element, token.tag).alias("tag"), a.alias("attrs"),
+            F.when(is_element, class_list(a)).alias("classes"),
+            _node_text(token, pre & (token.op == "text")).alias("text"),
+        ),
+    )
+
+
+def nodes(html: Column, implied: Column | None = None) -> Column:
     """The page's nodes in document order.
 
     ``kind`` is E (element), T (readable text), S (text of script, style and
     the like), C (comment) or D (declaration).  An end tag closes everything up
-    to the nearest open element of its name; one without a match is ignored;
-    no end tag is ever implied.
+    to the nearest open element of its name; one without a match is ignored.
+    No end tag is implied, unless ``implied`` is true: then start tags end what
+    HTML lets them end (see ``IMPLIED_ENDS``).
     """
+    implied = F.lit(False) if implied is None else F.coalesce(implied, F.lit(False))
+    enders = sorted(_rules_starts().intersection(VOID_TAGS))
+
+    def is_tag(token: Column) -> Column:
+        return token.op.isin("open", "close") | (implied & (token.op == "void") & token.tag.isin(*enders))
 
     def build(token_array: Column) -> Column:
-        heads = F.filter(token_array, lambda t: t.op != "close")
-
-        def assemble(walked: Column) -> Column:
-            def node(token: Column, index: Column) -> Column:
-                place = F.get(walked.places, index)
-                kind = (
-                    F.when(token.op.isin("open", "void"), "E")
-                    .when(token.op == "raw", "S")
-                    .when(token.op.isin("text", "cdata"), F.when(place.special, "S").otherwise("T"))
-                    .when(token.op == "comment", "C")
-                    .otherwise("D")
-                )
-                end_id = F.when(
-                    place.ordinal > 0, F.get(walked.spans, place.ordinal - 1).end_id
-                ).otherwise(index + 2)
-                attrs = F.when(kind == "E", attributes(token.raw))
-                return let(
-                    attrs,
-                    lambda a: F.struct(
-                        (index + 1).alias("node_id"),
-                        end_id.alias("end_id"),
-                        place.parent_id.alias("parent_id"),
-                        place.depth.alias("depth"),
-                        kind.alias("kind"),
-                        F.when(kind == "E", token.tag).alias("tag"),
-                        a.alias("attrs"),
-                        F.when(kind == "E", class_list(a)).alias("classes"),
-                        _node_text(token, place).alias("text"),
-                    ),
-                )
-
-            return F.transform(heads, node)
-
-        return let(_walk(token_array), assemble)
+        # A tag with the leaves up to the next one; the first stands for the page's begin.
+        at = F.concat(
+            F.array(F.lit(-1)),
+            F.filter(F.transform(token_array, lambda t, i: F.when(is_tag(t), i)), lambda i: i.isNotNull()),
+        )
+
+        def walk(places_of: Column) -> Column:
+            items = F.transform(
+                places_of,
+                lambda i, j: let(F.get(token_array, i), lambda t: F.struct(
+                    F.coalesce(t.op, F.lit("begin")).alias("op"), F.coalesce(t.tag, F.lit("")).alias("tag"),
+                    (F.coalesce(F.get(places_of, j + 1), F.size(token_array)) - i - 1).alias("leaves"),
+                )),
+            )
+            return let(items, lambda all_of: let(_walk(all_of, implied), lambda walked: assemble(places_of, all_of, walked)))
+
+        def assemble(places_of: Column, items: Column, walked: Column) -> Column:
+            def run(item: Column, j: Column) -> Column:
+                place, i = F.get(walked.places, j), F.get(places_of, j)
+                has_head = item.op.isin("open", "void")
+                end_id = F.when(place.ordinal > 0, F.get(walked.spans, place.ordinal - 1).end_id).otherwise(place.n + 2)
+                head = F.when(has_head, F.array(let(F.get(token_array, i), lambda t: _node(
+                    t, place.n + 1, end_id, place.parent_id, place.depth, F.lit("E"), F.lit(False)))))
+                before = place.n + F.when(has_head, 1).otherwise(0)
+
+                def leaf(k: Column) -> Column:
+                    return let(F.get(token_array, i + k), lambda t: _node(
+                        t, before + k, before + k + 1, place.within, place.depth_within, _leaf_kind(t.op, place.special), place.pre))
+
+                leaves = F.when(item.leaves > 0, F.transform(F.sequence(F.lit(1), item.leaves), leaf))
+                none = F.array().cast(f"array<{NODE}>")
+                return F.concat(F.coalesce(head, none), F.coalesce(leaves, none))
+
+            return F.flatten(F.transform(items, run))
+
+        return let(at, walk)
 
     return let(tokens(html), build)
 
 
+def _rules_starts() -> set[str]:
+    return {tag for starts, _, _ in IMPLIED_ENDS for tag in starts}
+
+
+def page(html: Column, implied: Column | None = None) -> Column:
+    """Struct of the page's ``nodes`` and its readable texts.
+
+    ``raw`` has the texts as they are, ``glued`` without white space around
+    them, ``lined`` those that are left with a newline after each, as bytes;
+    ``at`` says for each node, and at last for the page's end, where in them
+    its own begin.
+    """
+
+    def with_texts(all_nodes: Column) -> Column:
+        raw = F.transform(all_nodes, lambda n: F.when(n.kind == "T", n.text).otherwise(""))
+        return let(raw, lambda texts: let(F.transform(texts, strip), lambda shown: joined(all_nodes, texts, shown)))
+
+    def joined(all_nodes: Column, texts: Column, shown: Column) -> Column:
+        sizes = F.zip_with(texts, shown, lambda t, s: F.struct(
+            F.octet_length(t).alias("raw"), F.octet_length(s).alias("glued"),
+            F.when(s == "", 0).otherwise(F.octet_length(s) + 1).alias("lined")))
+        start = F.struct(*(F.lit(0).alias(form) for form in ("raw", "glued", "lined")))
+
+        def step(before: Column, size: Column) -> Column:
+            after = F.struct(*((before[form] + size[form]).alias(form) for form in ("raw", "glued", "lined")))
+            return F.struct(after.alias("state"), before.alias("out"))
+
+        end = F.struct(F.lit(0).alias("raw"), F.lit(0).alias("glued"), F.lit(0).alias("lined"))
+        lines = F.transform(F.filter(shown, lambda s: s != ""), lambda s: F.concat(s, F.lit("\n")))
+        return F.struct(
+            all_nodes.alias("nodes"), F.array_join(texts, "").cast("binary").alias("raw"),
+            F.array_join(shown, "").cast("binary").alias("glued"), F.array_join(lines, "").cast("binary").alias("lined"),
+            scan(F.concat(sizes, F.array(end)), start, step, "struct<raw:int,glued:int,lined:int>").alias("at"),
+        )
+
+    return let(nodes(html, implied), with_texts)
+
+
+@built_once
+def page_of(column: str = "html", p_mode: str | None = None) -> Column:
+    """A markup column as a page; a column may hold ``html5`` where end tags are implied."""
+    return page(F.col(column), None if p_mode is None else F.col(p_mode) == "html5")
+
+
 @built_once
 def nodes_of(column: str = "html") -> Column:
     """The node array of a markup column."""
     return nodes(F.col(column))
 
 
-def node_table(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """One row per node."""
-    return pages.select(key, F.inline(nodes_of()))
+def sibling_numbers(all_nodes: Column) -> Column:
+    """For each node its position among its parent's children, from 1.
+
+    Sorted by parent, children stand together in document order.
+    """
+    by_parent = F.sort_array(F.transform(all_nodes, lambda n: F.struct(n.parent_id.alias("parent"), n.node_id.alias("id"))))
 
+    def step(last: Column, child: Column) -> Column:
+        no = F.when(child.parent == last.parent, last.no + 1).otherwise(1)
+        return F.struct(
+            F.struct(child.parent.alias("parent"), no.alias("no")).alias("state"),
+            F.struct(child.id.alias("id"), no.alias("no")).alias("out"))
+
+    start = F.struct(F.lit(-1).alias("parent"), F.lit(0).alias("no"))
+    numbered = scan(by_parent, start, step, "struct<id:int,no:int>")
+    return F.transform(F.sort_array(numbered), lambda n: n.no)
 
-def with_sibling_no(node_rows: DataFrame, key: str = "page_id") -> DataFrame:
-    """Position of each node among its parent's children, from 1."""
-    order = Window.partitionBy(key, "parent_id").orderBy("node_id")
-    return node_rows.withColumn("sibling_no", F.row_number().over(order))
+
+def node_table(pages: DataFrame, key: str = "page_id") -> DataFrame:
+    """One row per node; ``sibling_no`` is its position among its parent's children, from 1."""
+    numbered = let(nodes_of(), lambda all_of: F.arrays_zip(all_of.alias("node"), sibling_numbers(all_of).alias("sibling_no")))
+    rows = pages.select(key, F.inline(numbered).alias("node", "sibling_no"))
+    return rows.select(key, "node.*", "sibling_no")

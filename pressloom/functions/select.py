@@ -1,7 +1,9 @@
-"""Selection over a page's node array.
+"""Selection over a page's nodes.
 
-``doc`` is always the node array of one page.  Elements found are node structs,
-so a scope is a slice of the array and no selection needs a join or a shuffle.
+``doc`` is always one page (see ``html.page``), a scope an array of its nodes.
+Elements found are node structs, so a scope is a slice of the array, an
+element's text a piece of the page's, and no selection needs a join or a
+shuffle.
 """
 
 from __future__ import annotations
@@ -87,7 +89,7 @@ def find_first(scope: Column, test: Test) -> Column:
 
 
 def descendants(doc: Column, element: Column) -> Column:
-    return F.slice(doc, element.node_id + 1, element.end_id - element.node_id - 1)
+    return F.slice(doc.nodes, element.node_id + 1, element.end_id - element.node_id - 1)
 
 
 def children(doc: Column, element: Column) -> Column:
@@ -96,7 +98,7 @@ def children(doc: Column, element: Column) -> Column:
 
 def following(doc: Column, element: Column) -> Column:
     """Every node after the element's start, also beyond its end."""
-    return F.slice(doc, element.node_id + 1, F.size(doc))
+    return F.slice(doc.nodes, element.node_id + 1, F.size(doc.nodes))
 
 
 def is_inside(node: Column, element: Column) -> Column:
@@ -108,58 +110,51 @@ def find_chain(doc: Column, *tests: Test) -> Column:
 
     def narrow(outer: Column, rest: tuple[Test, ...]) -> Column:
         inner = F.filter(
-            doc,
+            doc.nodes,
             lambda n: rest[0](n) & F.exists(outer, lambda a: is_inside(n, a)),
         )
         return inner if len(rest) == 1 else let(inner, lambda found: narrow(found, rest[1:]))
 
-    outermost = find_all(doc, tests[0])
+    outermost = find_all(doc.nodes, tests[0])
     return outermost if len(tests) == 1 else let(outermost, lambda o: narrow(o, tests[1:]))
 
 
 # -- text -------------------------------------------------------------------
 
 
-def _readable(scope: Column) -> Column:
-    return F.transform(F.filter(scope, lambda n: n.kind == "T"), lambda n: n.text)
+def _text(doc: Column, node: Column, form: str) -> Column:
+    """The node's part of the page's joined text of that form; nothing for what is not readable."""
 
+    def cut(start: Column) -> Column:
+        return F.substring(doc[form], start + 1, F.get(doc["at"], node.end_id - 1)[form] - start).cast("string")
 
-def _or_own_text(element: Column, joined: Column) -> Column:
-    """A string node stands for itself; only readable ones have text."""
-    return F.when(
-        element.kind != "E", F.when(element.kind == "T", element.text).otherwise("")
-    ).otherwise(joined)
+    return let(F.when(node.node_id > 0, F.get(doc["at"], node.node_id - 1)[form]).otherwise(0), cut)
 
 
-def text_raw(doc: Column, element: Column) -> Column:
+def text_raw(doc: Column, node: Column) -> Column:
     """All readable text below, untouched inside, trimmed outside."""
-    return strip(
-        _or_own_text(element, F.array_join(_readable(descendants(doc, element)), ""))
-    )
+    return strip(_text(doc, node, "raw"))
 
 
-def text_stripped(doc: Column, element: Column, separator: str = "") -> Column:
-    """Readable strings below, each trimmed, blank ones dropped, joined."""
-    pieces = F.transform(_readable(descendants(doc, element)), strip)
-    kept = F.filter(pieces, lambda t: t != "")
-    return F.when(element.kind == "E", F.array_join(kept, separator)).otherwise(
-        strip(_or_own_text(element, F.lit("")))
-    )
+def text_stripped(doc: Column, node: Column) -> Column:
+    """Readable strings below, each trimmed, one after the other."""
+    return _text(doc, node, "glued")
+
+
+def text_lines(doc: Column, node: Column) -> Column:
+    """Readable strings below, each trimmed, blank ones dropped, one a line."""
+    return F.regexp_replace(_text(doc, node, "lined"), "\n\\z", "")
 
 
 def single_string(doc: Column, node: Column) -> Column:
     """The node's only string: its own, or the one at the end of an only-child chain."""
-    below = descendants(doc, node)
 
-    def end_of_chain(inner: Column) -> Column:
-        last = F.element_at(inner, -1)
+    def end_of_chain(last: Column) -> Column:
         # A chain has one node per level and ends in a string.
-        chain = (F.size(inner) == last.depth - node.depth) & (last.kind != "E")
-        return F.when((F.size(inner) > 0) & chain, last.text)
+        chain = (node.end_id - node.node_id - 1 == last.depth - node.depth) & (last.kind != "E")
+        return F.when((node.end_id > node.node_id + 1) & chain, last.text)
 
-    return F.when(node.kind != "E", node.text).otherwise(
-        F.when(node.end_id > node.node_id + 1, let(below, end_of_chain))
-    )
+    return F.when(node.kind != "E", node.text).otherwise(let(F.get(doc.nodes, node.end_id - 2), end_of_chain))
 
 
 def drop_blank(texts: Column) -> Column:

@@ -40,6 +40,35 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.aggregate(nothing, value, lambda bound, _: bound, lambda bound: body(bound))
 
 
+#: Items per inner step of a scan.
+SCAN_CHUNK = 128
+
+
+def scan(items: Column, start: Column, step: Callable[[Column, Column], Column], out_type: str) -> Column:
+    """What ``step`` makes of each item in turn, as an array.
+
+    ``step`` maps a state and an item to a struct of the next ``state`` and
+    ``out``.  Appending to an array copies it, so the items are taken in
+    chunks, and the time grows with their number and not with its square.
+    """
+    count = F.size(items)
+    starts = F.when(count > 0, F.sequence(F.lit(1), count, F.lit(SCAN_CHUNK))).otherwise(F.array().cast("array<int>"))
+    none = F.array().cast(f"array<{out_type}>")
+
+    def inner(held: Column, item: Column) -> Column:
+        return let(step(held.state, item), lambda made: F.struct(
+            made.state.alias("state"), F.concat(held.outs, F.array(made.out)).alias("outs")))
+
+    def outer(held: Column, at: Column) -> Column:
+        part = F.aggregate(
+            F.slice(items, at, F.lit(SCAN_CHUNK)), F.struct(held.state.alias("state"), none.alias("outs")), inner)
+        return let(part, lambda last: F.struct(
+            last.state.alias("state"), F.concat(held.done, F.array(last.outs)).alias("done")))
+
+    whole = F.struct(start.alias("state"), F.array().cast(f"array<array<{out_type}>>").alias("done"))
+    return F.aggregate(starts, whole, outer, lambda held: F.flatten(held.done))
+
+
 def strip(text: Column) -> Column:
     """Trim white space of every kind from both ends."""
     return F.btrim(text, F.lit(WHITESPACE))

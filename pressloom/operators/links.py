@@ -56,7 +56,7 @@ def listing_hrefs(doc: Column, profile=F.col) -> Column:
             a.isNotNull().alias("found"), a.attrs["href"].alias("href")
         ))
 
-    items = F.filter(doc, lambda n: matches(doc, n, profile("link_item")))
+    items = F.filter(doc.nodes, lambda n: matches(doc, n, profile("link_item")))
     targets = F.filter(F.transform(items, target), lambda t: t.found)
 
     def collect(found: Column) -> Column:
@@ -73,7 +73,7 @@ def listing_hrefs(doc: Column, profile=F.col) -> Column:
 
 @built_once
 def _page_hrefs() -> Column:
-    return let(html.nodes_of(), lambda doc: listing_hrefs(doc))
+    return let(html.page_of("html", "p_mode"), lambda doc: listing_hrefs(doc))
 
 
 def discover(listings: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -93,9 +93,9 @@ def discover(listings: DataFrame, profiles: DataFrame) -> DataFrame:
 
 def nav_links(doc: Column, scope_tag: str = "nav") -> Column:
     """Link targets inside every element of one tag, in document order."""
-    scopes = S.find_all(doc, S.has_tag(scope_tag))
+    scopes = S.find_all(doc.nodes, S.has_tag(scope_tag))
     anchors = F.filter(
-        doc,
+        doc.nodes,
         lambda n: S.has_tag("a")(n) & S.has_attr("href")(n)
         & F.exists(scopes, lambda s: S.is_inside(n, s)),
     )

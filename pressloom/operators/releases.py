@@ -29,7 +29,7 @@ def failure(reason: str, url: Column) -> Column:
 @built_once
 def _page_fields() -> Column:
     """All fields of a page, from its markup and the profile columns beside it."""
-    return let(html.nodes_of(), _fields)
+    return let(html.page_of("html", "p_mode"), _fields)
 
 
 def _fields(doc: Column) -> Column:
@@ -38,7 +38,7 @@ def _fields(doc: Column) -> Column:
         locate(doc, profile("selectors"), "content"),
         lambda hit: F.when(
             hit.node.isNotNull() | (profile("content_mode") == "page_fallback"),
-            by_mode(profile("content_mode"), doc, hit.node),
+            by_mode(profile("content_mode"), doc, hit.node, profile("dedupe_text")),
         ),
     )
     return F.struct(
@@ -85,8 +85,8 @@ def _read(pages: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 
 def extract_field(pages: DataFrame, build, name: str, keys: tuple[str, ...] = ("page_id",)) -> DataFrame:
-    """A single expression over each page's nodes; ``build`` maps nodes to a value."""
-    return pages.select(*keys, let(html.nodes_of(), build).alias(name))
+    """A single expression over each page; ``build`` maps the page to a value."""
+    return pages.select(*keys, let(html.page_of(), build).alias(name))
 
 
 def one_per_address(releases: DataFrame, rank: Column) -> DataFrame:

@@ -6,13 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pressloom.functions import select as S
+from pressloom.functions.html import NODE
 from pressloom.functions.text import let
 
-_ROOT_NODE = (
-    "struct<node_id:int,end_id:int,parent_id:int,depth:int,kind:string,tag:string,"
-    "attrs:map<string,string>,classes:array<string>,text:string>"
-)
-
 
 def matches(doc: Column, node: Column, step: Column) -> Column:
     """Whether a node passes every test the step gives."""
@@ -41,10 +37,10 @@ def matches(doc: Column, node: Column, step: Column) -> Column:
 def root_of(doc: Column) -> Column:
     """A node around the whole page, to start a path from."""
     return F.struct(
-        F.lit(0).alias("node_id"), (F.size(doc) + 1).alias("end_id"), F.lit(-1).alias("parent_id"),
+        F.lit(0).alias("node_id"), (F.size(doc.nodes) + 1).alias("end_id"), F.lit(-1).alias("parent_id"),
         F.lit(-1).alias("depth"), F.lit("E").alias("kind"),
         *(F.lit(None).alias(n) for n in ("tag", "attrs", "classes", "text")),
-    ).cast(_ROOT_NODE)
+    ).cast(NODE)
 
 
 def follow(doc: Column, start: Column, steps: Column) -> Column:

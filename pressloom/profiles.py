@@ -21,7 +21,7 @@ PROFILE_SCHEMA = (
     "array<struct<site:string,base_url:string,page_prefix:string,page_suffix:string,"
     "first_is_base:boolean,first_page:int,page_cap:int,stop_after:int,robots:boolean,"
     f"link_item:{STEP},link_steps:array<{STEP}>,links_distinct:boolean,href_required:boolean,"
-    f"selectors:array<{SELECTOR}>,content_mode:string,extra_label:string,extra_default:string>>"
+    f"selectors:array<{SELECTOR}>,content_mode:string,p_mode:string,dedupe_text:boolean,extra_label:string,extra_default:string>>"
 )
 
 
@@ -58,6 +58,8 @@ class Selector:
 
 @dataclass(frozen=True)
 class SiteProfile:
+    """``p_mode``: ``parser`` (no end tag is implied) or ``html5``.  ``dedupe_text``: a text comes once from ``all_strings``."""
+
     site: str
     base_url: str
     page_prefix: str
@@ -73,6 +75,8 @@ class SiteProfile:
     link_steps: tuple[Step, ...] = field(default=())
     links_distinct: bool = False
     href_required: bool = False
+    p_mode: str = "parser"
+    dedupe_text: bool = False
     extra_label: str | None = None
     extra_default: str | None = None
 

@@ -6,8 +6,8 @@ from pressloom.functions import select as S
 
 def read(one_column, page, mode):
     expression = text.let(
-        html.nodes(F.col("v")),
-        lambda d: text.let(S.find_first(d, S.has_tag("main")), lambda e: mode(d, e)),
+        html.page(F.col("v")),
+        lambda d: text.let(S.find_first(d.nodes, S.has_tag("main")), lambda e: mode(d, e)),
     )
     return one_column([f"<main>{page}</main>"], expression)[0]
 
@@ -55,3 +55,28 @@ def test_page_fallback(one_column):
     assert read(one_column, nested.format("<div>x</div><div>y</div>z"), content.page_fallback) == "x\n\ny"
     assert read(one_column, nested.format(" only "), content.page_fallback) == "only"
     assert read(one_column, "nothing", content.page_fallback) is None
+
+
+def once(doc, element):
+    return content.all_strings(doc, element, F.lit(True))
+
+
+def test_each_string_once(one_column):
+    assert read(one_column, "<p>a <b>x</b></p>bare", once) == "ax\n\nbare"
+    assert read(one_column, "<p> </p><i>x</i><b><u>y</u></b><div><p>q</p>r</div>", once) == "x\ny\nq\n\nr"
+    assert read(one_column, "<p>a<br>b<p>c</p>d", once) == "abcd\n\n\n".strip()
+    assert read(one_column, "<p><br></p>a" * 300, once).count("a") == 300
+
+
+def test_texts_beside_each_other(one_column):
+    """Every text form of every element against strings joined node by node."""
+    pages = ["", "x", "<p> a <b>b </b>\n c</p><script>s</script>é<i>\u2003</i>", "<div><p>a\n\nb </p><!--c--> 日本 </div>t", "<p>" * 50 + " x " + "</p>y" * 50]
+    forms = (lambda d, n: S.text_raw(d, n), lambda d, n: S.text_stripped(d, n), lambda d, n: S.text_lines(d, n))
+    expression = text.let(html.page(F.col("v")), lambda d: F.transform(d.nodes, lambda n: F.struct(
+        n.node_id.alias("id"), n.end_id.alias("end"), n.kind.alias("kind"), n.text.alias("text"),
+        F.array(*(form(d, n) for form in forms)).alias("forms"))))
+    for nodes in one_column(pages, expression):
+        for n in nodes:
+            own = [m.text for m in nodes if n.id <= m.id < n.end and m.kind == "T"]
+            shown = [t.strip() for t in own]
+            assert list(n.forms) == ["".join(own).strip(), "".join(shown), "\n".join(t for t in shown if t)]

@@ -1,10 +1,13 @@
 import html as html_lib
 import random
+import time
 from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
 
 from pressloom.functions import html
+from pressloom.functions import select as S
+from pressloom.functions.text import let
 
 ODD_PAGES = [
     "", "plain", "a < b and c > d", "<p>one<p>two</b></p></div>x", "<br/><br>t</br>",
@@ -142,3 +145,101 @@ def test_kinds(one_column):
     page = ["<!doctype html><p>a<!--c--><script>s</script></p>"]
     kinds = one_column(page, F.transform(html.nodes(F.col("v")), lambda n: n.kind))
     assert kinds == [["D", "E", "T", "C", "E", "S"]]
+
+
+class ImpliedModel(Model):
+    """The same with implied ends, sought in the stack for each rule in turn."""
+
+    def handle_starttag(self, tag, attrs):
+        for starts, ended, limits in html.IMPLIED_ENDS:
+            if tag in starts:
+                names = [t for t, _ in self.stack]
+                low = max((i + 1 for i, t in enumerate(names) if t in limits), default=0)
+                within = [i for i in range(low, len(names)) if names[i] in ended]
+                while within and len(self.stack) > within[0]:
+                    self.nodes[self.stack.pop()[1]][2] = len(self.nodes)
+        super().handle_starttag(tag, attrs)
+
+
+def test_implied_ends(one_column):
+    rng = random.Random(12)
+    names = ["p", "p", "b", "div", "ul", "ol", "li", "li", "dl", "dt", "dd", "table", "tbody", "tr", "td", "th", "button", "select",
+             "optgroup", "option", "span", "h1", "ruby", "rb", "rt"]
+    pages = ["<p>a<p>b<div>c<p>d</div>e", "<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", "<table><tr><td><p>x<td>y<tr><td>z</table>",
+             "<p><button><p>in</button><p>out", "<dl><dt>a<dd>b<dt>c</dl>", "<p>a<hr>b", "<p><span><div>x"]
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randint(1, 90)):
+            name = rng.choice(names)
+            parts.append(rng.choice((f"<{name}>", f"<{name}>", f"</{name}>", "<br>", "<!--c-->")))
+        pages.append("".join(parts))
+    picked = F.transform(
+        html.nodes(F.col("v"), F.lit(True)),
+        lambda n: F.struct(n.tag.alias("tag"), n.depth.alias("depth"), (n.end_id - 1).alias("end")),
+    )
+    for page, row in zip(pages, one_column(pages, picked)):
+        model = ImpliedModel()
+        model.feed(page)
+        assert [(n.tag, n.depth, n.end) for n in row] == model.finish(), page
+
+
+def test_deep_pages(one_column):
+    """Elements beyond those at hand: nested, closed from far above, closed one by one."""
+    rng = random.Random(13)
+    names = [f"t{i}" for i in range(40)]
+    pages = ["<div>" * 500 + "x" + "</div>" * 500 + "y", "<a>" + "<b>" * 300 + "</a>x<b>y", "".join(f"<{n}>" for n in names * 5) + "</t3>x</t0>y</t1>"]
+    for _ in range(15):
+        parts, opened = [], []
+        for _ in range(600):
+            if rng.random() < 0.7 or not opened:
+                opened.append(rng.choice(names))
+                parts.append(f"<{opened[-1]}>")
+            elif rng.random() < 0.1:
+                parts.append(f"</{rng.choice(opened)}>")
+            else:
+                parts.append(f"</{opened.pop()}>")
+        pages.append("".join(parts))
+    for page, nodes in zip(pages, spans(one_column, pages)):
+        model = Model()
+        model.feed(page)
+        assert nodes == model.finish(), page[:100]
+
+
+def test_siblings(one_column):
+    pages = [p for p in ODD_PAGES if len(p) < 500] + ["<p>a<b>c</b>d<p>e</p>f</p>g<i>" + "<u>x</u>" * 300, "<div>" * 100 + "x</div>y" * 100]
+    picked = let(html.nodes(F.col("v")), lambda d: F.zip_with(
+        d, html.sibling_numbers(d), lambda n, no: F.struct(n.parent_id.alias("parent"), no.alias("no"))))
+    for row in one_column(pages, picked):
+        seen = {}
+        for n in row:
+            seen[n.parent] = seen.get(n.parent, 0) + 1
+            assert n.no == seen[n.parent]
+
+
+def _seconds(one_column, pages, expression):
+    """The least time of three runs for each page."""
+    for page in pages:
+        one_column([page], expression)
+    times = [[] for _ in pages]
+    for _ in range(3):
+        for i, page in enumerate(pages):
+            started = time.perf_counter()
+            one_column([page], expression)
+            times[i].append(time.perf_counter() - started)
+    return [min(t) for t in times]
+
+
+def test_unclosed_tags_cost_no_more_than_others(one_column):
+    sizes = F.transform(html.nodes(F.col("v")), lambda n: n.end_id)
+    short, long = _seconds(one_column, ["<p>t" * 8_000, "<p>t" * 16_000], sizes)
+    assert long < 2.2 * short, (short, long)
+
+
+def test_text_of_nested_elements_costs_no_more_than_its_length(one_column):
+    def lengths(doc):
+        return F.transform(S.find_all(doc.nodes, S.is_element), lambda e: F.length(F.concat(S.text_stripped(doc, e), S.text_raw(doc, e), S.text_lines(doc, e), F.coalesce(S.single_string(doc, e), F.lit("")))))
+
+    expression = let(html.page(F.col("v")), lengths)
+    short, long = _seconds(one_column, ["<div>" * n + "text" + "</div>" * n for n in (2_500, 5_000)], expression)
+    assert one_column(["<div>" * 5_000 + "text" + "</div>" * 5_000], expression)[0] == [16] * 5_000
+    assert long < 2.5 * short, (short, long)
