@@ -6,6 +6,8 @@ comparison start from the same rows and grow with the given tables.
 
 from __future__ import annotations
 
+import re
+
 from pressloom.profiles import SITES
 
 SITE_NAMES = tuple(p.site for p in SITES)
@@ -20,8 +22,10 @@ def site_name(number: str) -> str:
     return _case({str(i): f"'{s}'" for i, s in enumerate(SITE_NAMES)}, number)
 
 
-# Release pages in every site's markup around the paragraphs of a given page.
-# Three variants take turns: complete, with fallbacks, with fields missing.
+# Release pages in every site's markup around a whole given page.  Three
+# variants take turns: complete, with fallbacks, with fields missing.  What a
+# variant does not put in a container stands after it.  ``plain`` is the page
+# with its paragraphs turned into divisions.
 _VARIANTS = {
     "aoc": (
         """'<h1 class="big display-4"> ' || head || ' </h1><div class="evo-create-type"><div class="row"><div class="col-auto"> May 1, 2024 </div><div class="col-auto">News</div></div></div><span class="field__label">Issues:</span> <i>x</i><span class="field__items"><a>Health</a>, <a> Labor </a></span><div class="evo-press-release__body">' || body || '<p> </p><p>Last <b>words</b></p></div>'""",
@@ -40,8 +44,8 @@ _VARIANTS = {
     ),
     "manchin": (
         """'<h1 class="main_page_title">' || head || '</h1><span class="date   black">May 4, 2024</span>' || body""",
-        """'<title>Press Release ' || head || '</title><span class="black date">on June 14, 2024 here</span><div id="newscontent"><div class="article"><div id="press"><div>' || head || '</div><div> </div><div>second <b>part</b></div>tail</div></div></div>'""",
-        """'<!-- Press Release --><div id="press"> only ' || head || ' text </div>'""",
+        """'<title>Press Release ' || head || '</title><span class="black date">on June 14, 2024 here</span><div id="newscontent"><div class="article"><div id="press"><div>' || head || '</div><div> </div><div>second <b>part</b></div>tail</div></div></div>' || plain""",
+        """'<!-- Press Release --><div id="press"> only ' || head || ' text </div>' || plain""",
     ),
     "markey": (
         """'<h1 class="Heading Heading--h2">' || head || '</h1><div class="ArticleBlock__date"> May 5, 2024</div><div class="RawHTML">' || body || '<br/>x<p>a<br>b</p></div>'""",
@@ -72,71 +76,96 @@ _VARIANTS = {
 
 
 def _variant_case(site: str) -> str:
-    return _case({str(i): v for i, v in enumerate(_VARIANTS[site])}, "variant")
+    whole = (v if "|| body" in v or "|| plain" in v else f"{v} || body" for v in _VARIANTS[site])
+    return _case({str(i): v for i, v in enumerate(whole)}, "variant")
 
 
 _BODY = _case({f"'{s}'": _variant_case(s) for s in SITE_NAMES}, "site")
 
+_PARTS = f"""
+  SELECT page_id, url, {site_name('page_id % 9')} AS site,
+         CAST(floor(page_id / 9) AS BIGINT) % 3 AS variant, html AS body,
+         replace(replace(html, '<p>', '<div>'), '</p>', '</div>') AS plain,
+         regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS head,
+         regexp_extract(html, '<li><a href="([^"]*)"', 1) AS link
+  FROM pages
+"""
+
 SITE_PAGES = f"""
 SELECT page_id, site, url,
        '<html><body><nav><a href="/n">n</a></nav>' || ({_BODY}) || '</body></html>' AS html
-FROM (
-  SELECT page_id, url, {site_name('page_id % 9')} AS site,
-         CAST(floor(page_id / 9) AS BIGINT) % 3 AS variant,
-         regexp_extract(html, '</h1>(.*)</article>', 1) AS body,
-         regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS head
-  FROM pages
-) parts
+FROM ({_PARTS}) parts
 """
 
-# Listing pages in every site's markup around the navigation links of a page.
+# Listing pages: whole given pages, the items of their navigation turned into
+# each site's markup.  What stands before and after a link, and an odd item.
 _ITEMS = {
-    "aoc": ("""'<div class="h3"><a href="' || href || '">t</a><a href="/no">u</a></div>'""",
-            """'<div class="h3"><a>none</a><a href="' || href || '">t</a></div>'"""),
-    "hawley": ("""'<article class="et_pb_post x"><h2 class="entry-title"><a href="' || href || '">t</a></h2></article>'""",
-               """'<article class="et_pb_post"><h2 class="entry-title"><a>none</a></h2></article>'"""),
-    "lee": ("""'<div class="element"><h2 class="element-title"><b><a href="' || href || '">t</a></b></h2></div>'""",
-            """'<div class="element"><h2 class="element-title">none</h2></div>'"""),
-    "manchin": ("""'<a href="/newsroom/press-releases/' || href || '">t</a><a href="/newsroom/press-releases/' || href || '">t</a>'""",
-                """'<a href="/newsroom/' || href || '">t</a>'"""),
-    "markey": ("""'<a class="ArticleBlock__title__link" href="' || href || '">t</a>'""",
-               """'<a class="ArticleBlock__title__link">t</a>'"""),
-    "mtg": ("""'<h2 class="newsie-titler"><a href="' || href || '">t</a></h2>'""",
-            """'<h2 class="newsie-titler">t</h2>'"""),
-    "pocan": ("""'<a class="btn btn-primary" href="' || href || '">Read More</a>'""",
-              """'<a class="btn-primary" href="' || href || '">Read More </a>'"""),
-    "sanders": ("""'<h2 class="elementor-post__title"><a href="' || href || '">t</a></h2>'""",
-                """'<h2 class="elementor-post__title"><a name="x">t</a></h2>'"""),
-    "stefanik": ("""'<table><tr><td class="recordListTitle"><a href="' || href || '">t</a></td></tr></table>'""",
-                 """'<td class="recordListTitle"></td>'"""),
+    "aoc": ('<div class="h3"><a href="', '</a><a href="/no">u</a></div>', '<div class="h3"><a>none</a></div>'),
+    "hawley": ('<article class="et_pb_post x"><h2 class="entry-title"><a href="', '</a></h2></article>',
+               '<article class="et_pb_post"><h2 class="entry-title"><a>none</a></h2></article>'),
+    "lee": ('<div class="element"><h2 class="element-title"><b><a href="', '</a></b></h2></div>',
+            '<div class="element"><h2 class="element-title">none</h2></div>'),
+    "manchin": ('<a href="/newsroom/press-releases', '</a>', '<a href="/newsroom/x">t</a>'),
+    "markey": ('<a class="ArticleBlock__title__link" href="', '</a>', '<a class="ArticleBlock__title__link">t</a>'),
+    "mtg": ('<h2 class="newsie-titler"><a href="', '</a></h2>', '<h2 class="newsie-titler">t</h2>'),
+    "pocan": ('<a class="btn btn-primary" href="', '</a>', '<a class="btn-primary">Read More</a>'),
+    "sanders": ('<h2 class="elementor-post__title"><a href="', '</a></h2>',
+                '<h2 class="elementor-post__title"><a name="x">t</a></h2>'),
+    "stefanik": ('<table><tr><td class="recordListTitle"><a href="', '</a></td></tr></table>', '<td class="recordListTitle"></td>'),
 }
 
 
-def _items(site: str) -> str:
-    full, odd = _ITEMS[site]
-    linked = [full.replace("href ||", f"{h} ||") for h in ("'/r/' || slug", "slug || '/../' || slug || '?a=1'")]
-    twisted = odd.replace("href ||", "slug ||")
-    return (
-        f"CASE WHEN variant = 3 THEN '' WHEN variant = 2 THEN {twisted} "
-        f"WHEN variant = 1 THEN {linked[0]} || {twisted} ELSE {linked[0]} || {linked[1]} END"
-    )
+def _listing(site: str) -> str:
+    before, after, odd = _ITEMS[site]
+    items = f"replace(replace(html, '<li><a href=\"', '<li>{before}'), '</a></li>', '{after}</li>')"
+    if site == "pocan":  # the text of a link says what it is
+        items = f"regexp_replace({items}, '>[^<>]*</a></li>', '>Read More</a></li>', 'g')"
+    more = f"'<ul><li>{before}/' || slug || '/../' || slug || '?a=1\">Read More{after}</li></ul>'"
+    # Every thirteenth page keeps its own navigation, which holds no item of the site's.
+    return _case({"3": "html", "2": f"html || '{odd}'", "1": f"{items} || {more}"}, "variant").removesuffix("END") + f"ELSE {items} END"
 
 
-_LISTING_BODY = _case({f"'{s}'": _items(s) for s in SITE_NAMES}, "site")
+_LISTING = _case({f"'{s}'": _listing(s) for s in SITE_NAMES}, "site")
 
 # Page numbers run without a gap within each site.
 LISTINGS = f"""
-SELECT page_id, site, page_no,
-       '<html><body>' || ({_LISTING_BODY}) || '<footer>' || slug || '</footer></body></html>' AS html
+SELECT page_id, site, page_no, {_LISTING} AS html
 FROM (
-  SELECT page_id, {site_name('page_id % 9')} AS site,
+  SELECT page_id, html, {site_name('page_id % 9')} AS site,
          CAST(floor(page_id / 9) AS BIGINT) AS page_no,
-         CAST(length(html) % 4 AS BIGINT) AS variant,
+         CAST(length(html) % 13 AS BIGINT) AS variant,
          regexp_extract(url, '//([a-z]*)', 1) AS slug
   FROM pages
 ) parts
 """
 
+_ORIGIN = _case(
+    {f"'{p.site}'": f"'{re.match('https?://[^/]*', p.base_url)[0]}{'/newsroom/press-releases' if p.site == 'manchin' else ''}'" for p in SITES},
+    "site")
+
+# Release pages captured at the address their own first link has on their site;
+# several of a site may share one.
+CAPTURES = f"""
+SELECT page_id, site, {_ORIGIN} || link AS url,
+       '<html><body><nav><a href="/n">n</a></nav>' || ({_BODY}) || '</body></html>' AS html
+FROM ({_PARTS}) parts
+"""
+
+# One of them for each address, with the page's place on its site and minutes between.
+SINGLE_CAPTURES = f"""
+SELECT page_id, site, url, html, CAST(floor(page_id / 9) AS BIGINT) AS page_no, CASE WHEN page_id % 2 = 0 THEN 30 ELSE -30 END AS shift
+FROM ({CAPTURES}) every
+JOIN (SELECT min(page_id) AS page_id FROM ({CAPTURES}) each_one GROUP BY url) first USING (page_id)
+"""
+
+# Rules for the one site that heeds them: one listing page, and some of the links.
+CRAWL_ROBOTS = """
+SELECT 'markey' AS site, 'User-agent: *' || chr(10) || 'Disallow: /news/press-releases?pagenum_rs='
+       || CAST(CAST(floor(count(*) / 18) AS BIGINT) AS STRING) || chr(10)
+       || string_agg(CASE WHEN page_id % 45 = 4 THEN 'Disallow: ' || regexp_extract(html, '<li><a href="([^"]*)"', 1) ELSE '# no rule' END, chr(10)) AS text
+FROM pages
+"""
+
 # Listing page results: page numbers without a gap, about a third of them empty.
 PAGE_STATS = f"""
 SELECT {site_name('event_id % 9')} AS site,
@@ -163,6 +192,9 @@ SELECT doc_id, source AS member,
 FROM documents
 """
 
+#: Name of the agent whose rules are looked up.
+AGENT = "Press Release Reader/1.0"
+
 # A robots file per host of the given pages, in one of several shapes.
 ROBOTS = """
 SELECT site, CASE CAST(min(page_id) AS BIGINT) % 5
@@ -175,3 +207,18 @@ SELECT site, CASE CAST(min(page_id) AS BIGINT) % 5
 FROM (SELECT page_id, regexp_extract(url, '//([^/?#]*)', 1) AS site FROM pages) hosts
 GROUP BY site
 """
+
+# A robots file per site of some hundred rules a page: some block single pages or
+# their beginnings, most fit none, and one that allows comes before all.
+MANY_RULES = f"""
+SELECT site, 'User-agent: *' || chr(10) || 'Allow: /en/1' || chr(10) || string_agg(rule, chr(10)) AS text
+FROM (
+  SELECT {site_name('page_id % 9')} AS site,
+         CASE page_id % 3 WHEN 0 THEN 'Disallow: /en/' || CAST(page_id AS STRING)
+              WHEN 1 THEN 'Disallow: ' || substr(regexp_extract(url, '//[^/]*(/[^?#]*)', 1), 1, 5) ELSE '# none' END AS rule
+  FROM pages
+  UNION ALL
+  SELECT {site_name('page_id % 9')} AS site, 'Disallow: /none/' || CAST(page_id * 400 + k AS STRING) || repeat('x', CAST(k % 40 AS INT)) AS rule
+  FROM pages CROSS JOIN (SELECT DISTINCT doc_id % 400 AS k FROM documents) steps
+) rules GROUP BY site
+"""

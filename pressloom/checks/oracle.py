@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pressloom.checks import derived
+from pressloom.functions.html import IMPLIED_ENDS
 from pressloom.profiles import SITES, Step
 
 ORACLE: dict[str, str] = {}
@@ -101,30 +102,43 @@ toks AS MATERIALIZED (
 )"""
 
 
+def _kept(tag: str, tags: str) -> str:
+    """How many of the open elements a start tag leaves open, each rule sought in the whole list."""
+    places = f"range(1, len({tags}) + 1)"
+
+    def rule(starts, ended, limits) -> str:
+        low = f"coalesce(list_max(list_filter({places}, lambda i: {tags}[i] IN {_list(' '.join(limits))})), 0)"
+        first = f"list_min(list_filter({places}, lambda i: i > {low} AND {tags}[i] IN {_list(' '.join(ended))}))"
+        return f"CASE WHEN {tag} IN {_list(' '.join(starts))} THEN coalesce({first} - 1, len({tags})) ELSE len({tags}) END"
+
+    return "least(" + ", ".join(rule(*r) for r in IMPLIED_ENDS) + ")"
+
+
 _NODES = rf"""
 fold AS (
   SELECT DISTINCT page_id, CAST(-1 AS BIGINT) AS pos, CAST([] AS BIGINT[]) AS ids,
-         CAST([] AS VARCHAR[]) AS tags, CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS closed,
+         CAST([] AS VARCHAR[]) AS tags, CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS closed, CAST(0 AS BIGINT) AS closed_at,
          CAST(0 AS BIGINT) AS parent_id, CAST(0 AS BIGINT) AS depth, false AS special, false AS pre
   FROM toks
   UNION ALL
   SELECT page_id, pos + 1,
-         CASE WHEN op = 'open' THEN list_append(ids, n + 1) WHEN hit > 0 THEN ids[:hit - 1] ELSE ids END,
-         CASE WHEN op = 'open' THEN list_append(tags, tag) WHEN hit > 0 THEN tags[:hit - 1] ELSE tags END,
+         CASE WHEN op = 'open' THEN list_append(ids[:kept], n + 1) WHEN hit > 0 THEN ids[:hit - 1] ELSE ids[:kept] END,
+         CASE WHEN op = 'open' THEN list_append(tags[:kept], tag) WHEN hit > 0 THEN tags[:hit - 1] ELSE tags[:kept] END,
          CASE WHEN op = 'close' THEN n ELSE n + 1 END,
-         CASE WHEN hit > 0 THEN ids[hit:] ELSE CAST([] AS BIGINT[]) END,
-         CAST(coalesce(ids[-1], 0) AS BIGINT), CAST(len(ids) AS BIGINT),
+         CASE WHEN hit > 0 THEN ids[hit:] ELSE ids[kept + 1:] END, n + 1,
+         CAST(CASE WHEN kept > 0 THEN ids[kept] ELSE 0 END AS BIGINT), CAST(kept AS BIGINT),
          op = 'text' AND list_has_any(tags, ['script', 'style', 'template', 'rt', 'rp']),
          op = 'text' AND list_has_any(tags, ['pre', 'textarea'])
   FROM (
     SELECT f.*, t.op, t.tag,
            CASE WHEN t.op = 'close' AND list_contains(f.tags, t.tag)
-                THEN len(f.tags) - list_position(list_reverse(f.tags), t.tag) + 1 ELSE 0 END AS hit
+                THEN len(f.tags) - list_position(list_reverse(f.tags), t.tag) + 1 ELSE 0 END AS hit,
+           {{KEPT}} AS kept
     FROM fold f JOIN toks t ON t.page_id = f.page_id AND t.pos = f.pos + 1
   ) s
 ),
 totals AS (SELECT page_id, max(n) AS total FROM fold GROUP BY page_id),
-ends AS (SELECT page_id, unnest(closed) AS node_id, n + 1 AS end_id FROM fold WHERE len(closed) > 0),
+ends AS (SELECT page_id, unnest(closed) AS node_id, closed_at AS end_id FROM fold WHERE len(closed) > 0),
 bare AS MATERIALIZED (
   SELECT f.page_id, f.n AS node_id,
          CASE WHEN t.op = 'open' THEN coalesce(e.end_id, x.total + 1) ELSE f.n + 1 END AS end_id,
@@ -209,13 +223,14 @@ def with_tokens(source: str, query: str) -> str:
     return f"WITH {tokens_cte(source)} {query}"
 
 
-def with_nodes(source: str, query: str, *more: str) -> str:
-    ctes = ", ".join((tokens_cte(source), _NODES, *more))
+def with_nodes(source: str, query: str, *more: str, implied: bool = False) -> str:
+    kept = f"CASE WHEN t.op IN ('open', 'void') THEN {_kept('t.tag', 'f.tags')} ELSE len(f.tags) END" if implied else "len(f.tags)"
+    ctes = ", ".join((tokens_cte(source), _NODES.replace("{KEPT}", kept), *more))
     return f"WITH RECURSIVE {ctes} {query}"
 
 
-def with_texts(source: str, query: str, *more: str) -> str:
-    return with_nodes(source, query, _TEXTS, *more)
+def with_texts(source: str, query: str, *more: str, implied: bool = False) -> str:
+    return with_nodes(source, query, _TEXTS, *more, implied=implied)
 
 
 def cls(token: str, alias: str = "") -> str:
@@ -308,6 +323,8 @@ ORACLE["html_nodes"] = with_nodes(
 
 ORACLE["html_nodes_whole"] = with_nodes(
     GIVEN, "SELECT page_id, node_id, end_id, parent_id, depth, kind, tag, text FROM nodes")
+ORACLE["html_nodes_html5"] = with_nodes(
+    GIVEN, "SELECT page_id, node_id, end_id, parent_id, depth, kind, tag, text FROM nodes", implied=True)
 ORACLE["html_attrs_whole"] = with_nodes(GIVEN, "SELECT page_id, node_id, name, value FROM attrs")
 ORACLE["html_attrs"] = with_nodes(
     SITE,
@@ -438,6 +455,14 @@ MODES = {
             f"string_agg(CASE WHEN d.tag = 'p' THEN {_P_BLOCK} WHEN d.tag = 'br' THEN chr(10) ELSE {_LINE} END, '' ORDER BY d.node_id)"
         ))
     ),
+    "strings_once": _mode(
+        strip(squeeze(
+            f"string_agg(CASE WHEN d.tag = 'p' THEN {_P_BLOCK} WHEN d.tag = 'br' THEN chr(10) ELSE {_LINE} END, '' ORDER BY d.node_id)"
+        )),
+        f"""(d.tag = 'br' AND d.kind = 'E') OR NOT EXISTS (
+          SELECT 1 FROM el a WHERE {inside('d', 'a')} AND {inside('a', 'box')} AND a.tag <> 'br'
+            AND CASE WHEN a.tag = 'p' THEN a.glued ELSE coalesce({strip('a.single')}, '') END <> '')""",
+    ),
     "blocks": _mode(
         strip(squeeze(
             f"""string_agg(CASE WHEN d.tag = 'p' THEN d.glued || {_NL2}
@@ -641,7 +666,6 @@ def _site_sql() -> tuple[list[str], str]:
 
 
 _SITE_CTES, _SITE_ROWS = _site_sql()
-_PG = f"pg AS MATERIALIZED ({derived.SITE_PAGES})"
 _SOUND = """
 sound AS (
   SELECT page_id, site, url, CASE WHEN NOT broken THEN title END AS title,
@@ -652,8 +676,10 @@ sound AS (
 )"""
 
 
-def with_sites(query: str) -> str:
-    return with_texts(SITE, query, _PG, *_SITE_CTES, f"site_rows AS ({_SITE_ROWS})", _SOUND)
+def with_sites(query: str, source: str = derived.SITE_PAGES) -> str:
+    return with_texts(
+        f"SELECT page_id, html FROM ({source}) sources", query, f"pg AS MATERIALIZED ({source})", *_SITE_CTES,
+        f"site_rows AS ({_SITE_ROWS})", _SOUND)
 
 
 ORACLE["extract_sites"] = with_sites("SELECT page_id, site, title, date, extra, content, error FROM sound")
@@ -674,9 +700,6 @@ ORACLE["fmt_release"] = with_sites(
 
 # -- links ------------------------------------------------------------------
 
-_LISTING = f"SELECT page_id, html FROM ({derived.LISTINGS}) l"
-
-
 def _listing_sql() -> str:
     rows = []
     for p in SITES:
@@ -726,15 +749,15 @@ def joined_url(base: str, href: str) -> str:
         ELSE {origin} || '/' || ltrim({final}, '/') || {tail} END"""
 
 
-def with_links(query: str) -> str:
+def with_links(query: str, *more: str, listings: str = derived.LISTINGS) -> str:
     return with_texts(
-        _LISTING, query,
-        f"pg AS MATERIALIZED ({derived.LISTINGS})",
+        f"SELECT page_id, html FROM ({listings}) l", query,
+        f"pg AS MATERIALIZED ({listings})",
         f"found AS MATERIALIZED ({_listing_sql()})",
         f"""links AS MATERIALIZED (
           SELECT site, page_no, row_number() OVER (PARTITION BY page_id ORDER BY item_no) AS link_pos, href,
                  {joined_url('base', 'href')} AS url
-          FROM (SELECT pg.site, pg.page_no, f.*, {_BASE} AS base FROM found f JOIN pg USING (page_id)) x)""",
+          FROM (SELECT pg.site, pg.page_no, f.*, {_BASE} AS base FROM found f JOIN pg USING (page_id)) x)""", *more,
     )
 
 
@@ -810,15 +833,25 @@ ORACLE["url_robots"] = """
 SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') || '/robots.txt' AS robots_url FROM pages
 """
 
-# The whole extraction, its stop rules told from running counts of empties.
-ORACLE["crawl_releases"] = with_links(
-    f"""SELECT l.site, l.page_no, l.link_pos, l.url,
-          CASE WHEN t.url IS NULL THEN NULL WHEN l.site = 'manchin' THEN 'x' END AS content,
-          CASE WHEN t.url IS NULL THEN 'Error: Timeout occurred while loading ' || l.url END AS error
-        FROM links l JOIN reached r ON r.site = l.site AND r.page_no = l.page_no
-        LEFT JOIN (SELECT DISTINCT url FROM links WHERE page_no % 2 = 0) t ON t.url = l.url"""
-).replace(" SELECT l.site,", f""",
-counts AS (SELECT p.site, p.page_no, count(k.url) AS n FROM pg p LEFT JOIN links k ON k.site = p.site AND k.page_no = p.page_no GROUP BY ALL),
+_TITLED = "titles AS (SELECT page_id, arg_min(raw_text, node_id) AS title FROM el WHERE tag = 'h1' GROUP BY page_id)"
+ORACLE["content_paras_html5"] = with_texts(
+    GIVEN,
+    """SELECT p.page_id, t.title, m.content
+       FROM pages p LEFT JOIN titles t ON t.page_id = p.page_id LEFT JOIN made_content m ON m.page_id = p.page_id""",
+    _box("tag = 'article'"), f"made_content AS ({MODES['paragraphs']})", _TITLED, implied=True,
+)
+ORACLE["content_strings_once"] = with_texts(
+    GIVEN,
+    "SELECT p.page_id, m.content FROM pages p LEFT JOIN made_content m ON m.page_id = p.page_id",
+    _box("tag = 'article'"), f"made_content AS ({MODES['strings_once']})",
+)
+
+# Links, and the pages that a crawl reaches, its stop rules told from running
+# counts of empties.  ``open`` says which listings and links may be read.
+_REACHED = """
+counts AS (
+  SELECT p.site, p.page_no, count(k.url) AS n FROM pg p LEFT JOIN kept k ON k.site = p.site AND k.page_no = p.page_no GROUP BY ALL
+),
 ranged AS (SELECT * FROM counts WHERE page_no >= {_FIRST} AND page_no <= coalesce({_CAP}, page_no)),
 marks AS (
   SELECT *, max(CASE WHEN n > 0 THEN page_no END) OVER (PARTITION BY site ORDER BY page_no) AS last_full FROM ranged
@@ -828,15 +861,55 @@ stops AS (
   WHERE page_no - coalesce(last_full, {_FIRST} - 1) >= {_STOP} GROUP BY site
 ),
 reached AS (
-  SELECT r.site, r.page_no FROM ranged r LEFT JOIN stops s ON s.site = r.site
+  SELECT r.site, r.page_no, r.n FROM ranged r LEFT JOIN stops s ON s.site = r.site
   WHERE r.page_no < coalesce(s.stop, r.page_no + 1)
+)""".replace("{_FIRST}", _FIRST).replace("{_CAP}", _CAP).replace("{_STOP}", _STOP)
+
+ORACLE["stream_cut"] = with_links(
+    "SELECT site, page_no, n AS n_releases FROM reached", "kept AS (SELECT * FROM links)", _REACHED)
+
+_BLOCKED = f"""
+ruled AS MATERIALIZED (
+  SELECT regexp_extract(line, 'Disallow: (.*)', 1) AS path
+  FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM ({{derived_robots}}) r) l WHERE line LIKE 'Disallow: %'
+),
+kept AS MATERIALIZED (
+  SELECT k.* FROM links k
+  WHERE k.site <> 'markey' OR NOT (
+    EXISTS (SELECT 1 FROM ruled WHERE starts_with('/news/press-releases?pagenum_rs=' || k.page_no, path))
+    OR EXISTS (SELECT 1 FROM ruled WHERE starts_with(regexp_replace(k.url, '^[a-z]+://[^/?#]*', ''), path)))
+)""".replace("{derived_robots}", derived.CRAWL_ROBOTS)
+
+
+def _joined_pages(links: str, captures: str, condition: str) -> str:
+    """Links with what their pages hold; the captures' rows come from a query of their own."""
+    return f"""
+      SELECT l.site, l.page_no, l.link_pos, l.url, c.title, c.date, c.content,
+             CASE WHEN c.url IS NULL THEN 'Error: Timeout occurred while loading ' || l.url ELSE c.error END AS error
+      FROM ({links}) l LEFT JOIN ({captures}) c ON c.site = l.site AND c.url = l.url AND {condition}"""
+
+
+_AGAIN = f"SELECT page_id, site, page_no, CASE WHEN page_no % 7 = 0 AND md5(html || '<p>again</p>') > md5(html) THEN html || '<p>again</p>' ELSE html END AS html FROM ({derived.LISTINGS}) twice"
+_ONE_CAPTURE = f"""SELECT page_id, site, url, html FROM ({derived.CAPTURES}) every_capture
+    QUALIFY row_number() OVER (PARTITION BY site, url ORDER BY md5(html) DESC) = 1"""
+ORACLE["crawl_releases"] = _joined_pages(
+    with_links(
+        "SELECT k.site, k.page_no, k.link_pos, k.url FROM kept k JOIN reached r ON r.site = k.site AND r.page_no = k.page_no",
+        _BLOCKED, _REACHED, listings=_AGAIN),
+    with_sites("SELECT site, url, title, date, content, error FROM sound", _ONE_CAPTURE), "true",
 )
-SELECT l.site,""", 1)
+ORACLE["stream_crawl"] = "SELECT site, page_no, link_pos, url, title, content, error FROM (" + _joined_pages(
+    with_links("SELECT site, page_no, link_pos, url FROM links"),
+    with_sites(
+        "SELECT s.site, s.url, s.title, s.date, s.content, s.error, pg.page_no, pg.shift FROM sound s JOIN pg USING (page_id)",
+        derived.SINGLE_CAPTURES),
+    "abs(c.page_no % 720 + c.shift - l.page_no % 720) <= 120",
+) + ") met"
 
 # -- robots -----------------------------------------------------------------
 
 _ROBOT_LINES = rf"""
-files AS ({derived.ROBOTS}),
+files AS ({{FILES}}),
 lines AS (
   SELECT site, unnest(range(len(ls))) AS no, unnest(ls) AS line
   FROM (SELECT site, string_split(text, chr(10)) AS ls FROM files) f
@@ -872,11 +945,17 @@ rules AS MATERIALIZED (
   SELECT site, entry_no, array_to_string(agents, '|') AS agents, rule_no, allow, path
   FROM all_rules WHERE name <> 'crawl-delay'
 )"""
-ORACLE["robots_rules"] = f"WITH {_ROBOT_LINES} SELECT * FROM rules"
+
+
+def with_robots(query: str, *more: str, files: str = derived.ROBOTS) -> str:
+    return "WITH " + ", ".join((_ROBOT_LINES.replace("{FILES}", files), *more)) + " " + query
+
+
+ORACLE["robots_rules"] = with_robots("SELECT * FROM rules")
 _VERDICTS = rf"""
 entries AS (
   SELECT site, entry_no, list_contains(agents, '*') AS star,
-         list_bool_or(list_transform(agents, lambda a: contains('educational press release scraper (educational reasons only)', lower(a)))) AS hit
+         list_bool_or(list_transform(agents, lambda a: contains('press release reader', lower(a)))) AS hit
   FROM all_rules GROUP BY ALL
 ),
 chosen AS (
@@ -893,8 +972,11 @@ verdicts AS (
       WHERE r.site = t.site AND starts_with(CASE WHEN t.path = '' THEN '/' ELSE t.path END, r.path)), true) AS allowed
   FROM targets t
 )"""
-ORACLE["robots_filter"] = f"WITH {_ROBOT_LINES}, {_VERDICTS} SELECT page_id, site, allowed FROM verdicts"
-ORACLE["robots_links"] = f"WITH {_ROBOT_LINES}, {_VERDICTS} SELECT page_id, site, url FROM verdicts WHERE allowed"
+ORACLE["robots_filter"] = with_robots("SELECT page_id, site, allowed FROM verdicts", _VERDICTS)
+ORACLE["robots_links"] = with_robots("SELECT page_id, site, url FROM verdicts WHERE allowed", _VERDICTS)
+ORACLE["robots_many_rules"] = with_robots(
+    "SELECT page_id, site, allowed FROM verdicts",
+    _VERDICTS.replace("regexp_extract(url, '//([^/?#]*)', 1)", derived.site_name("page_id % 9")), files=derived.MANY_RULES)
 
 # -- spelling ---------------------------------------------------------------
 

@@ -6,22 +6,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def first_stop(stats: DataFrame) -> DataFrame:
-    """Per site, the page that completes the first run of empty pages.
+def votes(stats: DataFrame) -> DataFrame:
+    """For pages that could end a run of empty ones, how many of the run are empty: site, page_no, stop_after, votes.
 
-    ``stats`` has one row per page with consecutive numbers and the length of
-    the run that stops the site in ``stop_after``.  Each empty page votes for
-    the pages whose run it could belong to; a page with all votes ends a run.
-    Votes are grouped by site *and* page and the site minimum is taken from
-    partial minima, so no task ever holds a whole site.
+    ``stats`` has one row per page and the length of the run that stops the
+    site in ``stop_after``.  Each empty page votes for the pages whose run it
+    could belong to.
     """
     empty = stats.where(F.col("n_releases") == 0)
     last = F.col("page_no") + F.col("stop_after") - 1
-    votes = empty.select(
+    each = empty.select(
         "site", "stop_after", F.explode(F.sequence(F.col("page_no"), last)).alias("page_no")
     )
-    runs = votes.groupBy("site", "page_no", "stop_after").agg(F.count("*").alias("votes"))
-    ends = runs.where(F.col("votes") == F.col("stop_after"))
+    return each.groupBy("site", "page_no", "stop_after").agg(F.count("*").alias("votes"))
+
+
+def first_stop(stats: DataFrame) -> DataFrame:
+    """Per site, the page that completes the first run of empty pages.
+
+    A page with all votes ends a run.  Votes are grouped by site *and* page and
+    the site minimum is taken from partial minima, so no task ever holds a
+    whole site.
+    """
+    ends = votes(stats).where(F.col("votes") == F.col("stop_after"))
     return ends.groupBy("site").agg(F.min("page_no").alias("stop_page"))
 
 

@@ -76,21 +76,29 @@ def _page_hrefs() -> Column:
     return let(html.page_of("html", "p_mode"), lambda doc: listing_hrefs(doc))
 
 
-def discover(listings: DataFrame, profiles: DataFrame) -> DataFrame:
+def discover(listings: DataFrame, profiles: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Links of captured listing pages: site, page_no, link_pos, href, url.
 
-    ``listings`` needs ``site``, ``page_no`` and ``html``.
+    ``listings`` needs ``site``, ``page_no`` and ``html``; ``keys`` are further
+    columns to keep.
     """
     read = listings.join(profiles, "site").select(
-        "site", "page_no", "base_url",
+        "site", "page_no", *keys, "base_url",
         _page_hrefs().alias("hrefs"),
     )
-    return read.select("site", "page_no", "base_url", F.posexplode("hrefs").alias("pos", "href")).select(
-        "site", "page_no", (F.col("pos") + 1).alias("link_pos"), "href",
+    return read.select("site", "page_no", *keys, "base_url", F.posexplode("hrefs").alias("pos", "href")).select(
+        "site", "page_no", (F.col("pos") + 1).alias("link_pos"), *keys, "href",
         join_url(F.col("base_url"), F.col("href")).alias("url"),
     )
 
 
+def listing_counts(listings: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Links of each captured listing page: site, page_no, n_releases; a failed page has none."""
+    hrefs = _page_hrefs()
+    count = let(hrefs, lambda found: F.when(found.isNull(), 0).otherwise(F.size(found)))
+    return listings.join(profiles, "site").select("site", "page_no", count.cast("bigint").alias("n_releases"))
+
+
 def nav_links(doc: Column, scope_tag: str = "nav") -> Column:
     """Link targets inside every element of one tag, in document order."""
     scopes = S.find_all(doc.nodes, S.has_tag(scope_tag))

@@ -17,13 +17,16 @@ NO_TITLE = "No title found"
 NO_DATE = "No date found"
 
 
+# The messages of error rows, before the address.
+MESSAGES = {
+    "missing": "Error: Timeout occurred while loading ",
+    "broken": "Error: An error occurred while scraping ",
+}
+
+
 def failure(reason: str, url: Column) -> Column:
-    """Error text of a release that could not be read; reasons are fixed values."""
-    words = {
-        "missing": "Timeout occurred while loading ",
-        "broken": "An error occurred while scraping ",
-    }
-    return F.concat(F.lit("Error: " + words[reason]), url)
+    """Error text of a release that could not be read."""
+    return F.concat(F.lit(MESSAGES[reason]), url)
 
 
 @built_once

@@ -1,123 +1,107 @@
-"""Robots rules as data: parse the text, test addresses, filter links."""
+"""Robots rules as data: parse the files, look addresses up by prefix, filter links."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressloom.functions.text import let, strip
 from pressloom.functions.urls import robots_path
+from pressloom.session import cut_lineage
 
-_RULE = "struct<allow:boolean,path:string>"
-_ENTRY = f"struct<agents:array<string>,rules:array<{_RULE}>>"
 
+def _lines(robots: DataFrame) -> DataFrame:
+    """Lines of each site's file that mean something: blank, agent or rule.
 
-def _line(raw: Column) -> Column:
-    """One line as struct(blank, key, value)."""
-    plain = strip(F.regexp_replace(raw, "#.*$", ""))
-    return F.struct(
-        (raw == "").alias("blank"),
-        F.lower(strip(F.regexp_extract(plain, "^([^:]*):", 1))).alias("key"),
+    Of several files of a site the one with the largest checksum counts.
+    """
+    one = robots.groupBy("site").agg(F.max_by("text", F.md5("text")).alias("text"))
+    lines = one.select("site", F.posexplode(F.split("text", "\r\n|\r|\n")).alias("no", "raw"))
+    plain = strip(F.regexp_replace("raw", "#.*$", ""))
+    named = lines.select(
+        "site", "no", (F.col("raw") == "").alias("blank"),
+        F.lower(strip(F.regexp_extract(plain, "^([^:]*):", 1))).alias("name"),
         strip(F.regexp_extract(plain, "^[^:]*:(.*)$", 1)).alias("value"),
     )
+    # Delay and rate lines end a list of agents as rules do.
+    rule = F.col("name").isin("allow", "disallow", "crawl-delay", "request-rate")
+    typed = named.withColumns({"agent": F.col("name") == "user-agent", "rule": rule})
+    return typed.where("blank OR agent OR rule")
 
 
-def rule_entries(text: Column) -> Column:
-    """Entries of a robots file in order, each with its agents and its rules.
+def rules_table(robots: DataFrame) -> DataFrame:
+    """One row per rule: site, entry_no, agents, rule_no, allow, path.
 
     An entry is a run of agent lines and the rules after it.  A blank line or
-    an agent line after a rule ends it; agents without a rule are dropped.
+    an agent line after a rule ends it; agents without a rule are dropped, and
+    so are rules without an agent.  Windows see one site's file each, which
+    came as one value.
     """
-    lines = F.transform(F.split(text, "\r\n|\r|\n"), _line)
-    nobody = F.array().cast("array<string>")
-    no_rules = F.array().cast(f"array<{_RULE}>")
-    start = F.struct(
-        nobody.alias("agents"), no_rules.alias("rules"),
-        F.array().cast(f"array<{_ENTRY}>").alias("done"),
+    in_file = Window.partitionBy("site").orderBy("no")
+    in_entry = Window.partitionBy("site", "entry")
+    starts = F.col("blank") | (F.col("agent") & F.coalesce(F.lag("rule").over(in_file), F.lit(False)))
+    agents = F.collect_list(F.when(F.col("agent"), F.col("value"))).over(
+        in_entry.orderBy("no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    entries = (
+        _lines(robots)
+        .withColumn("entry", F.sum(starts.cast("int")).over(in_file))
+        .withColumns({"agents": agents, "since": F.min(F.when(F.col("agent"), F.col("no"))).over(in_entry)})
+        .where(F.col("rule") & (F.col("no") > F.col("since")))
     )
-
-    def closed(state: Column) -> Column:
-        entry = F.struct(state.agents.alias("agents"), state.rules.alias("rules"))
-        return F.when(F.size(state.rules) > 0, F.concat(state.done, F.array(entry))).otherwise(
-            state.done
-        )
-
-    def step(state: Column, line: Column) -> Column:
-        agent = line.key == "user-agent"
-        rule = line.key.isin("allow", "disallow", "crawl-delay", "request-rate") & (
-            F.size(state.agents) > 0
-        )
-        ends = line.blank | (agent & (F.size(state.rules) > 0))
-        # Delay and rate lines end the agent list as rules do; they hold for
-        # nothing here, which a rule that no path starts with expresses.
-        new_rule = F.when(
-            line.key.isin("allow", "disallow"),
-            F.struct(
-                ((line.key == "allow") | (line.value == "")).alias("allow"),
-                robots_path(line.value).alias("path"),
-            ),
-        ).otherwise(F.struct(F.lit(True).alias("allow"), F.lit(None).cast("string").alias("path")))
-        return F.struct(
-            F.when(ends & agent, F.array(line.value))
-            .when(ends, nobody)
-            .when(agent, F.concat(state.agents, F.array(line.value)))
-            .otherwise(state.agents)
-            .alias("agents"),
-            F.when(ends, no_rules)
-            .when(rule, F.concat(state.rules, F.array(new_rule)))
-            .otherwise(state.rules)
-            .alias("rules"),
-            F.when(ends, closed(state)).otherwise(state.done).alias("done"),
-        )
-
-    return F.aggregate(lines, start, step, closed)
-
-
-def rules_table(robots: DataFrame) -> DataFrame:
-    """One row per rule: site, entry_no, agents, rule_no, allow, path."""
-    entries = robots.select("site", F.posexplode(rule_entries(F.col("text"))).alias("e", "entry"))
-    return (
-        entries.select(
-            "site", (F.col("e") + 1).alias("entry_no"), "entry.agents",
-            F.posexplode("entry.rules").alias("r", "rule"),
-        )
-        .select("site", "entry_no", "agents", (F.col("r") + 1).alias("rule_no"), "rule.*")
-        .where(F.col("path").isNotNull())
+    numbered = entries.withColumns({
+        "entry_no": F.dense_rank().over(Window.partitionBy("site").orderBy("entry")),
+        "rule_no": F.row_number().over(in_entry.orderBy("no")),
+    })
+    return numbered.where(F.col("name").isin("allow", "disallow")).select(
+        "site", "entry_no", "agents", "rule_no",
+        ((F.col("name") == "allow") | (F.col("value") == "")).alias("allow"),
+        robots_path(F.col("value")).alias("path"),
     )
 
 
-def allowed(entries: Column, user_agent: str, url: Column) -> Column:
-    """Whether the rules let ``user_agent`` fetch ``url``; no rules allow all.
+def prefix_rules(robots: DataFrame, user_agent: str) -> DataFrame:
+    """The rules that hold for the agent, by prefix: site, path, rule_no, allow.
 
-    The first named entry for the agent decides, else the first catch-all one;
-    in it the first rule whose path the address starts with.
+    They are those of the first entry that names the agent, else of the first
+    for all.  Of rules with one path the first counts.
     """
-    agent = user_agent.split("/")[0].lower()
-    named = F.filter(
-        entries,
-        lambda e: ~F.array_contains(e.agents, "*")
-        & F.exists(e.agents, lambda a: F.contains(F.lit(agent), F.lower(a))),
-    )
-    catch_all = F.filter(entries, lambda e: F.array_contains(e.agents, "*"))
-    entry = F.coalesce(F.get(named, F.lit(0)), F.get(catch_all, F.lit(0)))
-
-    def decide(path: Column) -> Column:
-        hits = F.filter(entry.rules, lambda r: F.startswith(path, r.path))
-        return F.get(hits, F.lit(0)).allow
-
-    path = let(robots_path(url), lambda p: F.when(p == "", "/").otherwise(p))
-    return F.coalesce(let(path, decide), F.lit(True))
+    agent = F.lit(user_agent.split("/")[0].lower())
+    for_all = F.array_contains("agents", "*")
+    named = ~for_all & F.exists("agents", lambda a: F.contains(agent, F.lower(a)))
+    ranked = rules_table(robots).withColumn("rank", F.when(named, 0).when(for_all, 1)).where("rank IS NOT NULL")
+    best = F.min(F.struct("rank", "entry_no")).over(Window.partitionBy("site"))
+    chosen = ranked.withColumn("best", best).where("entry_no = best.entry_no AND rank = best.rank")
+    return chosen.groupBy("site", "path").agg(
+        F.min("rule_no").alias("rule_no"), F.min_by("allow", "rule_no").alias("allow"))
+
+
+def verdicts(rows: DataFrame, robots: DataFrame, user_agent: str, url: str = "url") -> DataFrame:
+    """Addresses that a rule fits: site, url, allowed.
+
+    The first rule whose path an address starts with decides.  The rules are
+    an index by prefix: an address is looked up once for each length that
+    paths of its site have, however many rules there are, and no row carries a
+    site's rules.  The rules are saved here.
+    """
+    rules = cut_lineage(prefix_rules(robots, user_agent))
+    lengths = rules.groupBy("site").agg(F.collect_set(F.length("path")).alias("_lengths"))
+    path = let(robots_path(F.col(url)), lambda p: F.when(p == "", "/").otherwise(p))
+    sought = rows.select("site", F.col(url).alias("url"), path.alias("_path")).join(lengths, "site")
+    fitting = F.filter("_lengths", lambda n: n <= F.length("_path"))
+    probes = sought.select("site", "url", F.col("_path"), F.explode(fitting).alias("_length")).select(
+        "site", "url", F.substring(F.col("_path"), F.lit(1), F.col("_length")).alias("path"))
+    return probes.join(rules, ["site", "path"]).groupBy("site", "url").agg(F.min_by("allow", "rule_no").alias("allowed"))
 
 
-def with_rules(rows: DataFrame, robots: DataFrame) -> DataFrame:
-    """Rows of a site with the site's parsed rules in ``robots_entries``."""
-    parsed = robots.select("site", rule_entries(F.col("text")).alias("robots_entries"))
-    return rows.join(parsed, "site", "left")
+def with_verdict(rows: DataFrame, robots: DataFrame, user_agent: str, url: str = "url") -> DataFrame:
+    """Adds ``allowed``; what no rule speaks of is."""
+    known = verdicts(rows, robots, user_agent, url).withColumnsRenamed({"site": "_site", "url": "_url"})
+    met = rows.join(known, (F.col("site") == F.col("_site")) & (F.col(url) == F.col("_url")), "left")
+    return met.withColumn("allowed", F.coalesce("allowed", F.lit(True))).drop("_site", "_url")
 
 
 def permitted(rows: DataFrame, robots: DataFrame, user_agent: str, url: str = "url") -> DataFrame:
     """Only the rows whose address the site's rules allow."""
-    ruled = with_rules(rows, robots)
-    return ruled.where(allowed(F.col("robots_entries"), user_agent, F.col(url))).drop(
-        "robots_entries"
-    )
+    blocked = verdicts(rows, robots, user_agent, url).where(~F.col("allowed")).select(
+        F.col("site").alias("_site"), F.col("url").alias("_url"))
+    return rows.join(blocked, (F.col("site") == F.col("_site")) & (F.col(url) == F.col("_url")), "left_anti")

@@ -57,8 +57,12 @@ def _one_left_out(word: Column) -> Column:
 
 
 def single_keys(word: Column) -> Column:
-    """Hashes of the word and of it without one letter; two words one edit apart share one."""
-    return F.array_distinct(F.transform(F.concat(F.array(word), _one_left_out(word)), lambda w: F.xxhash64(w)))
+    """Hashes of the word and of it without one letter; two words one edit apart share one.
+
+    But for single letters, any two of which are one edit apart: they need no key.
+    """
+    parts = F.filter(F.concat(F.array(word), _one_left_out(word)), lambda w: w != "")
+    return F.array_distinct(F.transform(parts, lambda w: F.xxhash64(w)))
 
 
 def _two_left_out(word: Column) -> Column:
@@ -198,6 +202,16 @@ def _best(left: DataFrame, right: DataFrame) -> DataFrame:
     return graded.groupBy("word").agg(F.min(rank).alias("best")).where(F.col("best").isNotNull())
 
 
+def _with_default(found: DataFrame, words: DataFrame, known: DataFrame, distance: int) -> DataFrame:
+    """Candidates, and for words that are so near to every one of ``known`` the most frequent of those."""
+    least = known.agg(F.min(F.struct((-F.col("freq")).alias("rarity"), "candidate")).alias("least")).first().least
+    if least is None:
+        return found
+    default = F.struct(
+        F.lit(distance).alias("distance"), F.lit(least.rarity).cast("bigint").alias("rarity"), F.lit(least.candidate).alias("candidate"))
+    return found.unionByName(words.select("word", default.alias("best")))
+
+
 def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Best candidate for each distinct unknown word: word, correction.
 
@@ -222,19 +236,14 @@ def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:
         keyed(words.where(n >= LONG - 2), searched_piece_keys(F.col("word"))),
         keyed(known.where(m >= LONG), piece_keys(F.col("candidate"))),
     ))
-    near = cut_lineage(near)
+    near = cut_lineage(_with_default(near, words.where(n == 1), known.where(m == 1), 1))
     settled = near.where("best.distance <= 1").select("word")
     open_words = cut_lineage(short.join(settled, "word", "left_anti"))
     salt = F.pmod(F.xxhash64("candidate"), F.lit(SALTS)).cast("int")
     far = _best(
         keyed(open_words, double_keys(F.col("word"))), keyed(short_known, double_keys(F.col("candidate"), salt)))
-    found = near.unionByName(far)
-    # Any two words of one or two letters are within two edits: the best such word will do.
-    least = known.where(m <= 2).agg(F.min(F.struct((-F.col("freq")).alias("rarity"), "candidate")).alias("least")).first().least
-    if least is not None:
-        default = F.struct(
-            F.lit(2).alias("distance"), F.lit(least.rarity).cast("bigint").alias("rarity"), F.lit(least.candidate).alias("candidate"))
-        found = found.unionByName(open_words.where(n <= 2).select("word", default.alias("best")))
+    # Any two words of one or two letters are within two edits.
+    found = _with_default(near.unionByName(far), open_words.where(n <= 2), known.where(m <= 2), 2)
     best = found.groupBy("word").agg(F.min("best").alias("best"))
     return best.select("word", F.col("best.candidate").alias("correction"))
 

@@ -6,26 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.operators import crawl, links, releases, robots
+from pressloom.operators.prefilter import may_meet
 from pressloom.session import cut_lineage
 from pressloom.sources.pages import with_site
 
-USER_AGENT = "Educational Press Release Scraper (educational reasons only)"
-
 
 def crawl_links(
-    pages: DataFrame, profiles: DataFrame, frontier: DataFrame, robots_files: DataFrame | None = None
+    pages: DataFrame, profiles: DataFrame, frontier: DataFrame, robots_files: DataFrame | None = None, user_agent: str = "*"
 ) -> DataFrame:
-    """Links a run would follow: robots rules, page limits and stop rules applied."""
-    listings = frontier.join(latest_capture(pages, frontier), "url")
+    """Links a run would follow: robots rules, page limits and stop rules applied.
+
+    A listing page that the rules block counts as empty, so it can end a crawl;
+    its markup is not read.
+    """
+    open_pages = frontier
     if robots_files is not None:
         guarded = profiles.where("robots").select("site")
         files = robots_files.join(guarded, "site", "left_semi")
-        listings = robots.permitted(listings, files, USER_AGENT)
-    found = links.discover(listings, profiles)
-    if robots_files is not None:
-        found = robots.permitted(found, files, USER_AGENT)
+        open_pages = cut_lineage(robots.permitted(frontier, files, user_agent))
     # Counted, cut and followed below: kept, so listing markup is read once.
-    found = cut_lineage(found)
+    found = cut_lineage(links.discover(open_pages.join(latest_capture(pages, open_pages), "url"), profiles))
+    if robots_files is not None:
+        found = cut_lineage(robots.permitted(found, files, user_agent))
     stats = links.page_stats(frontier, found)
     reached = crawl.cut_by_profile(stats, profiles).select("site", "page_no")
     return found.join(reached, ["site", "page_no"], "left_semi")
@@ -34,35 +36,42 @@ def crawl_links(
 def latest_capture(pages: DataFrame, frontier: DataFrame) -> DataFrame:
     """One capture of each listing page: url, html.
 
-    Of different captures the one with the largest hash counts, whatever the
-    order they come in; there is no time in a page.
+    Of different captures the one with the largest checksum counts, whatever
+    the order they come in; there is no time in a page.
+    """
+    found = captured(pages, frontier)
+    return found.groupBy("url").agg(F.max_by("html", F.md5("html")).alias("html"))
+
+
+def captured(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Captures of the wanted addresses; others leave where they are read, before any markup moves.
+
+    The addresses are distinct, so the join behind the filter repeats no page.
+    Were it a semi join, Catalyst would move it before the filter.
     """
-    listed = cut_lineage(frontier.select("url").distinct())
-    found = pages.select("url", "html").join(listed, "url", "left_semi")
-    return found.groupBy("url").agg(F.max_by("html", F.xxhash64("html")).alias("html"))
+    targets = cut_lineage(wanted.select("url").distinct())
+    return may_meet(pages.select("url", "html"), targets, "url").join(targets, "url").select("url", "html")
 
 
 def releases_of(
-    pages: DataFrame, profiles: DataFrame, frontier: DataFrame, robots_files: DataFrame | None = None
+    pages: DataFrame, profiles: DataFrame, frontier: DataFrame, robots_files: DataFrame | None = None, user_agent: str = "*"
 ) -> DataFrame:
     """One release row for every followed link, an error row if its page was not captured.
 
-    Followed addresses are saved first, so that Catalyst can send them to the
-    pages instead of moving markup; pages nobody follows are not parsed.  Only
-    fields are joined with the links.  Links to other hosts fetch their pages
+    Followed addresses are saved first; pages nobody follows leave by a Bloom
+    filter in the scan, and are not parsed.  Only fields are joined with the links.  Links to other hosts fetch their pages
     by address.  Of several captures of a page one is used (see
     ``one_per_address``).  Jobs run here.
     """
-    followed = crawl_links(pages, profiles, frontier, robots_files)
+    followed = crawl_links(pages, profiles, frontier, robots_files, user_agent)
     # Small beside the markup; as tables they tell the planner so.
     followed = cut_lineage(followed)
     away = cut_lineage(foreign_targets(followed, profiles))
-    targets = cut_lineage(followed.select("url").distinct())
     # Only pages that are followed are parsed.
-    wanted = pages.join(targets, "url", "left_semi").withColumn("capture", F.xxhash64("html"))
-    home = releases.extract(with_site(wanted, profiles), profiles, keys=("capture",))
-    visited = releases.extract(wanted.join(away, "url"), profiles, keys=("capture",))
-    read = releases.one_per_address(home.unionByName(visited), F.col("capture"))
+    wanted = captured(pages, followed).withColumn("capture", F.md5("html"))
+    columns = ("site", "url", "html", "capture")
+    placed = with_site(wanted, profiles).select(*columns).unionByName(wanted.join(away, "url").select(*columns))
+    read = releases.one_per_address(releases.extract(placed, profiles, keys=("capture",)), F.col("capture"))
     return releases.attach(followed, read).select(
         "site", "page_no", "link_pos", "url", "title", "date", "extras", "content", "error"
     )

@@ -89,3 +89,15 @@ def test_normalise_keeps_sections_and_copies(spark):
     # Punctuation stays on the word and counts as a letter of it.
     fixed = "Title : the house Date : June\n\n\n\nContent : The house And"
     assert got == {1: fixed, 2: fixed, 3: ""}
+
+
+def test_single_letters_share_no_key(spark):
+    """Two thousand unknown letters and as many known ones: no pairs of them, and still the right answer."""
+    known = [(chr(0x4E00 + i), i % 97 + 1) for i in range(2_000)]
+    words = [chr(0x5600 + i) for i in range(2_000)] + ["ab"]
+    rows = spark.createDataFrame([(w,) for w in words], "word STRING")
+    dictionary = spark.createDataFrame(known + [("b", 1_000), ("bc", 500)], "word STRING, freq BIGINT")
+    keys = dictionary.select(F.explode(spelling.single_keys(F.col("word"))).alias("k")).groupBy("k").count()
+    assert keys.agg(F.max("count")).first()[0] <= 2
+    found = {r.word: r.correction for r in spelling.corrections(rows, dictionary).collect()}
+    assert found == {w: "b" for w in words}

@@ -1,3 +1,4 @@
+import random
 from urllib.parse import urljoin
 from urllib.robotparser import RobotFileParser
 
@@ -38,13 +39,32 @@ PATHS = ["", "/", "/a", "/a/b/c", "/x/y", "/a b", "/a%20b/c", "/q?x=1", "/q", "/
 
 def test_robots_agree_with_the_standard_library(spark):
     agent = "News Reader/2.0 (x)"
-    rows = [(t, "https://h.gov" + p) for t in ROBOTS for p in PATHS]
-    frame = spark.createDataFrame(rows, "text STRING, url STRING")
-    verdict = robots.allowed(robots.rule_entries(F.col("text")), agent, F.col("url"))
-    for row in frame.select("text", "url", verdict.alias("ok")).collect():
+    files = spark.createDataFrame(list(enumerate(ROBOTS)), "site INT, text STRING")
+    frame = spark.createDataFrame([(i, "https://h.gov" + p) for i in range(len(ROBOTS)) for p in PATHS], "site INT, url STRING")
+    rows = robots.with_verdict(frame, files, agent).collect()
+    kept = {(r.site, r.url) for r in robots.permitted(frame, files, agent).collect()}
+    assert len(rows) == len(ROBOTS) * len(PATHS)
+    for row in rows:
         parser = RobotFileParser()
-        parser.parse(row.text.splitlines())
-        assert row.ok == (not row.text or parser.can_fetch(agent, row.url)), (row.text, row.url)
+        parser.parse(ROBOTS[row.site].splitlines())
+        wanted = not ROBOTS[row.site] or parser.can_fetch(agent, row.url)
+        assert row.allowed == wanted == ((row.site, row.url) in kept), (ROBOTS[row.site], row.url)
+
+
+def test_many_rules(spark):
+    """Ten thousand rules each of two sites against one after the other."""
+    rng = random.Random(4)
+    words = ["a" + "".join(rng.choice(("a", "b", "c/")) for _ in range(rng.randint(1, 9))) for _ in range(10_000)]
+    rules = {s: [(rng.random() < 0.5, f"/{w}x{i % 7 or ''}") for i, w in enumerate(words)] for s in ("s", "t")}
+    files = spark.createDataFrame(
+        [(s, "User-agent: *\n" + "\n".join(f"{'Allow' if ok else 'Disallow'}: {p}" for ok, p in rs)) for s, rs in rules.items()],
+        "site STRING, text STRING")
+    paths = [f"/{w}x{rng.choice('123abc/')}tail" for w in rng.sample(words, 300)] + ["/", "", "/zzz"]
+    rows = spark.createDataFrame([(s, "https://h.gov" + p) for s in ("s", "t", "u") for p in paths], "site STRING, url STRING")
+    for row in robots.with_verdict(rows, files, "any").collect():
+        path = row.url.removeprefix("https://h.gov") or "/"
+        assert row.allowed == next((ok for ok, p in rules.get(row.site, []) if path.startswith(p)), True), row
+    assert robots.prefix_rules(files, "any").count() <= 20_000
 
 
 def test_no_robots_file_allows_all(spark):
