@@ -6,6 +6,10 @@ one of them fits somewhere between the changes.  Equal seeds of a document and
 a benchmark item are a hit; around it fifteen aligned tokens must agree in
 twelve, and the document is contaminated.
 
+Shorter items must occur whole, one token in five being changed at most: their
+masks are the parts of the item, of which one more is made than tokens may
+change.  An item of a few tokens is found where it is all of a text.
+
 Tokens are lower-case letters, digits and whatever is not ASCII.
 """
 
@@ -28,9 +32,13 @@ from pressloom.session import cut_lineage
 MASKS = ("1101111", "11100010011", "10001101011")
 WINDOW = 15
 MATCHES = 12
-#: Items of fewer tokens than a window must occur whole and unchanged; those of
-#: fewer than this are too common to tell anything, and are left out.
-LEAST_ITEM = 8
+#: Of a shorter item one token in so many may be changed.
+CHANGED = 5
+#: Items of fewer tokens than this are too common within texts to tell
+#: anything; they are found as whole texts, unchanged.
+LEAST_PART = 8
+#: Masks of short items are numbered from here, four for each length.
+SHORT_MASKS = 100
 #: Up to so many different seeds of the benchmark (32 MB), every task gets them
 #: and keeps only those of the documents that are among them.  Beyond it all
 #: seeds of the documents are joined.
@@ -62,12 +70,6 @@ def _seeds(tokens: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield number, rolling.mixed(total)
 
 
-def _whole(tokens: np.ndarray, length: int) -> np.ndarray:
-    """Hash of every run of so many tokens."""
-    runs = rolling.Runs(tokens, 1)
-    return runs.hash(slice(0, len(tokens) - length + 1), slice(length, len(tokens) + 1))
-
-
 def _about(tokens: np.ndarray, low: np.ndarray, high: np.ndarray, at: np.ndarray, missing: int) -> list[bytes]:
     """The tokens from a window before a place to one after it, with a mark beyond the text."""
     places = at[:, None] + np.arange(-WINDOW, 2 * WINDOW)
@@ -79,8 +81,24 @@ def _about(tokens: np.ndarray, low: np.ndarray, high: np.ndarray, at: np.ndarray
 #: Places around a hit: a window before it, the hit's own window and one after.
 AROUND = 3 * WINDOW
 
-HIT = pa.schema([("k_", pa.int64()), ("mask_", pa.int32()), ("seed_", pa.int64()), ("around_", pa.binary())])
-HIT_DDL = "k_ bigint, mask_ int, seed_ bigint, around_ binary"
+HIT = pa.schema([("k_", pa.string()), ("mask_", pa.int32()), ("seed_", pa.int64()), ("around_", pa.binary())])
+HIT_DDL = "k_ string, mask_ int, seed_ bigint, around_ binary"
+
+
+def parts_of(length: int) -> list[tuple[int, int]]:
+    """The parts of a short item: however its tokens change, one part stays."""
+    n = length // CHANGED + 1 if length >= LEAST_PART else 1
+    return [(length * i // n, length * (i + 1) // n) for i in range(n)]
+
+
+def _short_seeds(tokens: np.ndarray, lengths: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray, int]]:
+    """For each part of items of those lengths its hash wherever such an item fits, with the item's length."""
+    runs = rolling.Runs(tokens, 1)
+    for length in lengths:
+        n = len(tokens) - length + 1
+        if n > 0:
+            for number, (start, end) in enumerate(parts_of(length)):
+                yield SHORT_MASKS + 4 * length + number, runs.hash(slice(start, start + n), slice(end, end + n)), length
 
 
 def _find(rows: Iterator[pa.RecordBatch], known, lengths: tuple[int, ...], items: bool) -> Iterator[pa.RecordBatch]:
@@ -101,36 +119,43 @@ def _find(rows: Iterator[pa.RecordBatch], known, lengths: tuple[int, ...], items
     if wanted is not None and not len(wanted):
         return
     for batch in rows:
-        keys = batch.column(0).to_numpy(zero_copy_only=False)
+        keys = batch.column(0)
         texts = [(t or "").lower().encode() for t in batch.column(1).to_pylist()]
         for base, part in rolling.batches(texts):
             tokens, low, high = _token_hashes(part)
             owner = np.repeat(np.arange(len(part)), high - low)
             found = [(number, seeds, len(MASKS[number])) for number, seeds in _seeds(tokens)]
-            found += [(len(MASKS) + n, _whole(tokens, n), n) for n in lengths if len(tokens) >= n]
+            found += _short_seeds(tokens, lengths)
             for number, seeds, span in found:
                 at = passed(seeds)
                 own = owner[at]
                 inside = at + span <= high[own]
-                if items:  # short items have one seed, themselves; others those of the masks
-                    size = (high - low)[own]
-                    inside &= (size == span) if number > len(MASKS) else (size >= WINDOW)
+                size = (high - low)[own]
+                if number >= SHORT_MASKS and (items or span < LEAST_PART):
+                    inside &= size == span
+                elif items:
+                    inside &= size >= WINDOW
                 at, own = at[inside], own[inside]
                 around = _about(tokens, low[own], high[own], at, 1 if items else 2)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(keys[base + own]), pa.array(np.full(len(at), number, np.int32)),
+                    keys.take(pa.array(base + own)), pa.array(np.full(len(at), number, np.int32)),
                     pa.array(seeds[at].view(np.int64)), pa.array(around, pa.binary()),
                 ], schema=HIT)
 
 
 @F.pandas_udf(BooleanType())
-def overlaps(ours: pd.Series, theirs: pd.Series) -> pd.Series:
-    """Whether some window around a hit agrees in enough tokens."""
+def overlaps(ours: pd.Series, theirs: pd.Series, masks: pd.Series) -> pd.Series:
+    """Whether some window around a hit agrees in enough tokens, or the whole of a short item."""
     if not len(ours):
         return pd.Series([], dtype=bool)
     a, b = (np.frombuffer(b"".join(s), np.uint64).reshape(-1, AROUND) for s in (ours, theirs))
     sums = np.cumsum(np.pad(a == b, ((0, 0), (1, 0))), axis=1)
-    return pd.Series((sums[:, WINDOW:] - sums[:, :-WINDOW]).max(1) >= MATCHES)
+    masks = masks.to_numpy()
+    lengths = np.where(masks >= SHORT_MASKS, (masks - SHORT_MASKS) // 4, 0)
+    changed = np.where(lengths >= LEAST_PART, lengths // CHANGED, 0)
+    agree = sums[np.arange(len(sums)), WINDOW + lengths] - sums[:, WINDOW]
+    window = (sums[:, WINDOW:] - sums[:, :-WINDOW]).max(1) >= MATCHES
+    return pd.Series(np.where(lengths > 0, agree >= lengths - changed, window))
 
 
 def _short_lengths(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -139,7 +164,7 @@ def _short_lengths(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if texts:
             _, low, high = _token_hashes(texts)
             n = high - low
-            yield pd.DataFrame({"length_": n[(n >= LEAST_ITEM) & (n < WINDOW)]})
+            yield pd.DataFrame({"length_": n[(n > 0) & (n < WINDOW)]})
 
 
 def matches(
@@ -147,16 +172,18 @@ def matches(
 ) -> DataFrame:
     """``k_`` and ``item_``: each document's key with each item it contains, once.
 
-    ``key`` and ``item`` are whole numbers.  Null texts and empty ones match
-    nothing; items of fewer than eight tokens are not looked for.  Repeated
-    rows give one pair.  The items' seeds are saved here and counted.
+    ``key`` is a string, ``item`` a whole number.  Null texts, empty ones and
+    those without a token match nothing and are no items.  Repeated rows give
+    one pair.  The items' seeds are saved here and counted.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item).cast("bigint").alias("k_"), F.col(item_text).alias("text_"))
+    items = benchmark.select(F.col(item).cast("string").alias("k_"), F.col(item_text).alias("text_"))
     lengths = items.mapInPandas(_short_lengths, "length_ bigint").distinct().orderBy("length_").collect()
-    lengths = tuple(int(r.length_) for r in lengths)  # at most seven numbers
+    lengths = tuple(int(r.length_) for r in lengths)  # at most fourteen numbers
+    # What many items share, such as an instruction, is compared once.
+    place = F.md5(F.concat_ws("/", "mask_", "seed_", F.hex("around_")))
     seeds = cut_lineage(
-        items.mapInArrow(lambda rows: _find(rows, None, lengths, True), HIT_DDL).distinct()
+        items.mapInArrow(lambda rows: _find(rows, None, lengths, True), HIT_DDL).distinct().withColumn("place_", place)
     )
     different = seeds.select("seed_").distinct()
     known = None
@@ -166,18 +193,18 @@ def matches(
     hits = docs.select(F.col(key).alias("k_"), F.col(text).alias("text_")).mapInArrow(
         lambda rows: _find(rows, known, lengths, False), HIT_DDL)
     theirs = seeds.select(
-        F.col("k_").alias("item_"), F.col("mask_").alias("mask_of_"), F.col("seed_").alias("seed_of_"),
-        F.col("around_").alias("theirs_"))
+        "place_", F.col("mask_").alias("mask_of_"), F.col("seed_").alias("seed_of_"), F.col("around_").alias("theirs_")).distinct()
     met = hits.join(theirs, (F.col("seed_") == F.col("seed_of_")) & (F.col("mask_") == F.col("mask_of_")))
-    sure = (F.col("mask_") > len(MASKS)) | overlaps("around_", "theirs_")
-    return met.where(sure).select("k_", "item_").distinct()
+    sure = met.where(overlaps("around_", "theirs_", "mask_")).select("k_", "place_").distinct()
+    named = seeds.select(F.col("place_").alias("at_"), F.col("k_").cast("bigint").alias("item_"))
+    return sure.join(named, F.col("place_") == F.col("at_")).select("k_", "item_").distinct()
 
 
 def found_items(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, text: str = "text", **options) -> DataFrame:
     """``row_`` (columns to keep) and ``items_``: sorted ids of the items in it, null if none."""
     kept = docs.columns if keep is None else keep
-    keyed = docs.select(F.xxhash64(text).alias("k_"),
-                        F.col(text).alias("text_"), F.struct(*kept).alias("row_"))
+    quoted = [F.col("`{}`".format(c.replace("`", "``"))) for c in kept]
+    keyed = docs.select(F.md5(F.coalesce(F.col(text), F.lit(""))).alias("k_"), F.col(text).alias("text_"), F.struct(*quoted).alias("row_"))
     pairs = matches(keyed, benchmark, **options)
     items = cut_lineage(pairs.groupBy("k_").agg(F.array_sort(F.collect_set("item_")).alias("items_")))
     return keyed.join(items.withColumnRenamed("k_", "of_"), F.col("k_") == F.col("of_"), "left").select("row_", "items_")
