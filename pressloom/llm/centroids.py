@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressloom.llm import rolling
-from pressloom.llm.common import table
+from pressloom.llm.common import named, table
 from pressloom.session import cut_lineage
 
 DIMS = 64
@@ -180,7 +180,7 @@ def clustered(
     """
     spark = vectors.sparkSession
     kept = vectors.columns if keep is None else keep
-    quoted = [F.col("`{}`".format(c.replace("`", "``"))) for c in kept]
+    quoted = named(kept)
     ints = whole_numbers(F.col(vector), scale)
     wide = F.exists(ints, lambda x: F.abs(x) >= F.lit(MOST))
     rows = cut_lineage(

@@ -27,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def named(columns: list[str]) -> list[Column]:
+    """Columns by their names, whatever letters these have."""
+    return [F.col("`{}`".format(c.replace("`", "``"))) for c in columns]
+
+
 def dice(seed: int, *key: Column) -> Column:
     """Hexadecimal digits that look random and are fixed by seed and key."""
     return F.md5(F.concat_ws("/", F.lit(str(seed)), *(F.coalesce(k.cast("string"), F.lit("")) for k in key)))

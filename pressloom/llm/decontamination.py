@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from pressloom.llm import rolling
-from pressloom.llm.common import table
+from pressloom.llm.common import named, table
 from pressloom.session import cut_lineage
 
 # Found by search, proven by a test that tries every change.
@@ -203,7 +203,7 @@ def matches(
 def found_items(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, text: str = "text", **options) -> DataFrame:
     """``row_`` (columns to keep) and ``items_``: sorted ids of the items in it, null if none."""
     kept = docs.columns if keep is None else keep
-    quoted = [F.col("`{}`".format(c.replace("`", "``"))) for c in kept]
+    quoted = named(kept)
     keyed = docs.select(F.md5(F.coalesce(F.col(text), F.lit(""))).alias("k_"), F.col(text).alias("text_"), F.struct(*quoted).alias("row_"))
     pairs = matches(keyed, benchmark, **options)
     items = cut_lineage(pairs.groupBy("k_").agg(F.array_sort(F.collect_set("item_")).alias("items_")))

@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import table
+from pressloom.llm.common import named, table
 
 #: One code point, line breaks included.
 CODE_POINT = r"(?s:.)"
@@ -99,7 +99,7 @@ def fill_in_middle(
     ``docs`` named like a result are replaced.  No rows give no rows.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in COLUMNS]
-    quoted = [F.col("`{}`".format(c.replace("`", "``"))) for c in kept]
+    quoted = named(kept)
     cut = cutter(unit, **options)(F.col(text), F.col(key).cast("string"))
     packed = docs.select(F.struct(*quoted).alias("row_") if kept else F.lit(None).alias("row_"), cut.alias("cut_"))
     return packed.select(*(["row_.*"] if kept else []), "cut_.*")

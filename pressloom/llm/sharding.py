@@ -1,9 +1,11 @@
 """Sharding by proportional stratified interleaving.
 
 Within each source rows are ranked in a seeded random order.  The fractional
-rank ``(2 rank - 1) / (2 rows of the source)`` spreads every source evenly over
-0 to 1; all rows sorted by it are cut into shards of equal row counts, so each
-shard has each source in the proportion of the whole.
+rank ``(rank + offset) / rows of the source``, ranks from 0, spreads every
+source evenly over 0 to 1; the offset within a step is seeded by the source, so
+sources of equal sizes do not meet at the same fractions.  All rows sorted by
+it are cut into shards of equal row counts, so each shard has each source in
+the proportion of the whole.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import dice, ranges, running, share, table
+from pressloom.llm.common import dice, named, ranges, running, share, table
 from pressloom.session import cut_lineage
 
 SHARDS = 16
@@ -36,7 +38,7 @@ def interleave(
     digits = dice(seed, F.col(key))
     packed = docs.select(
         F.col(stratum).alias("stratum_"), digits.alias("digits_"),
-        F.xxhash64(*(F.col(c) for c in kept)).alias("tie_"), F.struct(*kept).alias("row_"),
+        F.xxhash64(*named(kept)).alias("tie_"), F.struct(*named(kept)).alias("row_"),
     )
     n_rows = docs.count()
     n_parts = ranges(n_rows)
@@ -45,7 +47,7 @@ def interleave(
         ["stratum_"], "part_", [F.col("digits_"), F.col("tie_")], {"rank_": F.lit(1)},
     )
     sizes = cut_lineage(packed.groupBy("stratum_").agg(F.count(F.lit(1)).alias("rows_")))
-    fraction = (2 * F.col("rank_") + 1) / (2 * F.col("rows_"))
+    fraction = (F.col("rank_") + share(dice(seed, F.col("stratum_")))) / F.col("rows_")
     placed = (
         ranked
         .join(sizes.withColumnRenamed("stratum_", "sized_"), F.col("stratum_").eqNullSafe(F.col("sized_")))
@@ -95,8 +97,9 @@ WITH byte AS (
     SELECT doc_id, source, hex(encode(coalesce(text, ''))) AS x, md5('20/' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digits
     FROM documents
 ), r AS (
-    SELECT *, (2 * (row_number() OVER (PARTITION BY source ORDER BY digits) - 1) + 1)
-              / (2 * count(*) OVER (PARTITION BY source)) AS fraction, count(*) OVER () AS n
+    SELECT *, (row_number() OVER (PARTITION BY source ORDER BY digits) - 1
+               + ('0x' || substr(md5('20/' || coalesce(source, '')), 1, 8))::BIGINT / 4294967296::DOUBLE)
+              / count(*) OVER (PARTITION BY source) AS fraction, count(*) OVER () AS n
     FROM d
 ), a AS (
     SELECT *, row_number() OVER (ORDER BY fraction, source NULLS LAST, digits) - 1 AS place FROM r
