@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import table
+from pressloom.llm.common import named, table
 from pressloom.session import cut_lineage
 
 #: Longer names are no hosts.
@@ -53,18 +53,19 @@ def _month(time: Column) -> Column:
 def matched(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched_at", **columns: str) -> DataFrame:
     """``url_ fetched_ n_entries pattern``: the captures that are listed at their time, each url and time once.
 
-    ``pattern`` is the longest.  Intervals stand in each month they touch, up
-    to the last capture's, so a capture meets those of its month only, however
-    long the history.  The intervals are saved here, and two numbers of theirs
-    and the captures' last month come to the driver.
+    ``pattern`` is the longest.  Intervals stand in each month they touch, from
+    the first capture's to the last one's, so a capture meets those of its month
+    only, however long the history.  The intervals are saved here, and a number
+    of theirs and the captures' first and last months come to the driver.
     """
     valid = cut_lineage(intervals(entries, **columns))
     different = captures.select(F.col(url).alias("url_"), F.col(fetched).cast("timestamp").alias("fetched_")).where(
         "url_ IS NOT NULL AND fetched_ IS NOT NULL").distinct()
     depth = valid.agg(F.max(F.size(F.split("pattern_", "/"))).alias("n")).first().n
-    last = different.agg(F.max(_month(F.col("fetched_"))).alias("n")).first().n
-    months = F.sequence(_month(F.col("from_")), F.least(F.coalesce(_month(F.col("until_")), F.lit(last)), F.lit(last)))
-    months = F.when(_month(F.col("from_")) <= F.lit(last), months)
+    seen = different.agg(F.min(_month(F.col("fetched_"))).alias("first"), F.max(_month(F.col("fetched_"))).alias("last")).first()
+    begin = F.greatest(_month(F.col("from_")), F.lit(seen.first))
+    end = F.least(F.coalesce(_month(F.col("until_")), F.lit(seen.last)), F.lit(seen.last))
+    months = F.when(begin <= end, F.sequence(begin, end))
     placed = valid.withColumn("month_", F.explode(months))
     labels = F.split("host_", r"\.")
     suffixes = F.transform(
@@ -94,7 +95,7 @@ def judged(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: s
     """
     found = matched(captures, entries, url, fetched, **columns)
     kept = [c for c in captures.columns if c not in ("blocked", "n_entries", "pattern")]
-    packed = captures.select(F.struct(*kept).alias("row_"), F.col(url).alias("own_"), F.col(fetched).cast("timestamp").alias("time_"))
+    packed = captures.select(F.struct(*named(kept)).alias("row_"), F.col(url).alias("own_"), F.col(fetched).cast("timestamp").alias("time_"))
     met = packed.join(found, (F.col("own_") == F.col("url_")) & (F.col("time_") == F.col("fetched_")), "left")
     return met.select(
         "row_.*", F.col("n_entries").isNotNull().alias("blocked"),
