@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import WORD, dice, ranges, running, share, table, words
+from pressloom.llm.common import WORD, dice, named, ranges, running, share, table, words
 from pressloom.session import cut_lineage
 
 #: Weights of the sources in the order of their code points, repeating; null comes last.
@@ -143,7 +143,7 @@ def drawn(
     rows = docs.select(
         F.col(source).alias("source_"), dice(seed, F.col(key)).alias("digits_"), F.xxhash64(text).alias("tie_"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size_"),
-        F.struct(*kept).alias("row_") if kept else F.lit(None).alias("row_"),
+        F.struct(*named(kept)).alias("row_") if kept else F.lit(None).alias("row_"),
     ).withColumn("part_", F.floor(share(F.col("digits_")) * ranges(n_rows)))
 
     sizes = cut_lineage(rows.groupBy("source_").agg(F.sum("size_").alias("source_size")))
@@ -194,20 +194,27 @@ def mix(docs: DataFrame, text: str = "text", length: str = "n_chars", **options)
     """``docs`` as the mix has them: a row for each draw, with ``mix_shard`` and ``mix_order``.
 
     Where only some words are taken the text ends after them, and a column of
-    its length follows.
+    its length follows.  Columns of ``docs`` named like the two are replaced.
     """
-    rows = drawn(docs, text=text, **options)
-    rows = rows.select("row_.*", F.col("size").alias("size_"), F.explode("draws").alias("draw_"))
-    gaps, runs = F.split(F.col(text), WORD), words(F.col(text))
+    kept = [c for c in docs.columns if c not in ("mix_shard", "mix_order")]
+    rows = drawn(docs, text=text, keep=kept, **options).select("row_", "size", F.explode("draws").alias("draw_"))
+    own = F.col("row_").getField(text)
+    gaps, runs = F.split(own, WORD), words(own)
     cut = F.array_join(
         F.transform(F.slice(F.arrays_zip(gaps.alias("g"), runs.alias("r")), F.lit(1), F.col("draw_.taken").cast("int")),
                     lambda p: F.concat(p["g"], p["r"])), "",
     )
-    rows = rows.withColumn(text, F.when(F.col("draw_.taken") < F.col("size_"), cut).otherwise(F.col(text)))
-    if length in docs.columns:
-        partly = F.col("draw_.taken") < F.col("size_")
-        rows = rows.withColumn(length, F.when(partly, F.char_length(text).cast("bigint")).otherwise(F.col(length)))
-    return rows.select(*docs.columns, F.col("draw_.shard").alias("mix_shard"), F.col("draw_.order").alias("mix_order"))
+    partly = F.col("draw_.taken") < F.col("size")
+    rows = rows.withColumn("text_", F.when(partly, cut).otherwise(own))
+
+    def column(name: str) -> Column:
+        given = F.col("row_").getField(name)
+        if name == length:
+            given = F.when(partly, F.char_length("text_").cast("bigint")).otherwise(given)
+        return (F.col("text_") if name == text else given).alias(name)
+
+    return rows.select(
+        *map(column, kept), F.col("draw_.shard").alias("mix_shard"), F.col("draw_.order").alias("mix_order"))
 
 
 def write_mix(rows: DataFrame, path: str) -> None:
