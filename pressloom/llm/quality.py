@@ -4,8 +4,10 @@ Every text gets counts; a few hard limits come first.  The counts of texts that
 pass become a vector of five transformed statistics.  For each language and
 source the minimum covariance determinant is sought: concentration steps from
 three starts keep the half of the rows nearest to the current centre, and the
-start whose covariance has the least determinant wins.  A text is rejected if
-its squared Mahalanobis distance from that centre is above a limit.  Equal
+start whose covariance has the least determinant wins.  A group's estimate is
+drawn towards that of its language, and a language's towards that of the whole
+table, as if by some more rows of these; the fewer rows it has, the more.  A
+text is rejected if its squared Mahalanobis distance is above a limit.  Equal
 texts of a group count once in the estimate, so copies of one text cannot make
 up its half, however many they are; every row gets a verdict.
 """
@@ -17,7 +19,7 @@ import functools
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import SPACE, dice, share, table, words
+from pressloom.llm.common import SPACE, dice, named, share, table, words
 from pressloom.session import cut_lineage
 
 # Fixed values of the base rules.
@@ -30,7 +32,7 @@ MAX_REPEAT_PCT = 20
 GRAIN = 256.0
 #: A spread below these is not trusted: most texts have no symbol at all, and a
 #: few must not become outliers by that alone.  In the order of ``vector``.
-LEAST_SPREAD = (0.5, 0.3, 0.5, 1.0, 1.0)
+LEAST_SPREAD = (0.5, 0.06, 0.5, 1.0, 1.0)
 DIMS = len(LEAST_SPREAD)
 #: Share of rows that a concentration step keeps, and what the covariance of
 #: that share must be multiplied by to hold for all (normal data, five dimensions).
@@ -39,9 +41,10 @@ CONSISTENCY = 1.916
 #: Squared distance beyond which a text is an outlier: the 0.9999 quantile of
 #: chi-squared with five degrees of freedom.
 LIMIT = 25.74
-#: Smaller groups take the estimate of their language; a language as small as
-#: that has no estimate, and rejects nothing beyond the base rules.
-MIN_GROUP = 50
+#: How many rows of its language a group is given beside its own, a language of
+#: the whole table, and the table of a population as wide as this.
+MORE_ROWS = 25
+WIDE_SPREAD = (1.5, 0.25, 1.5, 2.0, 2.0)
 #: Steps for all starts, then for the best one.
 FIRST_STEPS, LAST_STEPS = 2, 2
 STARTS = 3
@@ -50,7 +53,7 @@ START_ROWS = 60
 #: Parts of a doubling into which squared distances are binned.
 BINS = 32
 
-GROUP = ["lang_", "source_", "pooled_"]
+GROUP = ["lang_", "source_"]
 
 
 def counted(rows: DataFrame, text: str) -> DataFrame:
@@ -110,7 +113,7 @@ def vector() -> list[Column]:
     """
     n = F.col("n_words") + 20
     rate = lambda c: F.log1p(100 * F.col(c) / n)
-    parts = [F.log1p("n_words"), (F.col("word_chars") + 100) / n, rate("n_symbols"), rate("n_repeat_words"), rate("n_dup_lines")]
+    parts = [F.log1p("n_words"), F.log((F.col("word_chars") + 100) / n), rate("n_symbols"), rate("n_repeat_words"), rate("n_dup_lines")]
     return [F.round(p * GRAIN).cast("bigint") for p in parts]
 
 
@@ -133,14 +136,22 @@ def with_distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("d2_", total).drop(*(f"y{i}" for i in range(DIMS)))
 
 
-def _estimate(chosen: DataFrame, keys: list[str], consistency: float) -> DataFrame:
-    """Centre, triangular factor and log determinant of each group's rows."""
-    pairs = [(i, j) for i in range(DIMS) for j in range(i + 1)]
-    sums = chosen.groupBy(*keys).agg(
+PAIRS = [(i, j) for i in range(DIMS) for j in range(i + 1)]
+SUMS = [*(f"s{i}" for i in range(DIMS)), *(f"s{i}{j}" for i, j in PAIRS)]
+
+
+def _sums(chosen: DataFrame, keys: list[str]) -> DataFrame:
+    """Number, sums and sums of products of each group's rows."""
+    return chosen.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_"),
         *(F.sum(f"x{i}").alias(f"s{i}") for i in range(DIMS)),
-        *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i, j in pairs),
+        *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i, j in PAIRS),
     )
+
+
+def _estimate(sums: DataFrame, keys: list[str], consistency: float) -> DataFrame:
+    """Centre, triangular factor and log determinant from each group's sums."""
+    pairs = PAIRS
     for i in range(DIMS):
         sums = sums.withColumn(f"m{i}", F.col(f"s{i}") / F.col("n_") / GRAIN)
     for i, j in pairs:
@@ -159,15 +170,15 @@ def _estimate(chosen: DataFrame, keys: list[str], consistency: float) -> DataFra
     )
 
 
-def _met(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+def _met(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
     """Each row with each estimate of its group."""
     e = estimates.select(*(F.col(g).alias(f"{g}e") for g in GROUP), *(c for c in estimates.columns if c not in GROUP))
     same = functools.reduce(lambda a, b: a & b, (F.col(g).eqNullSafe(F.col(f"{g}e")) for g in GROUP))
-    return rows.join(e, same).drop(*(f"{g}e" for g in GROUP))
+    return rows.join(e, same, how).drop(*(f"{g}e" for g in GROUP))
 
 
 def _step(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """One concentration step: the nearest half, by bins of the distance, gives the next estimate."""
+    """One concentration step: sums over the nearest half, found by bins of the distance."""
     keys = [*GROUP, "start_"]
     near = with_distance(_met(rows, estimates)).withColumn(
         "bin_", F.floor(F.log2(F.col("d2_") + 1e-6) * BINS)
@@ -183,7 +194,7 @@ def _step(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     )
     same = functools.reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"{k}c")) for k in keys))
     kept = near.join(cut_lineage(cut), same).where(F.col("bin_") <= F.col("last_"))
-    return cut_lineage(_estimate(kept, keys, CONSISTENCY))
+    return cut_lineage(_sums(kept, keys))
 
 
 def _starts(rows: DataFrame) -> DataFrame:
@@ -220,33 +231,61 @@ def _starts(rows: DataFrame) -> DataFrame:
     )
     drawn = sized.withColumn("start_", F.explode(F.array(*(F.lit(s) for s in range(1, STARTS)))))
     drawn = drawn.where(share(dice(0, F.col("start_"), F.col("row_no_"))) * F.col("rows_") < START_ROWS)
-    return cut_lineage(median.unionByName(_estimate(drawn, [*GROUP, "start_"], 1.0)))
+    return cut_lineage(median.unionByName(_estimate(_sums(drawn, [*GROUP, "start_"]), [*GROUP, "start_"], 1.0)))
+
+
+def _with_more(sums: DataFrame, more: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums as if each group held some more rows, spread like those of ``more`` (its means, by the keys)."""
+    m = more.select(*(F.col(k).alias(f"{k}m") for k in keys), *(F.col(c).alias(f"{c}m") for c in SUMS))
+    same = functools.reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"{k}m")) for k in keys), F.lit(True))
+    return sums.join(m, same).select(
+        *(g for g in GROUP if g in sums.columns), (F.col("n_") + MORE_ROWS).alias("n_"),
+        *((F.col(c) + MORE_ROWS * F.col(f"{c}m")).alias(c) for c in SUMS))
+
+
+def _pooled(sums: DataFrame, keys: list[str]) -> DataFrame:
+    return sums.groupBy(*keys).agg(F.sum("n_").alias("n_"), *(F.sum(F.col(c).cast("double")).alias(c) for c in SUMS))
+
+
+def _means(sums: DataFrame, keys: list[str]) -> DataFrame:
+    return sums.select(*keys, *((F.col(c) / F.col("n_")).alias(c) for c in SUMS))
+
+
+def _drawn_together(groups: DataFrame) -> DataFrame:
+    """Sums of the groups, each with rows like its language's, and these with rows like the table's."""
+    table_ = _pooled(groups, [])
+    # The table's own means, and around them a population that is wide.
+    more = {
+        f"s{i}{j}": F.col(f"s{i}") / F.col("n_") * F.col(f"s{j}") / F.col("n_")
+        + (F.lit((WIDE_SPREAD[i] * GRAIN) ** 2 / CONSISTENCY) if i == j else F.lit(0.0))
+        for i, j in PAIRS
+    } | {f"s{i}": F.col(f"s{i}") / F.col("n_") for i in range(DIMS)}
+    table_ = table_.where("n_ > 0").select(
+        (F.col("n_") + MORE_ROWS).alias("n_"), *((F.col(c) + MORE_ROWS * more[c]).alias(c) for c in SUMS))
+    languages = _with_more(_pooled(groups, ["lang_"]), cut_lineage(_means(table_, [])), [])
+    return _with_more(groups, cut_lineage(_means(languages, ["lang_"])), ["lang_"])
 
 
 def fit(measured: DataFrame) -> DataFrame:
-    """Centre and triangular factor for each language and source, and for each language.
+    """Centre and triangular factor for each language and source.
 
     ``measured`` has ``lang_ source_ row_no_`` and the vector ``x0`` to ``x4``
     of texts that passed the base rules; equal rows count once.  Jobs run here;
     what they save is the distinct vectors and one row a group.
     """
-    levels = F.array(
-        F.struct(F.col("source_").alias("source_"), F.lit(False).alias("pooled_")),
-        F.struct(F.lit(None).cast("string").alias("source_"), F.lit(True).alias("pooled_")),
-    )
     vectors = [f"x{i}" for i in range(DIMS)]
-    once = cut_lineage(measured.select("lang_", "source_", "row_no_", *vectors).distinct())
-    rows = once.select("lang_", "row_no_", *vectors, F.explode(levels).alias("level_"))
-    rows = rows.select("lang_", "level_.source_", "level_.pooled_", "row_no_", *vectors)
+    rows = cut_lineage(measured.select("lang_", "source_", "row_no_", *vectors).distinct())
+    keys = [*GROUP, "start_"]
     estimates = _starts(rows)
     for _ in range(FIRST_STEPS):
-        estimates = _step(rows, estimates)
+        sums = _step(rows, estimates)
+        estimates = _estimate(sums, keys, CONSISTENCY)
     best = Window.partitionBy(*GROUP).orderBy("det_", "start_")
     estimates = cut_lineage(estimates.withColumn("place_", F.row_number().over(best)).where("place_ = 1").drop("place_"))
     for _ in range(LAST_STEPS):
-        estimates = _step(rows, estimates)
-    enough = F.col("n_") >= KEPT_SHARE * MIN_GROUP
-    return cut_lineage(estimates.where(enough).drop("start_", "det_"))
+        sums = _step(rows, estimates)
+        estimates = _estimate(sums, keys, CONSISTENCY)
+    return cut_lineage(_estimate(_drawn_together(sums.drop("start_")), GROUP, CONSISTENCY).drop("det_"))
 
 
 def judged(
@@ -261,7 +300,7 @@ def judged(
     """
     kept_columns = docs.columns if keep is None else keep
     rows = docs.select(
-        F.struct(*kept_columns).alias("row_") if kept_columns else F.lit(None).alias("row_"),
+        F.struct(*named(kept_columns)).alias("row_") if kept_columns else F.lit(None).alias("row_"),
         F.col(lang).cast("string").alias("lang_"), F.col(source).cast("string").alias("source_"),
         F.xxhash64(text, lang, source).alias("row_no_"), F.col(text).alias("text_"),
     )
@@ -273,19 +312,7 @@ def judged(
     else:
         fitted = measured = cut_lineage(measured)
     estimates = fit(fitted.where(~F.col("base_failed")))
-    names = [c for c in estimates.columns if c not in GROUP]
-    own = estimates.where(~F.col("pooled_")).select(
-        F.col("lang_").alias("lang_o"), F.col("source_").alias("source_o"), F.struct(*names).alias("own_"))
-    wide = estimates.where("pooled_").select(F.col("lang_").alias("lang_w"), F.struct(*names).alias("wide_"))
-    met = (
-        measured.join(
-            own,
-            F.col("lang_").eqNullSafe(F.col("lang_o")) & F.col("source_").eqNullSafe(F.col("source_o")), "left",
-        )
-        .join(wide, F.col("lang_").eqNullSafe(F.col("lang_w")), "left")
-        .withColumn("by_", F.coalesce("own_", "wide_"))
-        .select(*measured.columns, "by_.*")
-    )
+    met = _met(measured, estimates, "left")
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     # One condition on both sides of the join: split, its part on the counts
     # would move below them and be worked out from the text again.
