@@ -6,28 +6,30 @@ forward pass over its letters gives without listing them; a text's is the
 product over its words.  The piece probabilities are learned by expectation
 and maximisation over the same lattice.
 
-A word is a run of letters, in lower case, with the vocabulary's mark of a word
-start before it.  Runs of more than 24 letters are cut every 24.
+A word is a run of letters and the marks on them, in lower case, with the
+vocabulary's mark of a word start before it.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import dice, share, table
+from pressloom.llm.common import dice, named, share, table
 from pressloom.session import cut_lineage
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 START = "▁"
-WORD = re.compile(r"[^\W\d_]{1,24}")
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+#: Words are learned from in parts of so many letters; they are scored whole.
+LEARN_LETTERS = 24
 UNKNOWN_LANGUAGE = "und"
 #: Documents that a language is learned from, about; the model needs no more,
 #: and prediction covers all.
@@ -35,12 +37,13 @@ LEARN_DOCS = 4_000
 ROUNDS = 3
 #: Added to each expected count.
 SMOOTHING = 0.1
-#: Of a letter that no piece has.  Twenty-five of them are still a number.
+#: Of a letter that no piece has.
 UNKNOWN_LETTER = 1e-10
-LONGEST_PIECE = 16
+#: Forward sums are brought back to about one after so many letters.
+RESCALE = 12
 SEED = 4
-#: Words whose lattices are held at once.
-BATCH = 20_000
+#: Numbers of the lattices that are held at once.
+BATCH = 4_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -50,8 +53,8 @@ def pieces(path: str = VOCABULARY) -> list[str]:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     every = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (
         model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-    fits = re.compile(rf"{START}?[^\W\d_]*")
-    return sorted({p for p in every if p and len(p) <= LONGEST_PIECE and fits.fullmatch(p) and p == p.lower()})
+    fits = regex.compile(rf"{START}?[\p{{L}}\p{{M}}]*")
+    return sorted({p for p in every if p and fits.fullmatch(p) and p == p.lower()})
 
 
 class Lattice:
@@ -94,32 +97,42 @@ class Lattice:
                 if len(rows):
                     yield start, end, rows, piece
 
-    def batches(self, words: list[str]) -> Iterator[np.ndarray]:
-        """Places of words of equal length, some at a time."""
+    def batches(self, words: list[str], numbers: int) -> Iterator[np.ndarray]:
+        """Places of words of equal length, some at a time, that need so many numbers a letter."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         for length in np.unique(lengths):
             at = np.flatnonzero(lengths == length)
-            yield from np.array_split(at, -(-len(at) // BATCH))
+            yield from np.array_split(at, -(-len(at) * int(length + 1) * numbers // BATCH))
 
     def likelihoods(self, words: list[str], model: np.ndarray) -> np.ndarray:
         """Logarithm of each word's probability in each language: the forward sums at its end.
 
-        ``model`` has a row a piece and one more for an unknown letter.
+        ``model`` has a row a piece and one more for an unknown letter.  Only
+        the sums that the longest piece reaches back to are held, and they are
+        rescaled as the word goes on, so words may have any length.
         """
         out = np.empty((len(words), model.shape[1]))
-        for at in self.batches(words):
+        width = self.longest + 1
+        for at in self.batches(words, model.shape[1]):
             some = [words[i] for i in at]
-            sums = np.zeros((len(some[0]) + 1, len(some), model.shape[1]))
+            sums = np.zeros((width, len(some), model.shape[1]))
             sums[0] = 1
+            scale, last = np.zeros((len(some), 1)), 0
             for start, end, rows, piece in self.edges(some):
-                sums[end, rows] += sums[start, rows] * model[piece]
-            out[at] = np.log(sums[-1])
+                if end != last:
+                    if last and last % RESCALE == 0:
+                        top = sums[last % width].max(1, keepdims=True)
+                        sums /= top
+                        scale += np.log(top)
+                    sums[end % width], last = 0, end
+                sums[end % width, rows] += sums[start % width, rows] * model[piece]
+            out[at] = np.log(np.maximum(sums[last % width], np.finfo(float).tiny)) + scale
         return out
 
     def expected(self, words: list[str], counts: np.ndarray, model: np.ndarray) -> np.ndarray:
         """How often each piece is used in so many of each word, over all ways to cut it, by one language's model."""
         total = np.zeros(len(model))
-        for at in self.batches(words):
+        for at in self.batches(words, 2 * self.longest):
             some = [words[i] for i in at]
             edges = list(self.edges(some))
             n = len(some[0])
@@ -146,7 +159,8 @@ def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         counts: dict[str, Counter] = {}
         for lang, text in zip(frame["lang"], frame["text"]):
-            counts.setdefault(lang, Counter()).update(WORD.findall(text.lower()))
+            counts.setdefault(lang, Counter()).update(
+                word[at : at + LEARN_LETTERS] for word in WORD.findall(text.lower()) for at in range(0, len(word), LEARN_LETTERS))
         for lang, words in counts.items():
             if words:
                 yield _frame(lang, word=pd.Series(list(words), dtype=object), n=list(words.values()))
@@ -241,7 +255,7 @@ def predicted(
         F.coalesce(F.col(key).cast("string"), F.lit("")).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"),
     ).where("text IS NOT NULL AND lang IS NOT NULL")
     predict = predictor(docs.sparkSession, *fit(known, path, learn_docs), path)
-    rows = docs.select(F.struct(*kept).alias("row_"), held_out(key).alias("held_out"), predict(text).alias("guess"))
+    rows = docs.select(F.struct(*named(kept)).alias("row_"), held_out(key).alias("held_out"), predict(text).alias("guess"))
     return rows.select("row_", "held_out", F.col("guess.lang").alias("lang_pred"), "guess.score")
 
 
