@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import table
+from pressloom.llm.common import named, table
 from pressloom.llm.components import components
 from pressloom.session import cut_lineage
 
@@ -204,7 +204,7 @@ def classed(
     """
     kept = docs.columns if keep is None else keep
     rows = cut_lineage(docs.select(
-        F.col(key).cast("bigint").alias("node_"), F.struct(*kept).alias("row_"),
+        F.col(key).cast("bigint").alias("node_"), F.struct(*named(kept)).alias("row_"),
         fingerprints(width)(F.col(text).cast("binary")).alias("print_"),
     ))
     # The fingerprint itself is the node; components by its value, then the least key of each.
@@ -230,7 +230,7 @@ def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", width:
     smallest = slim.where(F.col("node_").eqNullSafe(F.col("component_")))
     staying = cut_lineage(smallest.groupBy("group_").agg(F.min("row_").alias("one_")).select(
         F.col("one_.h1_").alias("h1_of_"), F.col("one_.h2_").alias("h2_of_")))
-    met = docs.select(F.struct(*docs.columns).alias("row_"), *(h.alias(n) for n, h in hashes.items())).join(
+    met = docs.select(F.struct(*named(docs.columns)).alias("row_"), *(h.alias(n) for n, h in hashes.items())).join(
         staying, (F.col("h1_") == F.col("h1_of_")) & (F.col("h2_") == F.col("h2_of_")))
     # Repeated rows stay once; they already share a partition.
     repeated = Window.partitionBy("h1_", "h2_").orderBy("h1_")

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from pressloom.llm import rolling
+from pressloom.llm.common import named
 from pressloom.session import cut_lineage
 
 #: Different strings that a bucket holds before it is cut.
@@ -333,7 +334,7 @@ def without_repeats(
     """
     columns = docs.columns if keep is None else keep
     keyed = docs.select(
-        F.struct(*columns).alias("row_"), F.xxhash64(key, text).alias("k"), F.col(text).cast("binary").alias("text"))
+        F.struct(*named(columns)).alias("row_"), F.xxhash64(key, text).alias("k"), F.col(text).cast("binary").alias("text"))
     found = repeated(keyed, windows, mark).withColumnRenamed("k", "k_of")
     rows = keyed.select("row_", "k", squeezed("text").alias("z"))
     rows = rows.join(found, F.col("k") == F.col("k_of"), "left").select("row_", "z", "found")

@@ -170,7 +170,7 @@ def test_covariance_is_the_least(spark):
     far = draw.multivariate_normal([9, 9, 6, 6, 6], np.diag([0.1] * 5), 200)
     rows = [("en", "s", i, *map(int, np.round(x * quality.GRAIN))) for i, x in enumerate(np.vstack([clean, far]))]
     measured = spark.createDataFrame(rows, "lang_ string, source_ string, row_no_ bigint, x0 bigint, x1 bigint, x2 bigint, x3 bigint, x4 bigint")
-    found = quality.fit(measured).where(~F.col("pooled_")).first()
+    found = quality.fit(measured).first()
     assert np.abs([found[f"m{i}"] for i in range(5)] - clean.mean(0)).max() < 0.15
 
 
@@ -304,3 +304,52 @@ def test_language_of_awkward_rows(spark):
         letters = any(c.isalpha() for c in r.row_.text or "")
         assert (r.lang_pred == "und") == (not letters) and (letters or r.score == 0)
     assert language.predicted(empty(spark)).count() == 0
+
+
+def test_texts_without_a_letter_and_words_of_any_length(spark):
+    long = "wort" * 30_000
+    rows = [(i, f"the cat and the dog number {i}", "en") for i in range(40)] + [(100 + i, f"der hund und die katze {i}", "de") for i in range(40)]
+    rows += [(500, "½ ² ①", None), (501, "123 __ !?", None), (502, long, None), (503, "हिन्दी हिन्दी", None), (504, "", None)]
+    found = {r.row_.doc_id: r for r in language.predicted(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert all(found[i].lang_pred == "und" and found[i].score == 0 for i in (500, 501, 504))
+    assert found[502].lang_pred in ("en", "de") and 0 <= found[502].score <= 1 and found[503].lang_pred != "und"
+    assert language.WORD.findall("हिन्दी") == ["हिन्दी"]
+
+
+def test_sources_of_one_row_fill_all_shards_alike(spark):
+    rows = [(i, f"t{i}", f"own{i}" if i % 3 == 0 else "big") for i in range(4_800)]
+    found = sharding.interleave(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), 16).collect()
+    own = collections.Counter(r.shard for r in found if r.source != "big")
+    assert min(own.values()) > 60 and max(own.values()) < 140 and len(own) == 16
+    assert set(collections.Counter(r.shard for r in found).values()) == {300}
+
+
+def test_columns_that_clash_with_those_of_the_mix(spark):
+    docs = spark.createDataFrame(
+        [(i, "a b c d", "s", i, "x", 1, "k") for i in range(40)],
+        "doc_id bigint, text string, source string, size_ bigint, draw_ string, mix_shard int, `a.b` string")
+    mixed = mixing.mix(docs)
+    assert mixed.columns == ["doc_id", "text", "source", "size_", "draw_", "a.b", "mix_shard", "mix_order"]
+    assert all(r.size_ == r.doc_id and r.draw_ == "x" for r in mixed.collect())
+    assert sharding.interleave(docs).count() == 40 and quality.keep_good(docs.withColumn("lang", F.lit("en"))).columns == [*docs.columns, "lang"]
+
+
+def test_a_word_of_many_millions_of_letters_is_no_overflow(spark):
+    rows = [("en", "s", i, 400 + i % 50, 400, 10, 0, 0) for i in range(60)] + [("en", "s", 99, 5_000, int(256 * np.log(4e8)), 0, 0, 0)]
+    measured = spark.createDataFrame(rows, "lang_ string, source_ string, row_no_ bigint, x0 bigint, x1 bigint, x2 bigint, x3 bigint, x4 bigint")
+    assert quality.fit(measured).first().n_ >= 30
+    vectors = spark.createDataFrame([(10, 4_000_000_000, 0, 0, 0)], "n_words bigint, word_chars bigint, n_symbols bigint, n_repeat_words bigint, n_dup_lines bigint")
+    assert max(vectors.select(*quality.vector()).first()) < 10_000
+
+
+def test_small_groups_are_drawn_towards_their_language(spark):
+    """A group of a few rows takes most of its centre from its language, one of many rows its own."""
+    draw = np.random.default_rng(1)
+
+    def group(source, centre, n):
+        return [("en", source, hash((source, i)), *map(int, np.round(draw.normal(centre, 0.3, 5) * quality.GRAIN))) for i in range(n)]
+
+    rows = group("big", 4, 2_000) + group("own", 6, 2_000) + group("few", 9, 4)
+    measured = spark.createDataFrame(rows, "lang_ string, source_ string, row_no_ bigint, x0 bigint, x1 bigint, x2 bigint, x3 bigint, x4 bigint")
+    found = {r.source_: r for r in quality.fit(measured).collect()}
+    assert abs(found["big"].m0 - 4) < 0.1 and abs(found["own"].m0 - 6) < 0.1 and found["few"].m0 < 5.6
