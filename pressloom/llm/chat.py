@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressloom.llm.common import running, table
+from pressloom.session import cut_lineage
 
 #: Turns of a conversation that a window orders at once.
 TURNS = 512
@@ -93,9 +94,13 @@ def rendered(numbered: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 
 def formatted(log: DataFrame, **columns: str) -> DataFrame:
-    """``conv_id n_turns kept covered_by rendered`` of each conversation, the last null unless it stays."""
-    numbered = turns(log, **columns)
-    verdicts = collapsed(numbered)
+    """``conv_id n_turns kept covered_by rendered`` of each conversation, the last null unless it stays.
+
+    The numbered turns and the verdicts are saved here.
+    """
+    # Read by each branch below, so numbered and moved once.
+    numbered = cut_lineage(turns(log, **columns))
+    verdicts = cut_lineage(collapsed(numbered))
     texts = rendered(numbered, verdicts)
     met = verdicts.join(texts, F.col("kept") & F.col("conv_").eqNullSafe(F.col("conv_of_")), "left")
     return met.select(F.col("conv_").alias("conv_id"), "n_turns", "kept", "covered_by", "rendered")

@@ -196,8 +196,8 @@ def matches(
         "place_", F.col("mask_").alias("mask_of_"), F.col("seed_").alias("seed_of_"), F.col("around_").alias("theirs_")).distinct()
     met = hits.join(theirs, (F.col("seed_") == F.col("seed_of_")) & (F.col("mask_") == F.col("mask_of_")))
     sure = met.where(overlaps("around_", "theirs_", "mask_")).select("k_", "place_").distinct()
-    named = seeds.select(F.col("place_").alias("at_"), F.col("k_").cast("bigint").alias("item_"))
-    return sure.join(named, F.col("place_") == F.col("at_")).select("k_", "item_").distinct()
+    placed = seeds.select(F.col("place_").alias("at_"), F.col("k_").cast("bigint").alias("item_"))
+    return sure.join(placed, F.col("place_") == F.col("at_")).select("k_", "item_").distinct()
 
 
 def found_items(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, text: str = "text", **options) -> DataFrame:

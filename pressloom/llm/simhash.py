@@ -210,11 +210,11 @@ def classed(
     # The fingerprint itself is the node; components by its value, then the least key of each.
     prints = cut_lineage(rows.groupBy("print_").agg(F.min("node_").alias("least_")))
     found = components(links(prints.select(F.col("print_").alias("node_"), "print_")))
-    named = prints.join(found, prints.print_ == found.node, "left").withColumn(
+    grouped = prints.join(found, prints.print_ == found.node, "left").withColumn(
         "group_", F.coalesce("component", "print_"))
-    least = named.groupBy("group_").agg(F.min("least_").alias("component_"))
-    named = cut_lineage(named.join(least, "group_").select(F.col("print_").alias("print_of_"), "group_", "component_"))
-    met = rows.join(named, F.col("print_") == F.col("print_of_"))
+    least = grouped.groupBy("group_").agg(F.min("least_").alias("component_"))
+    grouped = cut_lineage(grouped.join(least, "group_").select(F.col("print_").alias("print_of_"), "group_", "component_"))
+    met = rows.join(grouped, F.col("print_") == F.col("print_of_"))
     return met.select("row_", "node_", "print_", "group_", "component_")
 
 
