@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pressloom.llm import decontamination, mixing, quality, sharding, simhash
-from pressloom.session import cut_lineage
+from pressloom.session import cut_lineage, drop_saved, saved_count
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +51,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; stages but the last are run as this is called."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), saved_count()
     for number, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES):
             docs = cut_lineage(docs)
+            # What this stage and the one before it saved is read no more.
+            drop_saved(spark, before, but_last=True)
     return docs

@@ -36,28 +36,28 @@ def clean_release(text: Column) -> Column:
 def normalise(releases: DataFrame, dictionary: DataFrame, key: str | None = None) -> DataFrame:
     """Replace ``text`` by its cleaned and corrected form.
 
-    The text itself never leaves its row until the last join.  Only words the
-    dictionary does not know travel, once per release; what comes back is a
-    small map of corrections per release, applied in place.  The correction of
-    a word does not depend on where it stands, so a key shared by several
-    releases (the default is a hash of the text) merges maps and harms nothing.
+    Cleaned text is saved once and does not move until the last join.  Words
+    are looked up in the dictionary once each, and only those that change
+    travel, once per release; what comes back is a small map of corrections per
+    release, applied in place.  The correction of a word does not depend on
+    where it stands, so a key shared by several releases (the default is a hash
+    of the text) merges maps and harms nothing.
     """
     name = key or "_key"
     if key is None:
         releases = releases.withColumn(name, F.xxhash64("text"))
-    base = releases.withColumn("_sections", clean_sections(F.col("text"))).drop("text")
+    base = cut_lineage(releases.withColumn("_sections", clean_sections(F.col("text"))).drop("text"))
 
     per_release = F.array_distinct(
         F.flatten(F.transform("_sections", lambda s: words(s)))
     )
     used = base.select(name, F.explode(per_release).alias("word"))
-    # Read twice below, so kept rather than derived from the corpus again.
-    missing = cut_lineage(unknown(used, dictionary))
-
+    missing = cut_lineage(unknown(used.select("word").distinct(), dictionary))
     lowered = missing.select(F.lower("word").alias("word")).distinct()
     fixed = corrections(lowered, dictionary).withColumnRenamed("word", "_lower")
-    entries = missing.join(fixed, F.lower(F.col("word")) == F.col("_lower"))
-    maps = entries.groupBy(name).agg(
+    # Saved, so that Catalyst knows how few they are.
+    changed = cut_lineage(missing.join(fixed, F.lower(F.col("word")) == F.col("_lower")).select("word", "correction"))
+    maps = used.join(changed, "word").groupBy(name).agg(
         F.map_from_entries(F.collect_set(F.struct("word", "correction"))).alias("_fixes")
     )
 

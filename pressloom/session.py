@@ -73,10 +73,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_saved(spark: SparkSession) -> int:
-    """Remove the tables that ``cut_lineage`` wrote so far; how many there were."""
+def saved_count() -> int:
+    """How many tables were saved so far and not removed."""
+    return len(_SAVED)
+
+
+def drop_saved(spark: SparkSession, since: int = 0, but_last: bool = False) -> int:
+    """Remove the tables that ``cut_lineage`` wrote, from that one on, the last excepted if so asked; how many there were."""
     hadoop = spark._jvm.org.apache.hadoop.fs
-    paths, _SAVED[:] = list(_SAVED), []
+    end = len(_SAVED) - 1 if but_last else len(_SAVED)
+    paths = _SAVED[since:end]
+    del _SAVED[since:end]
     for path in paths:
         place = hadoop.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
