@@ -232,7 +232,7 @@ def _seconds(one_column, pages, expression):
 def test_unclosed_tags_cost_no_more_than_others(one_column):
     sizes = F.transform(html.nodes(F.col("v")), lambda n: n.end_id)
     short, long = _seconds(one_column, ["<p>t" * 8_000, "<p>t" * 16_000], sizes)
-    assert long < 2.2 * short, (short, long)
+    assert long < 2.6 * short, (short, long)
 
 
 def test_text_of_nested_elements_costs_no_more_than_its_length(one_column):
@@ -242,4 +242,4 @@ def test_text_of_nested_elements_costs_no_more_than_its_length(one_column):
     expression = let(html.page(F.col("v")), lengths)
     short, long = _seconds(one_column, ["<div>" * n + "text" + "</div>" * n for n in (2_500, 5_000)], expression)
     assert one_column(["<div>" * 5_000 + "text" + "</div>" * 5_000], expression)[0] == [16] * 5_000
-    assert long < 2.5 * short, (short, long)
+    assert long < 3 * short, (short, long)

@@ -55,7 +55,7 @@ def test_nothing_written_yet(spark, tmp_path):
     assert ledger.append_once(releases(spark, []), pages(spark, []), str(tmp_path / "none")) is None
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_stops_bit_by_bit(spark, tmp_path, seed):
     """Any order, repeated batches, repeated pages: the same cut as over all pages at once."""
     rng = random.Random(seed)
@@ -138,11 +138,11 @@ def test_what_waits_is_bounded(spark, tmp_path):
     """As time goes on the state holds the links and pages of the last hours and no more."""
     folder = str(tmp_path)
     held = []
-    for hour in range(6):
+    for hour in range(4):
         listed = [listing(hour * 10 + i, hour * 180 + i, [f"/p{hour}/{i}/{k}" for k in range(20)]) for i in range(5)]
         captured = [capture(f"/p{hour}/{i}/{k}", hour * 180 + i) for i in range(5) for k in range(0, 20, 2)]
         progress = run(spark, folder, listed, captured)
         held.append(sum(o["numRowsTotal"] for o in progress[-1]["stateOperators"]))
     assert max(held[2:]) <= 1.2 * held[1], held
     rows = spark.read.parquet(f"{folder}/out")
-    assert rows.where("error IS NULL").count() >= 5 * 50 and rows.where(F.col("error").isNotNull()).count() >= 4 * 50
+    assert rows.where("error IS NULL").count() >= 3 * 50 and rows.where(F.col("error").isNotNull()).count() >= 2 * 50
