@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import math
 import random
 import re
 
@@ -80,6 +81,52 @@ def test_quotas_are_exact_and_random():
     assert abs(np.mean(draws) - 50) < 1 and 14 < np.var(draws) < 25
 
 
+def test_draws_have_the_chances_of_the_urn():
+    for have, rest, n in [(5, 7, 4), (1, 0, 1), (3, 0, 2), (40, 2, 41), (9, 30, 20)]:
+        ways = [math.comb(have, k) * math.comb(rest, n - k) if k <= n else 0 for k in range(have + 1)]
+        total = np.cumsum(ways) / sum(ways)
+        for at in np.arange(0.005, 1, 0.01):
+            if np.abs(total - at).min() > 1e-9:
+                assert mixing.drawn_of(have, rest, n, at) == int(np.count_nonzero(total <= at))
+    # Far beyond what fits a 32-bit number: mean and variance of the quantiles.
+    draws = [mixing.drawn_of(3 * 10**8, 6 * 10**8, 45 * 10**7, (i + 0.5) / 100) for i in range(100)]
+    assert abs(np.mean(draws) / 1.5e8 - 1) < 1e-6 and 0.95 < np.var(draws) / 5e7 < 1.01
+
+
+@pytest.mark.parametrize("n", [1, 2, 8, 9, 504, 1_000])
+def test_blocks_are_permuted(spark, n):
+    block = F.monotonically_increasing_id()
+    slots = [r[0] for r in spark.range(n).coalesce(1).select(mixing.permuted(block, F.lit(n), 9)).collect()]
+    assert sorted(slots) == list(range(n))
+    if n >= 504:  # neighbours part
+        assert sum(abs(a - b) < 3 for a, b in zip(slots, slots[1:])) < 0.02 * n
+
+
+def test_shards_of_a_mix_share_no_block(spark, tmp_path):
+    chance = random.Random(4)
+    docs = spark.createDataFrame(
+        [(i, " ".join(f"w{i}" for _ in range(chance.randint(1, 9))), f"s{i % 3}") for i in range(3_000)],
+        "doc_id bigint, text string, source string")
+    rows = mixing.drawn(docs, n_shards=6, block_words=50).collect()
+    of = collections.defaultdict(set)
+    for r in rows:
+        for d in r.draws or ():
+            of[r.row_.source, d.block].add(d.shard)
+    assert all(len(shards) == 1 for shards in of.values())
+    # No document is as long as a block, so each block begins one, and a shard has all its quota.
+    counts = [-(-round({r.row_.source: r.target for r in rows}[s]) // 50) for s in ("s0", "s1", "s2")]
+    for leaf in range(6):
+        quota, _ = mixing.leaf_quotas(np.array(counts), leaf, 6, mixing.SEED)
+        assert [sum(shards == {leaf} for (s, _), shards in of.items() if s == name) for name in ("s0", "s1", "s2")] == quota.tolist()
+    mixed = mixing.mix(docs, n_shards=6, block_words=50)
+    mixing.write_mix(mixed, str(tmp_path / "mix"))
+    written = spark.read.parquet(str(tmp_path / "mix")).select(*mixed.columns)
+    as_rows = lambda df: collections.Counter(map(tuple, df.collect()))
+    assert as_rows(written) == as_rows(mixed)
+    ids = [r.doc_id for r in spark.read.parquet(str(tmp_path / "mix" / "mix_shard=0")).coalesce(1).collect()]
+    assert ids != sorted(ids)
+
+
 def test_mix_takes_the_targets(spark):
     docs = _documents(spark)
     rows = mixing.drawn(docs, keep=["doc_id", "source"]).collect()
