@@ -13,8 +13,8 @@ from pressloom.llm.superkmers import Windows, without_repeats
 WORDS = Windows("word", 35, 8)
 
 
-def sorted_windows(strings: list[bytes], size: int) -> list[np.ndarray]:
-    """For each packed string, which of its windows are more than once among all.
+def sorted_windows(strings: list[bytes], times: list[int], size: int) -> list[np.ndarray]:
+    """For each packed string, which of its windows are more than once among all, each as often as its string.
 
     Words get numbers; ranks of runs of one word, two, four and so on come from
     sorting pairs of ranks, until they are ranks of whole windows, to be counted.
@@ -31,8 +31,9 @@ def sorted_windows(strings: list[bytes], size: int) -> list[np.ndarray]:
     lengths = np.fromiter(map(len, split), np.int64, len(split))
     firsts = np.cumsum(lengths) - lengths
     inside = [slice(f, f + n - size + 1) for f, n in zip(firsts.tolist(), lengths.tolist())]
-    times = np.bincount(np.concatenate([rank[i] for i in inside]), minlength=len(rank))
-    return [times[rank[i]] > 1 for i in inside]
+    found = np.bincount(
+        np.concatenate([rank[i] for i in inside]), np.repeat(times, lengths - size + 1), minlength=len(rank))
+    return [found[rank[i]] > 1 for i in inside]
 
 
 def op10_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,10 @@ neighbour beyond the run.  Within a run a suffix shares with its neighbour one
 byte less than the suffix before it in the text.  So the matching statistics, the
 longest match elsewhere at each byte, stream through the text from the samples
 alone.
+
+A string that stands in many places is in the index that many times.  Suffixes
+of its copies follow each other in the order and have the same byte before
+them, so copies lengthen runs, and are sorted and sampled once.
 """
 
 from __future__ import annotations
@@ -83,15 +87,16 @@ class RunIndex:
     """Runs of the transform, and samples at their ends."""
 
     symbol: np.ndarray  # of each run
-    length: np.ndarray
+    length: np.ndarray  # in rows of the transform, copies included
     first: np.ndarray  # text place of the suffix at the start of the run
     last: np.ndarray  # and at its end
     before: np.ndarray  # symbols that the first shares with the suffix sorted before it
     after: np.ndarray  # and the last with the one after it
+    places: int  # of the text, where each string stands once
 
     def matching_statistics(self) -> np.ndarray:
         """For each place of the text the longest match that starts elsewhere."""
-        n = int(self.length.sum())
+        n = self.places
         best = np.zeros(n, np.int64)
         for places, lengths in ((self.first, self.before), (self.last, self.after)):
             sampled = np.zeros(n, np.int64)
@@ -102,10 +107,12 @@ class RunIndex:
         return best
 
 
-def run_index(strings: list[bytes]) -> RunIndex:
-    """The index of all strings, one after another, each with an end of its own."""
+def run_index(strings: list[bytes], times: list[int]) -> RunIndex:
+    """The index of all strings, one after another, each with an end of its own and in so many copies."""
     symbols = np.frombuffer(b"\x00".join(strings) + b"\x00", np.uint8).astype(np.int16) + 1
-    symbols[np.cumsum([len(s) + 1 for s in strings]) - 1] = 0
+    lengths = np.array([len(s) + 1 for s in strings])
+    ends = np.cumsum(lengths) - 1
+    symbols[ends] = 0
     order, ranks = sorted_suffixes(symbols)
     n = len(order)
     before = symbols[order - 1]  # the place before the first is the last, an end
@@ -115,12 +122,18 @@ def run_index(strings: list[bytes]) -> RunIndex:
     tails = np.append(heads[1:], n) - 1
     up = np.zeros(len(heads), np.int64)
     up[1:] = shared(symbols, ranks, order[heads[1:]], order[heads[1:] - 1])
-    return RunIndex(before[heads], tails - heads + 1, order[heads], order[tails], up, np.append(up[1:], 0))
-
-
-def long_matches(strings: list[bytes], size: int) -> list[np.ndarray]:
-    """For each string, which of its windows of ``size`` bytes start elsewhere too."""
-    matched = run_index(strings).matching_statistics() >= size
+    down = np.append(up[1:], 0)
+    # Copies share a sample.  All but one have a copy as the neighbour on that side, up to their end.
+    copies = np.repeat(times, lengths)
+    whole = np.where(copies > 1, np.repeat(ends, lengths) - np.arange(n), 0)
+    return RunIndex(
+        before[heads], np.add.reduceat(copies[order], heads), order[heads], order[tails],
+        np.maximum(up, whole[order[heads]]), np.maximum(down, whole[order[tails]]), n)
+
+
+def long_matches(strings: list[bytes], times: list[int], size: int) -> list[np.ndarray]:
+    """For each string, which of its windows of ``size`` bytes start elsewhere too, in another copy of it or not."""
+    matched = run_index(strings, times).matching_statistics() >= size
     flags, at = [], 0
     for string in strings:
         flags.append(matched[at : at + len(string) - size + 1])

@@ -7,9 +7,10 @@ minimisers, so windows need to be compared only within a minimiser's bucket:
 
 1. Minimisers are counted; what stands alone is dropped.
 2. Super-k-mers of the others are grouped by minimiser and by a hash of all
-   their units (128 bits in all).  Equal ones are repeated throughout.
-3. Where a bucket has different ones, one of each travels there as a packed
-   string, and an exact method finds the windows they share.
+   their units (128 bits in all).
+3. One of each group travels to its minimiser's bucket as a packed string, with
+   the number of its places, and an exact method finds the windows that are
+   there more than once.
 4. What was found goes back to all places of each super-k-mer, and from there
    to its text.
 
@@ -18,7 +19,7 @@ common: windows whose minimiser stands at nearly the same place share all but a
 few units, and these are the new key; at last single windows are the key, and a
 bucket then holds one string.  So no bucket is too large and nothing is dropped.
 
-Rows are known by 64 bits of their key and text.
+Rows are known by 128 bits of their key and text (``k`` and ``l``).
 """
 
 from __future__ import annotations
@@ -51,8 +52,8 @@ PIECE = 4_000_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 
-#: Marks, in buckets of different strings, each window that another one has too.
-Mark = Callable[[list[bytes], int], list[np.ndarray]]
+#: Marks, in different strings that stand so many times each, the windows of a size that are more than once among all.
+Mark = Callable[[list[bytes], list[int], int], list[np.ndarray]]
 
 
 @dataclass(frozen=True)
@@ -97,10 +98,10 @@ def _pieces(text: bytes, windows: Windows) -> Iterator[tuple[int, bytes]]:
 
 def _super_kmers(rows: Iterator[pa.RecordBatch], windows: Windows, whole: bool) -> Iterator[pa.RecordBatch]:
     for batch in rows:
-        keys = batch.column(0).to_numpy(zero_copy_only=False)
+        keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("k", "l")]
         parts = [
-            (key, before, piece)
-            for key, text in zip(keys, batch.column(1))
+            (row, before, piece)
+            for row, text in enumerate(batch.column("text"))
             for before, piece in _pieces(text.as_py() or b"", windows)
         ]
         for base, texts in rolling.batches([p[2] for p in parts], BATCH):
@@ -112,11 +113,12 @@ def _super_kmers(rows: Iterator[pa.RecordBatch], windows: Windows, whole: bool)
             if not whole:
                 yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64))], ["m"])
                 continue
-            key = np.array([p[0] for p in parts[base : base + len(texts)]], np.int64)[owner]
+            row = np.array([p[0] for p in parts[base : base + len(texts)]], np.int64)[owner]
             before = np.array([p[1] for p in parts[base : base + len(texts)]], np.int64)[owner]
             pack = (start + before) << 20 | count << 10 | anchor
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (key, gram.view(np.int64), all_units.view(np.int64), pack)], ["k", "m", "d", "pack"])
+                [pa.array(x) for x in (*(k[row] for k in keys), gram.view(np.int64), all_units.view(np.int64), pack)],
+                ["k", "l", "m", "d", "pack"])
 
 
 @F.pandas_udf(BinaryType())
@@ -165,14 +167,14 @@ def covered(flags: np.ndarray, size: int) -> list[int]:
 
 
 def _marked(rows: Iterator[pa.RecordBatch], windows: Windows, mark: Mark) -> Iterator[pa.RecordBatch]:
-    """Spans of the windows that strings of a bucket share; rows come sorted by bucket, some buckets are held."""
+    """Spans of the repeated windows of each string; rows come sorted by bucket, some buckets are held."""
     held, size, now = [], 0, None
 
     def done(rows_: list[tuple]) -> pa.RecordBatch:
         strings: dict[tuple, tuple] = {(r[0], r[1]): r for r in rows_}  # repeated rows bring the same string again
         rows_ = list(strings.values())
-        flags = mark([r[5] for r in rows_], windows.size)
-        found = [(r[0], r[1], covered(f, windows.size)) for r, f in zip(rows_, flags) if r[2] == 1]
+        flags = mark([r[5] for r in rows_], [r[2] for r in rows_], windows.size)
+        found = [(r[0], r[1], covered(f, windows.size)) for r, f in zip(rows_, flags)]
         found = [f for f in found if f[2]]
         return pa.RecordBatch.from_arrays(
             [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int32())))],
@@ -221,28 +223,29 @@ def _refined(rows: Iterator[pa.RecordBatch], windows: Windows, step: int) -> Ite
             ], ["pm", "pd", "m", "d", "n", "low", "c", "a", "s"])
 
 
-def _full(count: Column, windows: Windows) -> Column:
-    """The span of so many consecutive windows."""
-    return F.array(F.lit(0), (count - 1 + windows.size).cast("int"))
+def _same_row() -> Column:
+    return (F.col("k") == F.col("k_of")) & (F.col("l") == F.col("l_of"))
 
 
 def _exact(strings: DataFrame, windows: Windows, mark: Mark, level: int = 0) -> DataFrame:
-    """``m d spans`` of strings (one row each, saved) that share windows with others, or stand there twice."""
-    full = strings.where("n > 1").select("m", "d", _full(F.col("c"), windows).alias("spans"))
-    held = cut_lineage(strings.groupBy("m").agg(F.count(F.lit(1)).alias("held")).where("held > 1"))
-    known = strings.join(held.withColumnRenamed("m", "of"), F.col("m") == F.col("of")).drop("of")
-    cold = known.where(F.col("held") <= BUCKET).drop("held")
-    sorted_rows = cold.repartition("m").sortWithinPartitions("m")
-    found = sorted_rows.mapInArrow(
-        lambda rows: _marked(rows, windows, mark), "m bigint, d bigint, spans array<int>").unionByName(full)
-    if held.where(F.col("held") > BUCKET).isEmpty():
+    """``m d spans`` of the repeated windows of strings (saved, each with the number ``n`` of its places)."""
+    crowded = cut_lineage(
+        strings.groupBy("m").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > BUCKET).select(F.col("m").alias("of")))
+    cold = strings.join(crowded, F.col("m") == F.col("of"), "left_anti")
+    found = cold.repartition("m").sortWithinPartitions("m").mapInArrow(
+        lambda rows: _marked(rows, windows, mark), "m bigint, d bigint, spans array<int>")
+    if crowded.isEmpty():
         return found
     step = windows.steps[level]
-    parts = cut_lineage(known.where(F.col("held") > BUCKET).select(*STRING.names).repartition("m", "d").mapInArrow(
+    hot = strings.join(crowded, F.col("m") == F.col("of"), "left_semi").select(*STRING.names)
+    # Repeated rows bring the same string again, which counts once.
+    parts = cut_lineage(hot.dropDuplicates(["m", "d"]).repartition("m", "d").mapInArrow(
         lambda rows: _refined(rows, windows, step),
         "pm bigint, pd bigint, m bigint, d bigint, n bigint, low bigint, c bigint, a bigint, s binary"))
     different = cut_lineage(parts.groupBy("m", "d").agg(
         F.sum("n").alias("n"), F.min("c").alias("c"), F.min("a").alias("a"), F.first("s").alias("s")))
+    shared = different.groupBy("m").agg(F.sum("n").alias("places")).where("places > 1").select(F.col("m").alias("of"))
+    different = cut_lineage(different.join(shared, F.col("m") == F.col("of"), "left_semi"))
     deeper = cut_lineage(_exact(different, windows, mark, level + 1))
     back = parts.drop("s", "n", "c", "a").join(
         deeper.withColumnsRenamed({"m": "m_of", "d": "d_of"}), (F.col("m") == F.col("m_of")) & (F.col("d") == F.col("d_of")))
@@ -250,39 +253,33 @@ def _exact(strings: DataFrame, windows: Windows, mark: Mark, level: int = 0) ->
     shifted = F.expr("transform(spans, x -> CAST(x + low AS INT))")
     own = back.groupBy(F.col("pm").alias("m"), F.col("pd").alias("d")).agg(
         F.flatten(F.collect_list(shifted)).alias("spans"))
-    # Strings that stand there twice are whole in both ways; their spans are equal in effect.
     return found.unionByName(own)
 
 
 def repeated(keyed: DataFrame, windows: Windows, mark: Mark) -> DataFrame:
-    """``k`` and ``found``: for each row of ``keyed`` (``k text``) the super-k-mers with repeated windows.
+    """``k l found``: for each row of ``keyed`` (``k l text``) the super-k-mers with repeated windows.
 
     ``found`` holds structs of ``pack`` (first unit and sizes) and ``spans``
     (bounds of the repeated units, counted from it).  Jobs run here.
     """
-    texts = keyed.select("k", F.col("text").cast("binary").alias("text"))
+    texts = keyed.select("k", "l", F.col("text").cast("binary").alias("text"))
     counts = cut_lineage(
         texts.mapInArrow(lambda rows: _super_kmers(rows, windows, False), "m bigint")
         .groupBy("m").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("m").alias("of")))
     places = cut_lineage(
-        texts.mapInArrow(lambda rows: _super_kmers(rows, windows, True), "k bigint, m bigint, d bigint, pack bigint")
+        texts.mapInArrow(lambda rows: _super_kmers(rows, windows, True), "k bigint, l bigint, m bigint, d bigint, pack bigint")
         .join(counts, F.col("m") == F.col("of"), "left_semi"))
     groups = cut_lineage(places.groupBy("m", "d").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "pack")).alias("one")))
-    mixed = cut_lineage(
-        groups.groupBy("m").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select(F.col("m").alias("of")))
-    wanted = groups.join(mixed, F.col("m") == F.col("of"), "left_semi")
-    wanted = wanted.groupBy(F.col("one.k").alias("k_of")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "l", "pack")).alias("one")))
+    wanted = groups.groupBy(F.col("one.k").alias("k_of"), F.col("one.l").alias("l_of")).agg(
         F.collect_list(F.struct("m", "d", "n", "one.pack")).alias("wanted"))
     strings = cut_lineage(
-        texts.select("k", squeezed("text").alias("z")).join(wanted, F.col("k") == F.col("k_of")).select("z", "wanted")
+        texts.select("k", "l", squeezed("text").alias("z")).join(wanted, _same_row()).select("z", "wanted")
         .mapInArrow(lambda rows: _strings(rows, windows), STRING_DDL))
-    alone = groups.join(mixed, F.col("m") == F.col("of"), "left_anti").where("n > 1").select(
-        "m", "d", _full(F.shiftright("one.pack", 10).bitwiseAND(F.lit(1023)), windows).alias("spans"))
-    spans = cut_lineage(_exact(strings, windows, mark).unionByName(alone))
+    spans = cut_lineage(_exact(strings, windows, mark))
     back = places.join(
         spans.withColumnsRenamed({"m": "m_of", "d": "d_of"}), (F.col("m") == F.col("m_of")) & (F.col("d") == F.col("d_of")))
-    return back.groupBy("k").agg(F.collect_set(F.struct("pack", "spans")).alias("found"))
+    return back.groupBy("k", "l").agg(F.collect_set(F.struct("pack", "spans")).alias("found"))
 
 
 def _kept(unit: str):
@@ -334,10 +331,11 @@ def without_repeats(
     """
     columns = docs.columns if keep is None else keep
     keyed = docs.select(
-        F.struct(*named(columns)).alias("row_"), F.xxhash64(key, text).alias("k"), F.col(text).cast("binary").alias("text"))
-    found = repeated(keyed, windows, mark).withColumnRenamed("k", "k_of")
-    rows = keyed.select("row_", "k", squeezed("text").alias("z"))
-    rows = rows.join(found, F.col("k") == F.col("k_of"), "left").select("row_", "z", "found")
+        F.struct(*named(columns)).alias("row_"), F.xxhash64(*named([key, text])).alias("k"),
+        F.xxhash64(F.lit(1), *named([text, key])).alias("l"), named([text])[0].cast("binary").alias("text"))
+    found = repeated(keyed, windows, mark).withColumnsRenamed({"k": "k_of", "l": "l_of"})
+    rows = keyed.select("row_", "k", "l", squeezed("text").alias("z"))
+    rows = rows.join(found, _same_row(), "left").select("row_", "z", "found")
     kind = rows.schema["row_"].dataType.simpleString()
     return rows.mapInArrow(
         _kept(windows.unit), f"row_ {kind}, n_units bigint, n_removed bigint, n_spans bigint, kept binary")

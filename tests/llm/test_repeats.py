@@ -4,6 +4,7 @@ import collections
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from pressloom.llm import superkmers
 from pressloom.llm.substrings import WORDS, sorted_windows
@@ -78,10 +79,12 @@ def test_matching_statistics(alphabet):
     for _ in range(60):
         base = bytes(chance.choice(alphabet) for _ in range(40))
         strings = [base[a : a + chance.randint(1, 30)] for a in (chance.randint(0, 20) for _ in range(chance.randint(1, 6)))]
-        index = run_index(strings)
-        assert index.length.sum() == sum(map(len, strings)) + len(strings)
-        text = [(i, j) for i, s in enumerate(strings) for j in range(len(s) + 1)]
-        suffixes = [strings[i][j:] for i, j in text]
+        times = [chance.choice((1, 1, 2, 5)) for _ in strings]
+        index = run_index(strings, times)
+        assert index.length.sum() == sum(t * (len(s) + 1) for s, t in zip(strings, times))
+        copied = [s for s, t in zip(strings, times) for _ in range(t)]
+        text = [(i, j) for i, s in enumerate(copied) for j in range(len(s) + 1)]
+        suffixes = [copied[i][j:] for i, j in text]
 
         def common(a, b):
             n = 0
@@ -90,4 +93,33 @@ def test_matching_statistics(alphabet):
             return n
 
         wanted = [max((common(s, t) for k, t in enumerate(suffixes) if k != n), default=0) for n, s in enumerate(suffixes)]
-        assert index.matching_statistics().tolist() == wanted
+        at, once = 0, []
+        for s, t in zip(strings, times):
+            size = len(s) + 1
+            copies = [wanted[at + c * size : at + (c + 1) * size] for c in range(t)]
+            assert copies == copies[:1] * t
+            once += copies[0]
+            at += t * size
+        assert index.matching_statistics().tolist() == once
+
+
+def test_copies_lengthen_runs():
+    """A string in a million places has the runs of the string, and one more for each copy's first byte at most."""
+    text = bytes(random.Random(2).choice(b"abcd") for _ in range(300))
+    one, many = run_index([text, text[50:250] + b"x"], [1, 1]), run_index([text, text[50:250] + b"x"], [1_000_000, 1])
+    assert one.symbol.tolist() == many.symbol.tolist()
+    assert many.matching_statistics()[:300].tolist() == [300 - i for i in range(300)]
+
+
+def test_rows_that_share_half_their_hash(spark):
+    long_text = " ".join(f"w{i % 97}" for i in range(400))
+    rows = [(1, long_text), (2, long_text + " end"), (3, "short"), (4, " ".join(f"v{i}" for i in range(50)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    keyed = docs.select(F.xxhash64("doc_id").alias("k"), F.col("doc_id").alias("l"), "text")
+
+    def found(rows_):
+        return {r.l: {(f.pack, tuple(f.spans)) for f in r.found} for r in superkmers.repeated(rows_, *CASES[1]).collect()}
+
+    wanted = found(keyed)
+    assert set(wanted) == {1, 2}
+    assert found(keyed.withColumn("k", F.lit(7).cast("bigint"))) == wanted
