@@ -27,8 +27,8 @@ from pressloom.llm.superkmers import Windows, without_repeats
 #: Windows of 200 bytes with minimisers of 32.
 BYTES = Windows("byte", 200, 32)
 
-#: Symbols that the first sort compares; later ones double what is compared.
-FIRST = 7
+#: Bits of a number that is sorted.
+BITS = 63
 
 
 def sorted_suffixes(symbols: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
@@ -37,47 +37,64 @@ def sorted_suffixes(symbols: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np
     Symbol 0 ends a string.  Ends differ from each other, in the order they stand.
     """
     n = len(symbols)
-    padded = np.concatenate([symbols, np.zeros(FIRST, symbols.dtype)]).astype(np.int64)
+    at = np.arange(n)
+    place, present = n.bit_length(), np.bincount(symbols) > 0
+    # Numbers carry the place in their last bits, so sorting them orders places too.
+    bits = max(1, int(present.sum()).bit_length())
+    length = max(1, (BITS - place) // bits)
+    padded = np.concatenate([(np.cumsum(present) - 1 + (not present[0]))[symbols], np.zeros(length, np.int64)])
     key, alive = np.zeros(n, np.int64), np.ones(n, bool)
-    for i in range(FIRST):
+    for i in range(length):
         here = padded[i : i + n] * alive
-        key = key << 9 | here
+        key = key << bits | here
         alive &= here > 0
-    order = np.argsort(key, kind="stable")
-    sorted_key = key[order]
+    packed = np.sort(key << place | at)
+    order, sorted_key = packed & (1 << place) - 1, packed >> place
     new = np.ones(n, bool)
     new[1:] = (sorted_key[1:] != sorted_key[:-1]) | ~alive[order[1:]]
-    at = np.arange(n)
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, np.int32)
     rank[order] = np.maximum.accumulate(np.where(new, at, 0))
-    ranks, length = [], FIRST
+    ranks = []
     while True:
-        ranks.append((length, rank.astype(np.int32)))
+        ranks.append((length, rank.copy()))
         tied = np.flatnonzero(~(new & np.append(new[1:], True)))
         if not len(tied):
             return order, ranks
         places = order[tied]
-        key = rank[places] * n + rank[places + length]
-        by = np.argsort(key)
-        key, places = key[by], places[by]
+        key = rank[places] * np.int64(n) + rank[places + length]
+        if 3 * place <= BITS:
+            packed = np.sort(key << place | at[: len(tied)])
+            by, key = packed & (1 << place) - 1, packed >> place
+        else:
+            by = np.argsort(key)
+            key = key[by]
+        places = places[by]
         order[tied] = places
         fresh = np.append(True, key[1:] != key[:-1])
         new[tied] = fresh
-        rank[places] = tied[np.maximum.accumulate(np.where(fresh, np.arange(len(tied)), 0))]
+        rank[places] = tied[np.maximum.accumulate(np.where(fresh, at[: len(tied)], 0))]
         length *= 2
 
 
 def shared(symbols: np.ndarray, ranks: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """How many symbols two suffixes share, for each pair of places."""
     a, b, total = a.copy(), b.copy(), np.zeros(len(a), np.int64)
-    for length, rank in reversed(ranks):
-        step = (rank[a] == rank[b]) * length
-        total, a, b = total + step, a + step, b + step
+    # Pairs that differ by a length differ by all longer ones, so few are looked at for the longest.
+    reach = []
+    pairs = np.arange(len(a))
+    for length, rank in ranks:
+        pairs = pairs[rank[a[pairs]] == rank[b[pairs]]]
+        reach.append(pairs)
+    for (length, rank), pairs in zip(reversed(ranks), reversed(reach)):
+        pairs = pairs[rank[a[pairs]] == rank[b[pairs]]]
+        total[pairs] += length
+        a[pairs] += length
+        b[pairs] += length
     same = np.ones(len(a), bool)
-    for i in range(FIRST - 1):
-        reach = np.minimum(np.maximum(a, b) + i, len(symbols) - 1) - np.maximum(a, b)
-        here, there = symbols[a + reach], symbols[b + reach]
-        same &= (here == there) & (here > 0) & (reach == i)
+    for i in range(ranks[0][0] - 1):
+        step = np.minimum(np.maximum(a, b) + i, len(symbols) - 1) - np.maximum(a, b)
+        here, there = symbols[a + step], symbols[b + step]
+        same &= (here == there) & (here > 0) & (step == i)
         total += same
     return total
 

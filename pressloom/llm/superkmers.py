@@ -45,7 +45,7 @@ BUCKET = 1_000
 #: Bytes hashed at once; arrays of eight times that stay in a core's cache.
 BATCH = 250_000
 #: Bytes of strings that are marked at once.
-MARKED = 400_000
+MARKED = 150_000
 #: Texts of more bytes are hashed in pieces that overlap by a window.
 PIECE = 4_000_000
 
