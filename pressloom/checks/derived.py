@@ -222,3 +222,20 @@ FROM (
   FROM pages CROSS JOIN (SELECT DISTINCT doc_id % 400 AS k FROM documents) steps
 ) rules GROUP BY site
 """
+
+# The same lines one by one, numbered in a file's order; a site's file grows with
+# the pages, and past some size no value holds it.
+MANY_RULE_LINES = f"""
+SELECT {site_name('page_id % 9')} AS site, CAST(floor(page_id / 9) AS BIGINT) * 401 AS no,
+       CASE page_id % 3 WHEN 0 THEN 'Disallow: /en/' || CAST(page_id AS STRING)
+            WHEN 1 THEN 'Disallow: ' || substr(regexp_extract(url, '//[^/]*(/[^?#]*)', 1), 1, 5) ELSE '# none' END AS raw
+FROM pages
+UNION ALL
+SELECT {site_name('page_id % 9')} AS site, CAST(floor(page_id / 9) AS BIGINT) * 401 + 1 + k AS no,
+       'Disallow: /none/' || CAST(page_id * 400 + k AS STRING) || repeat('x', CAST(k % 40 AS INT)) AS raw
+FROM pages CROSS JOIN (SELECT DISTINCT doc_id % 400 AS k FROM documents) steps
+UNION ALL
+SELECT site, n AS no, CASE n WHEN -2 THEN 'User-agent: *' ELSE 'Allow: /en/1' END AS raw
+FROM (SELECT DISTINCT {site_name('page_id % 9')} AS site FROM pages) sites
+CROSS JOIN (SELECT CAST(-2 AS BIGINT) AS n UNION ALL SELECT CAST(-1 AS BIGINT)) heads
+"""

@@ -1,11 +1,15 @@
 import random
+from collections import Counter
 from urllib.parse import urljoin
 from urllib.robotparser import RobotFileParser
 
 from pyspark.sql import functions as F
 
+from pressloom.checks import derived
+from pressloom.checks.queries import from_sql
 from pressloom.functions import urls
 from pressloom.operators import robots
+from tests.conftest import SMALL
 
 BASES = [
     "https://h.gov/a/b/c", "https://h.gov/a/b/", "https://h.gov", "https://h.gov/?q=1", "http://h.gov/a?x=/y#z",
@@ -72,3 +76,26 @@ def test_no_robots_file_allows_all(spark):
     files = spark.createDataFrame([("a", None)], "site STRING, text STRING")
     assert robots.permitted(rows, files, "x").count() == 1
     assert robots.permitted(rows, files.where("site = 'b'"), "x").count() == 1
+
+
+def test_files_by_line_and_in_blocks(spark, monkeypatch):
+    """A file that comes line by line gives the rules of the whole one, wherever blocks of its lines end."""
+    texts = [t for t in ROBOTS if t] + ["User-agent: a\nUser-agent: b\nDisallow: /1\nDisallow: /2\nCrawl-delay: 1\nAllow: /3\nUser-agent: *\n\nDisallow: /4\n"]
+    files = spark.createDataFrame(list(enumerate(texts)), "site INT, text STRING")
+    lines = spark.createDataFrame(
+        [(i, 3 * no, line) for i, t in enumerate(texts) for no, line in enumerate(t.split("\n"))][::-1], "site INT, no BIGINT, raw STRING")
+    whole = sorted(map(tuple, robots.rules_table(files).collect()))
+    assert [r[1:] for r in whole[-3:]] == [(1, ["a", "b"], 1, False, "/1"), (1, ["a", "b"], 2, False, "/2"), (1, ["a", "b"], 4, True, "/3")]
+    for block in (1, 2, 7, 1 << 20):
+        monkeypatch.setattr(robots, "BLOCK", block)
+        assert sorted(map(tuple, robots.rules_table(lines).collect())) == whole, block
+
+
+def test_lines_of_many_rules_are_those_of_the_files(spark):
+    files, lines = (from_sql(spark, SMALL, sql) for sql in (derived.MANY_RULES, derived.MANY_RULE_LINES))
+    counted = {r.site: Counter(r.text.split("\n")) for r in files.collect()}
+    found = {}
+    for r in lines.orderBy("no").collect():
+        found.setdefault(r.site, []).append(r.raw)
+    assert {s: Counter(ls) for s, ls in found.items()} == counted
+    assert all(ls[:2] == ["User-agent: *", "Allow: /en/1"] for ls in found.values())
