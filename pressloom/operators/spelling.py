@@ -96,6 +96,41 @@ def double_keys(word: Column, salt: Column | None = None) -> Column:
     return F.flatten(F.transform(_two_left_out(word), hashed))
 
 
+def _apart(word: Column, position: Column) -> Column:
+    """Whether the letter differs from the one before: of equal neighbours only the first is left out."""
+    return (position <= 1) | (F.substring(word, position, F.lit(1)) != F.substring(word, position - 1, F.lit(1)))
+
+
+def _with_one_left_out(rows: DataFrame, column: str) -> DataFrame:
+    """Rows with a position (0: none) as ``_i`` and what the column's word is without it as ``_once``."""
+    word, i = F.col(column), F.col("_i")
+    placed = rows.withColumn("_i", F.explode(F.sequence(F.lit(0), F.length(word)))).where(_apart(word, i))
+    return placed.withColumn("_once", F.when(i == 0, word).otherwise(_without(word, i)))
+
+
+def with_single_keys(rows: DataFrame, column: str) -> DataFrame:
+    """Rows with each of ``single_keys`` of a column as ``key``.
+
+    Positions are rows, so that the parts of a word are made by compiled code
+    and not inside an array.
+    """
+    return _with_one_left_out(rows, column).where("_once <> ''").withColumn("key", F.xxhash64("_once")).drop("_i", "_once")
+
+
+def with_double_keys(rows: DataFrame, column: str, salt: Column | None = None) -> DataFrame:
+    """Rows with each of ``double_keys`` of a column as ``key``, a few of them twice; made as single ones are."""
+    once, i, j = _with_one_left_out(rows, column), F.col("_i"), F.col("_j")
+    # A second letter before the first leaves no other out; the whole word has none.
+    later = F.when(i > 0, F.length("_once")).otherwise(-1)
+    twice = once.withColumn("_j", F.explode(F.sequence(i - 1, later))).where((j < i) | _apart(F.col("_once"), j))
+    part = F.when(j < i, F.col("_once")).otherwise(_without(F.col("_once"), j))
+    parts = twice.withColumn("_part", part).where("_part <> ''")
+    salts = [salt] if salt is not None else [F.lit(i) for i in range(SALTS)]
+    single = F.array(*(F.xxhash64("_part", s) for s in salts))
+    key = F.explode(F.when(F.length("_part") == 1, single).otherwise(F.array(F.xxhash64("_part"))))
+    return parts.withColumn("key", key).drop("_i", "_j", "_once", "_part")
+
+
 def _piece(p: Column, length: Column) -> tuple[Column, Column]:
     """Where a piece of a word of this length begins (from 0), and its letters."""
     start = F.floor(p * length / PIECES).cast("int")
@@ -230,9 +265,7 @@ def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:
         return rows.withColumn("key", F.explode(keys))
 
     short, short_known = words.where(n <= LONG + 1), known.where(m < LONG)
-    near = _best(
-        keyed(short, single_keys(F.col("word"))), keyed(short_known, single_keys(F.col("candidate")))
-    ).unionByName(_best(
+    near = _best(with_single_keys(short, "word"), with_single_keys(short_known, "candidate")).unionByName(_best(
         keyed(words.where(n >= LONG - 2), searched_piece_keys(F.col("word"))),
         keyed(known.where(m >= LONG), piece_keys(F.col("candidate"))),
     ))
@@ -240,8 +273,7 @@ def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:
     settled = near.where("best.distance <= 1").select("word")
     open_words = cut_lineage(short.join(settled, "word", "left_anti"))
     salt = F.pmod(F.xxhash64("candidate"), F.lit(SALTS)).cast("int")
-    far = _best(
-        keyed(open_words, double_keys(F.col("word"))), keyed(short_known, double_keys(F.col("candidate"), salt)))
+    far = _best(with_double_keys(open_words, "word"), with_double_keys(short_known, "candidate", salt))
     # Any two words of one or two letters are within two edits.
     found = _with_default(near.unionByName(far), open_words.where(n <= 2), known.where(m <= 2), 2)
     best = found.groupBy("word").agg(F.min("best").alias("best"))

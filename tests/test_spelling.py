@@ -101,3 +101,21 @@ def test_single_letters_share_no_key(spark):
     assert keys.agg(F.max("count")).first()[0] <= 2
     found = {r.word: r.correction for r in spelling.corrections(rows, dictionary).collect()}
     assert found == {w: "b" for w in words}
+
+
+def test_keys_by_row_are_those_of_the_arrays(spark):
+    words = ["a", "ab", "aa", "aab", "abb", "aaa", "aba", "abab", "aabbaa", "baab", "mississippi", "übergrößen", "😀😀a", "x" * 9, "qu" * 9]
+    rows = spark.createDataFrame([(w,) for w in words], "word STRING")
+    salt = F.length("word") % spelling.SALTS
+    for given in (None, salt):
+        wanted = {r.word: set(r.keys) for r in rows.select("word", spelling.double_keys(F.col("word"), given).alias("keys")).collect()}
+        found = {}
+        for r in spelling.with_double_keys(rows, "word", given).collect():
+            found.setdefault(r.word, []).append(r.key)
+        assert {w: set(ks) for w, ks in found.items()} == wanted
+    assert len(found["mississippi"]) < 12 * 13 / 2
+    single = {r.word: set(r.keys) for r in rows.select("word", spelling.single_keys(F.col("word")).alias("keys")).collect()}
+    found = {}
+    for r in spelling.with_single_keys(rows, "word").collect():
+        found.setdefault(r.word, []).append(r.key)
+    assert {w: sorted(ks) for w, ks in found.items()} == {w: sorted(ks) for w, ks in single.items()}
