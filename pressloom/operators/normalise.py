@@ -33,12 +33,20 @@ def clean_release(text: Column) -> Column:
     return join_sections(clean_sections(text))
 
 
+#: A map is searched from its beginning for each word, so a release's corrections are cut into so many.
+PARTS = 64
+
+
+def _part(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(PARTS)).cast("int")
+
+
 def normalise(releases: DataFrame, dictionary: DataFrame, key: str | None = None) -> DataFrame:
     """Replace ``text`` by its cleaned and corrected form.
 
     Cleaned text is saved once and does not move until the last join.  Words
     are looked up in the dictionary once each, and only those that change
-    travel, once per release; what comes back is a small map of corrections per
+    travel, once per release; what comes back are small maps of corrections per
     release, applied in place.  The correction of a word does not depend on
     where it stands, so a key shared by several releases (the default is a hash
     of the text) merges maps and harms nothing.
@@ -57,13 +65,14 @@ def normalise(releases: DataFrame, dictionary: DataFrame, key: str | None = None
     fixed = corrections(lowered, dictionary).withColumnRenamed("word", "_lower")
     # Saved, so that Catalyst knows how few they are.
     changed = cut_lineage(missing.join(fixed, F.lower(F.col("word")) == F.col("_lower")).select("word", "correction"))
-    maps = used.join(changed, "word").groupBy(name).agg(
-        F.map_from_entries(F.collect_set(F.struct("word", "correction"))).alias("_fixes")
-    )
+    changed = changed.withColumn("part", _part(F.col("word")))
+    fixes = used.join(changed, "word").groupBy(name).agg(F.collect_set(F.struct("part", "word", "correction")).alias("_all"))
+    maps = fixes.select(name, F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda p: F.map_from_entries(
+        F.transform(F.filter("_all", lambda f: f.part == p), lambda f: F.struct(f.word, f.correction)))).alias("_fixes"))
 
     def corrected(section: Column) -> Column:
         return F.array_join(
-            F.transform(words(section), lambda w: F.coalesce(F.col("_fixes")[w], w)), " "
+            F.transform(words(section), lambda w: F.coalesce(F.get("_fixes", _part(w))[w], w)), " "
         )
 
     joined = base.join(maps, name, "left")

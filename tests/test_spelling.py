@@ -119,3 +119,13 @@ def test_keys_by_row_are_those_of_the_arrays(spark):
     for r in spelling.with_single_keys(rows, "word").collect():
         found.setdefault(r.word, []).append(r.key)
     assert {w: sorted(ks) for w, ks in found.items()} == {w: sorted(ks) for w, ks in single.items()}
+
+
+def test_corrections_of_a_long_release_are_in_parts(spark):
+    """Many corrections of one release, and releases without any, give what each word's own correction says."""
+    wrong = [f"{a}{b}spellinx" for a in "abcdefghijk" for b in "lmnopqrstuv"]
+    dictionary = spark.createDataFrame([(w[:-1] + "g", 1) for w in wrong], "word STRING, freq BIGINT")
+    rows = spark.createDataFrame([(1, " ".join(wrong * 2)), (2, "qqq zzz"), (3, "")], "doc_id INT, text STRING")
+    found = {r.doc_id: r.text for r in normalise.normalise(rows, dictionary, key="doc_id").collect()}
+    assert found == {1: " ".join(w[:-1] + "g" for w in wrong * 2), 2: "qqq zzz", 3: ""}
+    assert normalise.PARTS > 1
