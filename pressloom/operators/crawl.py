@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -49,16 +49,33 @@ def cut(stats: DataFrame, stop_after: int | None = None) -> DataFrame:
 
 def cut_by_profile(stats: DataFrame, profiles: DataFrame) -> DataFrame:
     """Range limit and stop rule of each site's profile, applied together."""
+    return cut(_ruled(stats, profiles))
+
+
+def stop_by_profile(stats: DataFrame, profiles: DataFrame) -> DataFrame:
+    """``first_stop`` within the range limit and by the stop rule of each site's profile."""
+    return first_stop(_ruled(stats, profiles))
+
+
+def _ruled(stats: DataFrame, profiles: DataFrame) -> DataFrame:
     rules = profiles.select("site", "first_page", "page_cap", "stop_after")
-    return cut(in_range(stats.join(rules, "site")).drop("first_page", "page_cap"))
+    return in_range(stats.join(rules, "site")).drop("first_page", "page_cap")
 
 
 def in_range(stats: DataFrame) -> DataFrame:
     """Pages between the first page and the cap in the row; no cap means no end."""
+    return stats.where(_in_range())
+
+
+def in_range_by_profile(pages: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Pages within the range limit of their site's profile."""
+    limits = profiles.select(F.col("site").alias("_site"), "first_page", "page_cap")
+    return pages.join(limits, (F.col("site") == F.col("_site")) & _in_range(), "left_semi")
+
+
+def _in_range() -> Column:
     page = F.col("page_no")
-    return stats.where(
-        (page >= F.col("first_page")) & (F.col("page_cap").isNull() | (page <= F.col("page_cap")))
-    )
+    return (page >= F.col("first_page")) & (F.col("page_cap").isNull() | (page <= F.col("page_cap")))
 
 
 def resume(stats: DataFrame, start_page: int) -> DataFrame:

@@ -126,15 +126,19 @@ def prefix_rules(robots: DataFrame, user_agent: str) -> DataFrame:
         F.min("rule_no").alias("rule_no"), F.min_by("allow", "rule_no").alias("allow"))
 
 
-def verdicts(rows: DataFrame, robots: DataFrame, user_agent: str, url: str = "url") -> DataFrame:
+def saved_rules(robots: DataFrame, user_agent: str) -> DataFrame:
+    """``prefix_rules`` as a table, for several lookups.  Tables are saved here."""
+    return cut_lineage(prefix_rules(robots, user_agent))
+
+
+def verdicts_by(rows: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """Addresses that a rule fits: site, url, allowed.
 
     The first rule whose path an address starts with decides.  The rules are
     an index by prefix: an address is looked up once for each length that
     paths of its site have, however many rules there are, and no row carries a
-    site's rules.  The rules are saved here.
+    site's rules.
     """
-    rules = cut_lineage(prefix_rules(robots, user_agent))
     lengths = rules.groupBy("site").agg(F.collect_set(F.length("path")).alias("_lengths"))
     path = let(robots_path(F.col(url)), lambda p: F.when(p == "", "/").otherwise(p))
     sought = rows.select("site", F.col(url).alias("url"), path.alias("_path")).join(lengths, "site")
@@ -144,6 +148,11 @@ def verdicts(rows: DataFrame, robots: DataFrame, user_agent: str, url: str = "ur
     return probes.join(rules, ["site", "path"]).groupBy("site", "url").agg(F.min_by("allow", "rule_no").alias("allowed"))
 
 
+def verdicts(rows: DataFrame, robots: DataFrame, user_agent: str, url: str = "url") -> DataFrame:
+    """``verdicts_by`` the rules of the files; they are saved here."""
+    return verdicts_by(rows, saved_rules(robots, user_agent), url)
+
+
 def with_verdict(rows: DataFrame, robots: DataFrame, user_agent: str, url: str = "url") -> DataFrame:
     """Adds ``allowed``; what no rule speaks of is."""
     known = verdicts(rows, robots, user_agent, url).withColumnsRenamed({"site": "_site", "url": "_url"})
@@ -151,8 +160,13 @@ def with_verdict(rows: DataFrame, robots: DataFrame, user_agent: str, url: str =
     return met.withColumn("allowed", F.coalesce("allowed", F.lit(True))).drop("_site", "_url")
 
 
-def permitted(rows: DataFrame, robots: DataFrame, user_agent: str, url: str = "url") -> DataFrame:
-    """Only the rows whose address the site's rules allow."""
-    blocked = verdicts(rows, robots, user_agent, url).where(~F.col("allowed")).select(
+def permitted_by(rows: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
+    """Only the rows whose address the saved rules allow."""
+    blocked = verdicts_by(rows, rules, url).where(~F.col("allowed")).select(
         F.col("site").alias("_site"), F.col("url").alias("_url"))
     return rows.join(blocked, (F.col("site") == F.col("_site")) & (F.col(url) == F.col("_url")), "left_anti")
+
+
+def permitted(rows: DataFrame, robots: DataFrame, user_agent: str, url: str = "url") -> DataFrame:
+    """Only the rows whose address the site's rules allow."""
+    return permitted_by(rows, saved_rules(robots, user_agent), url)
